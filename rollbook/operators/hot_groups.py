@@ -1,0 +1,177 @@
+"""Ordered work on groups of any size.
+
+A window puts a whole group into one task. That is fine until one key holds a large part
+of all rows. `split_groups` finds such keys first (a pre-aggregated count over the key
+columns only) and cuts just their rows, along the order, into parts of about the allowed
+size. A window over (keys, part) is then bounded, and what must pass from one part to the
+next is one row per part: a table small enough to join back.
+
+With no hot key the plan is the plain window.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+
+from ..names import col, cols, parse_order, sort_columns
+from ..session import (BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT, BROADCAST_ROWS,
+                       BROADCAST_ROWS_DEFAULT, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT,
+                       int_setting, shared_folder)
+
+PART = "__part"
+CUTS = "__cuts"
+WHOLE = "__whole_table"
+MAX_HOT_KEYS = 10_000        # hottest keys first; the rest are below total/10,000 rows each
+MAX_PARTS = 4096
+SEARCH_STEPS = 13            # 2 ** 12 = MAX_PARTS
+SAMPLE_PER_PART = 32
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a table whose rows and bytes were counted to be within bounds;
+    a larger one is left to the ordinary join."""
+    spark = df.sparkSession
+    max_rows = int_setting(spark, BROADCAST_ROWS, BROADCAST_ROWS_DEFAULT)
+    max_bytes = int_setting(spark, BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT)
+    size = (df.limit(max_rows + 1)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first())
+    small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
+
+
+def _comes_before(cut: Column, order: Sequence[str]) -> Column:
+    """Whether a cut point sorts strictly before the row, missing values last."""
+    before, same = F.lit(False), F.lit(True)
+    for i, (name, descending) in enumerate(parse_order(order)):
+        c, r = cut.getField(f"c{i}"), col(name)
+        smaller = c > r if descending else c < r
+        here = c.isNotNull() & (r.isNull() | smaller)
+        before = before | (same & F.coalesce(here, F.lit(False)))
+        same = same & c.eqNullSafe(r)
+    return before
+
+
+def _part_of(cuts: Column, order: Sequence[str]) -> Column:
+    """Number of cut points before the row, by binary search."""
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state.getField("low"), state.getField("high")
+        middle = ((low + high) / 2).cast("int")
+        after = _comes_before(F.get(cuts, middle), order)
+        return (F.when(low >= high, state)
+                .when(after, F.struct((middle + 1).alias("low"), high.alias("high")))
+                .otherwise(F.struct(low.alias("low"), middle.alias("high"))))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(SEARCH_STEPS))
+    found = F.aggregate(steps, start, halve, lambda state: state.getField("low"))
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+
+
+def _same_keys(keys: Sequence[str], suffix: str) -> Column:
+    return reduce(and_, [col(k).eqNullSafe(col(k + suffix)) for k in keys])
+
+
+def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a table that holds at most one row per key, missing keys matching."""
+    renamed = table.withColumnsRenamed({k: k + "__small" for k in keys})
+    joined = df.join(broadcast_if_small(renamed), _same_keys(keys, "__small"), how)
+    return joined if how == "left_semi" else joined.drop(*[k + "__small" for k in keys])
+
+
+@dataclass
+class SplitGroups:
+    """Rows with their part number, and the keys and order to build windows from."""
+
+    df: DataFrame
+    keys: list[str]
+    order: list[str]
+    hot: bool
+
+    @property
+    def by(self) -> list[str]:
+        return self.keys + [PART] if self.hot else self.keys
+
+    def window(self) -> WindowSpec:
+        return Window.partitionBy(*cols(self.by)).orderBy(*sort_columns(self.order))
+
+    @property
+    def hot_rows(self) -> DataFrame:
+        return self.df.filter(col(CUTS).isNotNull())
+
+    def parts(self, *aggregates: Column) -> DataFrame:
+        """One row per part of every hot key."""
+        return self.hot_rows.groupBy(*cols(self.by)).agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
+
+    def edge(self, name: str, last: bool, out: str, skip_missing: bool = False) -> DataFrame:
+        """First or last value of a column in every part; each task prunes to one row per part."""
+        rows = self.hot_rows.filter(col(name).isNotNull()) if skip_missing else self.hot_rows
+        window = Window.partitionBy(*cols(self.by)).orderBy(*sort_columns(self.order, reverse=last))
+        return (rows.select(*cols(self.by), *[col(n) for n, _ in parse_order(self.order)
+                                              if n not in self.by and n != name],
+                            *([col(name)] if name not in self.by else []))
+                .withColumn("__edge", F.row_number().over(window))
+                .filter(col("__edge") == 1)
+                .select(*cols(self.by), col(name).alias(out)))
+
+    def part_window(self) -> WindowSpec:
+        return Window.partitionBy(*cols(self.keys)).orderBy(PART)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        return df.drop(PART, CUTS, WHOLE)
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    counts = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("__rows"))
+    hottest = counts.filter(col("__rows") > limit).orderBy(F.desc("__rows")).limit(MAX_HOT_KEYS)
+    found = hottest.collect()
+    return df.sparkSession.createDataFrame(found, hottest.schema) if found else None
+
+
+def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
+    """Per hot key an ordered array of rows at which to cut, from a sample by hash of the order
+    columns: the same rows whenever a lost task is computed again."""
+    names = [n for n, _ in parse_order(order)]
+    parts = F.least(F.ceil(col("__rows") / limit), F.lit(MAX_PARTS))
+    every = F.greatest(F.lit(1), F.floor(col("__rows") / (parts * SAMPLE_PER_PART)))
+    hot = hot.select(*cols(keys), parts.alias("__parts"), every.alias("__every"))
+    wanted = list(dict.fromkeys(keys + names))
+    sample = join_small(df.select(*cols(wanted)), hot, keys, "inner")
+    sample = sample.filter(F.pmod(F.xxhash64(*cols(names)), col("__every")) == 0)
+    group = Window.partitionBy(*cols(keys))
+    sample = sample.select(
+        *cols(keys), col("__parts"),
+        F.row_number().over(group.orderBy(*sort_columns(order))).alias("__place"),
+        F.count(F.lit(1)).over(group).alias("__sampled"),
+        F.struct(*[col(n).alias(f"c{i}") for i, n in enumerate(names)]).alias("__row"))
+    step = F.greatest(F.lit(1), F.floor(col("__sampled") / col("__parts")))
+    cut = sample.filter((F.pmod(col("__place"), step) == 0) & (col("__place") < col("__sampled")))
+    # rounding may leave a few more places than parts; those beyond the bound are not cuts
+    cut = cut.filter(col("__place") / step < MAX_PARTS)
+    ordered = F.array_sort(F.collect_list(F.struct("__place", "__row")))
+    return cut.groupBy(*cols(keys)).agg(F.transform(ordered, lambda x: x.getField("__row")).alias(CUTS))
+
+
+def split_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 max_rows: int | None = None) -> SplitGroups:
+    """Cut groups of more than `max_rows` rows along `order`, which should end in a unique column."""
+    spark = df.sparkSession
+    limit = max_rows or int_setting(spark, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    if not keys:
+        # a column Spark cannot fold away, so that the join below stays an equi-join
+        first = parse_order(order)[0][0]
+        df = df.withColumn(WHOLE, F.coalesce(F.pmod(F.xxhash64(col(first)), F.lit(1)), F.lit(0)))
+        keys = [WHOLE]
+    hot = _hot_keys(df, keys, limit)
+    if hot is None:
+        return SplitGroups(df, keys, order, hot=False)
+    shared_folder(spark)
+    cuts = _cut_points(df, hot, keys, order, limit).checkpoint()
+    with_cuts = join_small(df, cuts, keys)
+    return SplitGroups(with_cuts.withColumn(PART, _part_of(col(CUTS), order)), keys, order, hot=True)
