@@ -127,12 +127,12 @@ def job_payload_programme_students(spark, sf_dir):
            count(*) FILTER (WHERE herkomst = 'EER') AS "EER", count(*) FILTER (WHERE herkomst = 'NIET-EER') AS "NIET-EER",
            count(*) FILTER (WHERE herkomst = 'NL') AS "NL", count(herkomst) AS total
     FROM enrolled WHERE jaar = 1996 GROUP BY 1, 2),
-  asked AS (SELECT 'OPL. ' || c_mktsegment AS opl, count(*) AS nl, count(*) FILTER (WHERE c_acctbal > 0) AS eer,
-                   nullif(count(*) FILTER (WHERE c_mktsegment <> 'MACHINERY'), 0) AS niet
+  asked AS (SELECT 'OPL. ' || c_mktsegment AS opl, count(*) AS e_nl, count(*) FILTER (WHERE c_acctbal > 0) AS e_eer,
+                   nullif(count(*) FILTER (WHERE c_mktsegment <> 'MACHINERY'), 0) AS e_niet
             FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY 1)
-  SELECT c.*, nl AS "NL Totaal Inschrijvingen", eer AS "EER (Excl. NL) Totaal Inschrijvingen", niet AS "Niet-EER Totaal Inschrijvingen",
-         CAST(nl + eer + coalesce(niet, 0) AS BIGINT) AS "Totaal_verwacht", nl - "NL" AS verschil_nl, eer - "EER" AS verschil_eer,
-         niet - "NIET-EER" AS verschil_nieteer, CAST(nl + eer + coalesce(niet, 0) - total AS BIGINT) AS verschil_totaal
+  SELECT c.*, e_nl AS "NL Totaal Inschrijvingen", e_eer AS "EER (Excl. NL) Totaal Inschrijvingen", e_niet AS "Niet-EER Totaal Inschrijvingen",
+         e_nl + e_eer + coalesce(e_niet, 0) AS "Totaal_verwacht", e_nl - "NL" AS verschil_nl, e_eer - "EER" AS verschil_eer,
+         e_niet - "NIET-EER" AS verschil_nieteer, e_nl + e_eer + coalesce(e_niet, 0) - total AS verschil_totaal
   FROM counts c JOIN asked ON "INS_Opleidingsnaam_2002" = opl""")
 def job_validate_programme(spark, sf_dir):
     expected = (table(spark, sf_dir, "customer").filter(col("c_mktsegment") != "HOUSEHOLD")
@@ -367,8 +367,9 @@ reports AS (
   UNION ALL SELECT func || ' - ' || kern, * FROM rows_ WHERE (o_orderpriority <= '2-HIGH' OR func = 'Student-assistent') AND kern <> 'OV' AND o_orderstatus <> 'F'
   UNION ALL SELECT 'OBP - ' || schaal, * FROM rows_ WHERE o_orderpriority LIKE '3%' AND func <> 'Student-assistent'),
 fte AS (
-  SELECT "Veldnaam", "Jaar", "Faculteit", CASE WHEN round(f, 6) < 0 THEN 0 ELSE round(f, 6) END AS "FTE_gemiddelde", "Jaar" AS unl_verslagjaar
-  FROM (SELECT "Veldnaam", "Jaar", "Faculteit", sum(fte) * CASE WHEN "Jaar" = 2021 THEN 2 ELSE 1 END AS f FROM reports GROUP BY ALL))"""
+  SELECT "Veldnaam", "Jaar", "Faculteit", greatest(round(f * CASE WHEN "Jaar" = 2021 THEN 2 ELSE 1 END, 6), 0) AS "FTE_gemiddelde",
+         "Jaar" AS unl_verslagjaar
+  FROM (SELECT "Veldnaam", "Jaar", "Faculteit", sum(fte) AS f FROM reports GROUP BY 1, 2, 3))"""
 
 
 def _staff(spark, sf_dir):
@@ -391,7 +392,7 @@ STAFF_FIELDS = {f: f"unl_fte{i}" for i, f in enumerate(
     'unl_faculteits(F' || any_value(n_nationkey) || ')' AS "unl_FaculteitNaam@odata.bind",
     CASE WHEN "Jaar" <> 2022 THEN 'unl_collegejaars(J' || "Jaar" || ')' END AS "unl_Jaar@odata.bind",
     'unl_kalenderjaars(K' || "Jaar" || ')' AS "unl_Verslagjaar@odata.bind", """ + ", ".join(f"0 AS {n}" for n in payloads.STAFF_ZEROS) + """
-  FROM fte LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) ON "Faculteit" = n_name GROUP BY "Jaar", "Faculteit" """)
+  FROM fte LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) n3 ON "Faculteit" = n_name GROUP BY "Jaar", "Faculteit" """)
 def job_payload_staff(spark, sf_dir):
     inputs = staff_inputs(spark, sf_dir)
     faculties = table(spark, sf_dir, "nation").filter(col("n_regionkey") != 3).select(
@@ -414,11 +415,12 @@ def job_payload_staff(spark, sf_dir):
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 <> 0),
   coded AS (SELECT *, CASE vorm WHEN 'DEELTIJD' THEN 2 WHEN 'DUAAL' THEN 3 ELSE 1 END AS v, CASE graad WHEN 'B' THEN 1 WHEN 'M' THEN 2 END AS g FROM p),
   filled AS (SELECT *, coalesce(g, first_value(g IGNORE NULLS) OVER (PARTITION BY naam ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS g2 FROM coded)
-  SELECT DISTINCT naam AS unl_opleidingnaam, 'WO' AS unl_soort, CAST(c_nationkey AS VARCHAR) AS unl_opleidingscodeisat, CAST(v AS INTEGER) AS unl_vorm,
+  SELECT naam AS unl_opleidingnaam, 'WO' AS unl_soort, CAST(c_nationkey AS VARCHAR) AS unl_opleidingscodeisat, CAST(v AS INTEGER) AS unl_vorm,
          CAST(g2 AS INTEGER) AS unl_graad,
          CAST(CASE WHEN taal IN ('Nederlands', 'Nederlands/Engels') THEN 941790000 WHEN taal = 'Engels' THEN 941790001 WHEN taal IS NOT NULL THEN 941790002 END AS INTEGER) AS unl_taalvanopleiding,
          'unl_collegejaars(J' || jaar || ')' AS "unl_Collegejaar@odata.bind", 'unl_faculteits(F' || c_nationkey || ')' AS "unl_Faculteit@odata.bind", """
-       + ", ".join(f"0 AS {n}" for n in payloads.PROGRAMME_ZEROS) + " FROM filled")
+       + ", ".join(f"0 AS {n}" for n in payloads.PROGRAMME_ZEROS)
+       + " FROM (SELECT DISTINCT naam, c_nationkey, v, g2, taal, jaar FROM filled)")
 def job_payload_programme(spark, sf_dir):
     key = col("c_custkey")
 
@@ -518,7 +520,7 @@ exams AS (SELECT module, arg_min(jaar, k) AS jaar FROM acts WHERE kept = 1 AND n
 timetable AS (
   SELECT ter_module_code AS unl_vakcode, r.unl_jaar, r.* EXCLUDE (ter_module_code, unl_jaar, f1, f2), f1 AS unl_werkvorm1naam, f2 AS unl_werkvorm2naam,
          {_slot_sql(1)}, {_slot_sql(2)},
-         CASE WHEN ck IS NOT NULL THEN 'Vak ' || ck END AS unl_name, CASE WHEN ck % 9 <> 0 THEN 6.0 END AS unl_ecs, CASE WHEN n % 4 <> 0 THEN n % 2 = 0 END AS unl_verplichtkeuze,
+         CASE WHEN ck IS NOT NULL THEN 'Vak ' || ck END AS unl_name, CASE WHEN ck % 9 <> 0 THEN CAST(6 AS DOUBLE) END AS unl_ecs, CASE WHEN n % 4 <> 0 THEN n % 2 = 0 END AS unl_verplichtkeuze,
          CAST(per AS INTEGER) AS period, begin_ AS unl_startdatum, end_ AS einddatum, round_even((end_ - begin_) / 7, 0) AS weeks_diff,
          CASE WHEN ck % 3 = 1 THEN 'Premaster' ELSE CAST(k % 4 + 1 AS VARCHAR) END AS unl_vakjaar,
          CASE WHEN ck IS NULL THEN NULL WHEN ck % 2 = 0 THEN 'Nederlands (NL)' ELSE 'Frans' END AS unl_taalvanvak,
@@ -554,3 +556,58 @@ def job_timetable_workload(spark, sf_dir):
     minutes = [F.round(F.aggregate(col(n), F.lit(0.0), lambda a, x: a + x), 4).alias(n) for n in MINUTES_OUT]
     return out.select(*cols(PLAIN_OUT), *[F.array_join(col(n).cast("array<string>"), ",").alias(n) for n in LIST_OUT], *minutes,
                       "UAS_Vak_Periode_start")
+
+
+def payload_inputs(spark, sf_dir):
+    """The form's own lists for the timetable's courses."""
+    customer = table(spark, sf_dir, "customer")
+    key = col("c_custkey")
+    labels = table(spark, sf_dir, "orders").select((2021 + col("o_orderkey") % 3).cast("int").alias("y")).distinct()
+    years = labels.select(F.concat(F.lit("J"), "y").alias("unl_collegejaarid"), F.concat("y", F.lit("-"), col("y") + 1).alias("unl_name"))
+    programmes = customer.filter(key % 4 != 3).select(
+        F.concat(F.lit("O"), key).alias("unl_opleidingid"), key.cast("string").alias("unl_opleidingscodeisat"),
+        F.concat(F.lit("M Programme "), 2021 + F.floor(key / 2) % 2, F.lit("-"), 2022 + F.floor(key / 2) % 2).alias("unl_name"))
+    known = customer.filter(key % 3 != 0).select(
+        F.concat(F.lit("V"), key).alias("unl_vakcode"), F.concat(F.lit("id"), key).alias("unl_vakid"), F.lit("J2022").alias("_unl_jaar_value"))
+    groups = customer.select(F.explode(F.array(F.lit(2020), F.lit(2021), F.lit(2022))).alias("UAS_Vak_Jaar"), key).select(
+        F.concat(F.lit("V"), key).alias("Code"), "UAS_Vak_Jaar",
+        F.when((key + col("UAS_Vak_Jaar")) % 3 == 0, (key % 5).cast("double")).alias("unl_vak_jaar_code"))
+    return {"ref_academic_years": years, "ref_programmes": programmes, "ref_courses": known, "target_groups": groups}
+
+
+COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm1naam", "unl_werkvorm2naam", "unl_verplichtkeuze", "unl_taalvanvak",
+              "unl_eindtoetsnaam", "unl_hoorcollegegroepen", "unl_werkvorm1groepen", "unl_vakid", "unl_Jaar@odata.bind", "unl_Opleiding@odata.bind"]
+
+
+@query("WITH " + TIMETABLE_SQL + f""", bound AS (
+    SELECT t.*, CAST(CASE unl_vakjaar WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 WHEN '4' THEN 941790000 WHEN 'Premaster' THEN 4 END AS DOUBLE) AS vakjaar,
+           CASE WHEN c_custkey IS NOT NULL THEN 'unl_opleidings(O' || c_custkey || ')' END AS opl,
+           coalesce(lec_n_groups[1], NULL) AS lec, lec_minutes_per_group_week[1] / 60 AS lec_hours, CAST(substr(unl_jaar, 1, 4) AS INTEGER) AS jaar
+    FROM timetable t LEFT JOIN customer ON c_custkey = "INS_Opleidingscode_actueel" AND c_custkey % 4 <> 3
+      AND (2021 + c_custkey // 2 % 2) || '-' || (2022 + c_custkey // 2 % 2) = unl_jaar),
+  filled AS (SELECT *, coalesce(opl, first_value(opl IGNORE NULLS) OVER (PARTITION BY unl_vakcode ORDER BY source_order NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS opl2 FROM bound),
+  kept AS (SELECT * FROM filled WHERE opl2 IS NOT NULL),
+  groups AS (
+    SELECT 'V' || c_custkey AS code, y, CASE WHEN (c_custkey + y) % 3 = 0 THEN CAST(c_custkey % 5 AS DOUBLE) END AS c FROM customer, range(2021, 2023) r(y)),
+  groups_filled AS (
+    SELECT code, y, coalesce(c, lag(c) OVER (PARTITION BY code ORDER BY y), lead(c) OVER (PARTITION BY code ORDER BY y)) AS c FROM groups),
+  repaired AS (
+    SELECT *, coalesce(unl_eindtoetsnaam, lag(unl_eindtoetsnaam) OVER (PARTITION BY unl_vakcode, unl_name ORDER BY unl_jaar, source_order NULLS LAST)) AS exam,
+           CASE WHEN unl_verplichtkeuze THEN 1 WHEN NOT unl_verplichtkeuze THEN 2 END AS keuze FROM kept)
+  SELECT unl_vakcode, unl_name, unl_ecs, coalesce(vakjaar, c) AS unl_vakjaar,
+         CAST(CASE unl_werkvorm1naam WHEN '{TRIP}' THEN 941790010 WHEN '{GUIDED}' THEN 941790004 END AS INTEGER) AS unl_werkvorm1naam,
+         CAST(CASE unl_werkvorm2naam WHEN '{TRIP}' THEN 941790010 WHEN '{GUIDED}' THEN 941790004 END AS INTEGER) AS unl_werkvorm2naam,
+         CAST(coalesce(keuze, lag(keuze) OVER (PARTITION BY unl_vakcode, unl_name ORDER BY unl_jaar, source_order NULLS LAST)) AS INTEGER) AS unl_verplichtkeuze,
+         CAST(CASE unl_taalvanvak WHEN 'Nederlands (NL)' THEN 941790000 END AS INTEGER) AS unl_taalvanvak,
+         CAST(CASE WHEN unl_ecs IS NOT NULL THEN coalesce(exam, 941790006) END AS INTEGER) AS unl_eindtoetsnaam,
+         lec AS unl_hoorcollegegroepen, unl_werkvorm1groepen[1] AS unl_werkvorm1groepen,
+         CASE WHEN c_custkey IS NOT NULL THEN 'id' || c_custkey END AS unl_vakid,
+         'unl_collegejaars(J' || jaar || ')' AS "unl_Jaar@odata.bind", opl2 AS "unl_Opleiding@odata.bind"
+  FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar
+  LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_custkey % 3 <> 0 AND jaar = 2022""")
+def job_payload_course(spark, sf_dir):
+    rows = _timetable(spark, sf_dir)
+    # one raw type per form, so that every list holds at most one value and unnests to one row
+    form = rows.withColumns({f.name: F.slice(col(f.name), 1, 1) for f in rows.schema.fields if f.dataType.typeName() == "array"})
+    return payloads.course_payload({"timetable": form, **payload_inputs(spark, sf_dir)}).select(*cols(COURSE_OUT))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.arrays import list_sum
 from ..names import col
+from ..operators.reshape import nested_field
 from ..session import scratch_path
 from ..sources import delimited, files, nested, stages
 from .registry import query, table
@@ -202,7 +203,7 @@ def src_nested_activities(spark, sf_dir):
     activities_from_orders(table(spark, sf_dir, "orders")).write.parquet(path)
     kept = nested.keep_activity_files(spark.read.parquet(path))
     return kept.select("source_order", "jaar", "unl_jaar", F.size("ter_events").alias("n_events"),
-                       list_sum(col("ter_events.activityDurationMins")).alias("minutes"))
+                       list_sum(nested_field(kept, "ter_events", "activityDurationMins")).alias("minutes"))
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS unl_custid, c_name AS unl_name, "

@@ -13,9 +13,21 @@ from pyspark.sql import Column, functions as F
 Key = str | tuple[str, str]
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text, exact also when it holds dots, blanks, '@' or '/'."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: object) -> str:
+    """A text or number as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def col(name: str) -> Column:
-    """A column by its exact name, also when it holds dots, blanks, '@' or '/'."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(quoted(name))
 
 
 def cols(names: Sequence[str]) -> list[Column]:

@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.arrays import is_empty_list
-from ..names import col, cols
+from ..names import col, cols, literal, quoted
 
 
 def names_with_prefix(df: DataFrame, prefix: str) -> list[str]:
@@ -124,11 +124,9 @@ def mean_of(names: Sequence[str]) -> Column:
 def pick_by_name(name_column: str, sources: Mapping[str, str], existing: Sequence[str]) -> Column:
     """The value of the column that belongs to the name in `name_column`; NULL for other names
     and for names whose column does not exist."""
-    out = F.lit(None)
-    for name, source in reversed(list(sources.items())):
-        if source in existing:
-            out = F.when(col(name_column) == name, col(source)).otherwise(out)
-    return out
+    branches = [f"WHEN {quoted(name_column)} = {literal(name)} THEN {quoted(source)}"
+                for name, source in sources.items() if source in existing]
+    return F.expr(f"CASE {' '.join(branches)} END") if branches else F.lit(None)
 
 
 def clear_if_all_empty(df: DataFrame, target: str, companions: Sequence[str]) -> DataFrame:

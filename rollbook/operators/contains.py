@@ -17,8 +17,7 @@ from .joins import left_join
 def _substrings(names: DataFrame, name: str, needles: DataFrame, needle: str) -> DataFrame:
     """(name, piece): the substrings of each distinct name that can equal a needle."""
     distinct = names.select(col(name).alias("__name")).filter(col("__name") != "").distinct()
-    longest = distinct.agg(F.coalesce(F.max(F.length("__name")), F.lit(0))).scalar()
-    lengths = (needles.select(F.length(col(needle)).alias("n")).filter((F.col("n") > 0) & (F.col("n") <= longest))
+    lengths = (needles.select(F.length(col(needle)).alias("n")).filter(F.col("n") > 0)
                .agg(F.sort_array(F.collect_set("n"))).scalar())
     spread = distinct.withColumn("__n", F.explode(lengths)).filter(col("__n") <= F.length("__name"))
     starts = F.sequence(F.lit(1), F.length("__name") - col("__n") + 1)

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.strings import text_or_na
-from ..names import col, cols
+from ..names import col, cols, literal, quoted
 from .columns import zero_missing
 
 
@@ -18,18 +18,19 @@ def unite(df: DataFrame, out: str, names: Sequence[str], sep: str = "-") -> Data
     return df.select(*cols([c for c in df.columns if c not in names]), united.alias(out))
 
 
-def _single(value: Column, present: Column) -> Column:
-    """The cell's one value; several rows for a cell raise."""
-    rows = F.count_if(F.coalesce(present, F.lit(False)))
-    return F.when(rows > 1, F.raise_error(F.lit("several rows for one cell of the pivot"))).otherwise(
-        F.max(F.when(present, value)))
+def _single(names_from: str, name: object, value: str) -> str:
+    """SQL for a cell's one value; several rows for a cell raise. Wide pivots have many cells,
+    which as SQL text take one call each to build."""
+    here = f"{quoted(names_from)} = {literal(name)}"
+    return (f"CASE WHEN count_if(coalesce({here}, false)) > 1 THEN raise_error('several rows for one cell of the pivot') "
+            f"ELSE max(CASE WHEN {here} THEN {quoted(value)} END) END")
 
 
 def pivot_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,
                values: Sequence, fill: object | None = None, prefix: str = "") -> DataFrame:
     """One column per listed value of `names_from`; absent cells are NULL, or `fill`.
     A cell with several rows raises."""
-    cells = [_single(col(values_from), col(names_from) == F.lit(v)).alias(f"{prefix}{v}") for v in values]
+    cells = [F.expr(_single(names_from, v, values_from)).alias(f"{prefix}{v}") for v in values]
     wide = df.groupBy(*cols(ids)).agg(*cells)
     if fill is None:
         return wide
@@ -40,17 +41,16 @@ def pivot_count(df: DataFrame, ids: Sequence[str], label: Column, labels: Sequen
                 total: str | None = None) -> DataFrame:
     """Rows per label as columns, 0 where there are none. The total counts all rows of the
     group, also those with a label not listed. One aggregation, no second pass."""
-    counts = [F.count_if(F.coalesce(label == F.lit(x), F.lit(False))).alias(x) for x in labels]
+    counts = [F.expr(f"count_if(coalesce(__label = {literal(x)}, false))").alias(x) for x in labels]
     if total:
         counts.append(F.count(F.lit(1)).alias(total))
-    return df.groupBy(*cols(ids)).agg(*counts)
+    return df.select(*cols(ids), label.alias("__label")).groupBy(*cols(ids)).agg(*counts)
 
 
 def pivot_wide_values(df: DataFrame, ids: Sequence[str], names_from: str,
                       values_from: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Several value columns at once, named <value column>_<name>."""
-    cells = [_single(col(m), col(names_from) == F.lit(v)).alias(f"{m}_{v}")
-             for m in values_from for v in values]
+    cells = [F.expr(_single(names_from, v, m)).alias(f"{m}_{v}") for m in values_from for v in values]
     return df.groupBy(*cols(ids)).agg(*cells)
 
 
@@ -65,11 +65,11 @@ def pivot_wide_lists(df: DataFrame, ids: Sequence[str], label: str, groups: Mapp
     cells = []
     for measure in values_from:
         for name, raw in groups.items():
-            single = [_single(col(measure), col(label) == F.lit(r)) for r in sorted(raw)]
-            cells.append(F.array_compact(F.array(*single)).alias(f"{measure}_{name}"))
+            single = ", ".join(_single(label, r, measure) for r in sorted(raw))
+            cells.append(F.expr(f"array_compact(array({single}))").alias(f"{measure}_{name}"))
     wide = df.groupBy(*cols(ids)).agg(*cells)
-    names = [c for c in wide.columns if c not in ids]
-    return wide.withColumns({n: F.when(F.size(col(n)) > 0, col(n)) for n in names})
+    names = [quoted(c) for c in wide.columns if c not in ids]
+    return wide.selectExpr(*[quoted(i) for i in ids], *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in names])
 
 
 def pivot_long(df: DataFrame, columns: Sequence[str], names_to: str, values_to: str) -> DataFrame:
@@ -96,20 +96,16 @@ def unnest_parallel(df: DataFrame, columns: Sequence[str], place: str | None = N
     """Unnest several list columns together. A list of one is repeated, a missing or empty list
     gives NULL, a row without any element is dropped, and other lengths that differ raise.
     `place` keeps the position in the list as a column of that name."""
-    sizes = [F.coalesce(F.size(col(c)), F.lit(0)) for c in columns]
-    longest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    fits = [(s <= 1) | (s == col("__longest")) for s in sizes]
-    ok = fits[0]
-    for f in fits[1:]:
-        ok = ok & f
-    kept = (df.withColumn("__longest", longest).filter(col("__longest") > 0)
-            .filter(F.when(~ok, F.raise_error(F.lit("lists of different lengths in one row")))
-                    .otherwise(F.lit(True))))
-    kept = kept.withColumn("__i", F.explode(F.sequence(F.lit(1), col("__longest"))))
-    picked = {c: F.try_element_at(col(c), F.when(F.size(col(c)) == 1, F.lit(1)).otherwise(col("__i")))
-              for c in columns}
-    out = kept.withColumns(picked).drop("__longest")
-    return out.withColumnRenamed("__i", place) if place else out.drop("__i")
+    sizes = "array(" + ", ".join(f"coalesce(size({quoted(c)}), 0)" for c in columns) + ")"
+    # the check sits in the generator: a filter would be pushed down with a copy of every list
+    places = (f"CASE WHEN size(filter(array_distinct({sizes}), n -> n > 1)) > 1 "
+              f"THEN raise_error('lists of different lengths in one row') "
+              f"WHEN array_max({sizes}) > 0 THEN sequence(1, array_max({sizes})) END")
+    i = quoted(place or "__i")
+    kept = df.select("*", F.explode(F.expr(places)).alias(place or "__i"))
+    picked = {quoted(c): f"try_element_at({quoted(c)}, if(size({quoted(c)}) = 1, 1, {i}))" for c in columns}
+    out = kept.selectExpr(*[f"{picked[n]} AS {n}" if (n := quoted(c)) in picked else n for c in kept.columns])
+    return out if place else out.drop("__i")
 
 
 def nested_field(df: DataFrame, nested: str, field: str) -> Column:

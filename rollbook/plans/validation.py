@@ -11,6 +11,7 @@ from ..operators.columns import total_of
 from ..operators.contains import keep_contained, replace_by_contained
 from ..operators.joins import left_join
 from ..operators.windows import attach, keep_first
+from ..session import shared_folder
 from .enrolment import programme_enrolment
 
 # Column names of the hand-made table, by origin.
@@ -25,6 +26,9 @@ def validate_programmes(inputs: Mapping[str, DataFrame], institution: str, year:
     counts = programme_enrolment(inputs["enrolments"], institution, keys=YEAR_KEYS)
     counts = counts.filter(col("INS_Inschrijvingsjaar_EOI") == year)
     counts = counts.withColumn("INS_Opleidingsnaam_2002", F.upper("INS_Opleidingsnaam_2002"))
+    # one small row per programme, used by each step below: count the enrolments once
+    shared_folder(counts.sparkSession)
+    counts = counts.checkpoint()
 
     asked = inputs["expected_programmes"]
     asked = keep_first(asked, ["Naam"], list(EXPECTED.values())).withColumn("naam_hoofdletters", F.upper("Naam"))

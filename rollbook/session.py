@@ -25,6 +25,7 @@ def local_session(cores: str | int = "*", app: str = "rollbook", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
