@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..names import col, cols
 from ..plans import courses, enrolment, finance, payloads, staff, timetable, validation
+from ..session import scratch_path
+from ..sources import stages
 from .aggregates import workload_sql
 from .registry import query, table
 from .sources import ACTIVITIES_SQL, activities_from_orders
@@ -607,7 +609,9 @@ COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm
   FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar
   LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_custkey % 3 <> 0 AND jaar = 2022""")
 def job_payload_course(spark, sf_dir):
-    rows = _timetable(spark, sf_dir)
+    place = stages.Stages(scratch_path(spark, "timetable"))
+    place.write(_timetable(spark, sf_dir), "timetable", "prepare")
+    rows = place.read(spark, "timetable", "send")
     # one raw type per form, so that every list holds at most one value and unnests to one row
     form = rows.withColumns({f.name: F.slice(col(f.name), 1, 1) for f in rows.schema.fields if f.dataType.typeName() == "array"})
     return payloads.course_payload({"timetable": form, **payload_inputs(spark, sf_dir)}).select(*cols(COURSE_OUT))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..names import col, cols, sort_columns
-from .hot_groups import join_small, split_groups
+from .hot_groups import PART, join_small, split_groups
 from .keyed import left_join
 
 
@@ -101,14 +101,22 @@ def attach(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame
     return left_join(df, groups, list(keys))
 
 
-def fill_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def fill_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
+               max_rows: int | None = None) -> DataFrame:
     """Missing values become the group's first value present."""
-    for c in columns:
-        present = df.filter(col(c).isNotNull())
-        first = keep_first(present, keys, order).select(*cols(keys), col(c).alias("__first_value"))
-        df = left_join(df, first, list(keys))
-        df = df.withColumn(c, F.coalesce(col(c), col("__first_value"))).drop("__first_value")
-    return df
+    split = split_groups(df, keys, order, max_rows)
+    whole = split.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = {f"__first_{i}": F.first(col(c), True).over(whole) for i, c in enumerate(columns)}
+    work = split.df.withColumns(first)
+    if split.hot:
+        for i, c in enumerate(columns):
+            parts = split.edge(c, last=False, out=f"__group_{i}", skip_missing=True)
+            earliest = keep_first(parts, split.keys, [PART]).drop(PART)
+            work = join_small(work, earliest, split.keys)
+            # a part may hold a value although an earlier part held the first one
+            work = work.withColumn(f"__first_{i}", F.coalesce(col(f"__group_{i}"), col(f"__first_{i}")))
+    filled = work.withColumns({c: F.coalesce(col(c), col(f"__first_{i}")) for i, c in enumerate(columns)})
+    return split.finish(filled.drop(*[f"__{kind}_{i}" for i in range(len(columns)) for kind in ("first", "group")]))
 
 
 def collapse_text(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str,

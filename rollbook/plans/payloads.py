@@ -18,6 +18,7 @@ from ..operators.columns import add_constants, rename_by_documentation, zero_mis
 from ..operators.joins import left_join, left_join_checked, lookup_either_key, lookup_reference
 from ..operators.reshape import pivot_wide, unnest_parallel
 from ..operators.windows import fill_down_up, fill_first, fill_from_previous, keep_first
+from ..session import shared_folder
 from .timetable import WRITTEN_EXAM
 
 # Fields the form requires although nothing is reported in them.
@@ -208,6 +209,9 @@ def course_payload(inputs: Mapping[str, DataFrame], variant: str = "new", order:
                              for p in ("werkvorm2", "hoorcollege")})
 
     form = keep_first(form, ["unl_vakcode", "unl_jaar"], [order, "__place"]).drop("__place")
+    # one row per course and year, read several times below
+    shared_folder(form.sparkSession)
+    form = form.checkpoint()
     form = left_join_checked(form, target_groups(inputs["target_groups"]),
                              [("unl_vakcode", "Code"), ("unl_jaar", "group_year")], "one-to-one")
     form = form.withColumn("unl_vakjaar", F.coalesce(col("unl_vakjaar"), col("unl_vak_jaar_code").cast("double")))

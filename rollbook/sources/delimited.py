@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.strings import format_european_number, parse_european_number, trim_all
 from ..names import col, cols
+from .files import decode_path, list_files
 
 SOURCE_ORDER = ["source_file", "source_block", "source_line"]
 _LINES = "source_file string, source_block long, source_line long, value string"
@@ -47,7 +48,7 @@ def read_lines_after(spark: SparkSession, paths: str | Sequence[str], skip: int)
             yield out.filter(pa.array((place >= skip) | (block > 0)))
 
     kept = lines.mapInArrow(drop_first, _LINES)
-    return kept.withColumn("source_file", F.url_decode("source_file"))
+    return kept.withColumn("source_file", decode_path(col("source_file")))
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
@@ -118,8 +119,6 @@ def read_zip_lines(spark: SparkSession, folder: str, pattern: str = r"\.zip$",
     the path in batches, so an archive is never held whole in a row or in memory. A zip can
     not be split: put large deliveries in several zips.
     """
-    from .files import list_files
-
     paths = list_files(spark, folder, pattern).select("path")
     parallel = spark.sparkContext.defaultParallelism
     batch_lines = 20_000

@@ -7,9 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.strings import extract
 
 
+def decode_path(path: Column) -> Column:
+    """The plain path. File metadata is URL-encoded: a blank reads %20, a plus sign stays one."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def export_path() -> Column:
-    """Decoded path of the row's file. File metadata is URL-encoded: a blank reads %20."""
-    return F.url_decode(F.col("_metadata.file_path"))
+    """Decoded path of the row's file."""
+    return decode_path(F.col("_metadata.file_path"))
 
 
 def _without_part(path: Column) -> Column:

@@ -1,0 +1,127 @@
+"""Groups cut in parts give the same rows as whole ones, also against a plain Python loop."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rollbook.operators.hot_groups import split_groups
+from rollbook.operators.windows import (attach, collapse_text, fill_down_up, fill_first, fill_from_previous,
+                                        keep_first, number_rows, top_rows)
+
+ORDER = ["day", "-rank", "id"]
+CUT = 60
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """A third of all rows in one key, a third without a key, ties and gaps in the order."""
+    rng = random.Random(7)
+    out = []
+    for i in range(900):
+        key = rng.choice(["hot", None, rng.choice("abcdefgh")])
+        out.append((key, rng.choice([None, rng.randrange(30)]), rng.choice([None, "x", "y", "z"]), i,
+                    rng.choice([None, None, None, float(i)]), rng.choice([None, None, f"v{i}"])))
+    return out
+
+
+@pytest.fixture(scope="module")
+def df(spark, rows):
+    return spark.createDataFrame(rows, "key string, day int, rank string, id int, a double, b string").repartition(7)
+
+
+def ordered_groups(rows, by_key=True):
+    def place(r):
+        return (r[1] is None, r[1] or 0, r[2] is None, -ord(r[2]) if r[2] else 0, r[3])
+    groups = {}
+    for r in sorted(rows, key=place):
+        groups.setdefault(r[0] if by_key else None, []).append(r)
+    return groups
+
+
+def by_id(df, *names):
+    return {r["id"]: tuple(r[n] for n in names) for r in df.collect()}
+
+
+def test_hot_keys_are_cut_in_bounded_parts(df):
+    split = split_groups(df, ["key"], ORDER, CUT)
+    assert split.hot
+    sizes = [r["__rows"] for r in split.parts().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 4 * CUT
+    assert sum(sizes) == df.filter("key = 'hot' OR key IS NULL").count()
+
+
+def test_without_hot_keys_the_plan_is_the_plain_window(df, plan_of):
+    plan = plan_of(number_rows(df, ["key"], ORDER))
+    assert "Window" in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("limit", [CUT, 5, 100_000])
+def test_number_rows(df, rows, limit):
+    expected = {r[3]: (n,) for g in ordered_groups(rows).values() for n, r in enumerate(g, 1)}
+    assert by_id(number_rows(df, ["key"], ORDER, "n", limit), "n") == expected
+
+
+@pytest.mark.parametrize("limit", [CUT, 100_000])
+def test_number_rows_of_whole_table(df, rows, limit):
+    expected = {r[3]: (n,) for n, r in enumerate(ordered_groups(rows, False)[None], 1)}
+    assert by_id(number_rows(df, [], ORDER, "n", limit), "n") == expected
+
+
+@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
+def test_fill_from_previous(df, rows, limit):
+    expected = {}
+    for group in ordered_groups(rows).values():
+        for i, r in enumerate(group):
+            before = group[i - 1] if i else (None,) * 6
+            expected[r[3]] = tuple(r[c] if r[c] is not None else before[c] for c in (4, 5))
+    assert by_id(fill_from_previous(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+
+
+@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
+def test_fill_down_up(df, rows, limit):
+    expected = {}
+    for group in ordered_groups(rows).values():
+        for i, r in enumerate(group):
+            def fill(c):
+                near = [g[c] for g in reversed(group[:i + 1]) if g[c] is not None] + [g[c] for g in group[i:] if g[c] is not None]
+                return near[0] if near else None
+            expected[r[3]] = (fill(4), fill(5))
+    assert by_id(fill_down_up(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+
+
+@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
+def test_fill_first(df, rows, limit):
+    expected = {}
+    for group in ordered_groups(rows).values():
+        first = [next((g[c] for g in group if g[c] is not None), None) for c in (4, 5)]
+        for r in group:
+            expected[r[3]] = tuple(r[c] if r[c] is not None else f for c, f in zip((4, 5), first))
+    assert by_id(fill_first(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+
+
+@pytest.mark.parametrize("limit", [CUT, 100_000])
+def test_collapse_text_in_parts_and_whole(df, rows, limit):
+    groups = ordered_groups(rows)
+    whole = {r["key"]: r["t"] for r in collapse_text(df, ["key"], "b", ORDER, "t", "|", None, limit).collect()}
+    assert whole == {k: "|".join(r[5] or "NA" for r in g) for k, g in groups.items()}
+    parts = collapse_text(df, ["key"], "b", ORDER, "t", "|", 10, limit).collect()
+    assert max(p["t"].count("|") for p in parts) == 9
+    for key, group in groups.items():
+        texts = [p["t"] for p in sorted((p for p in parts if p["key"] == key), key=lambda p: p["part"])]
+        assert "|".join(texts) == "|".join(r[5] or "NA" for r in group)
+
+
+def test_first_rows_are_pruned_before_the_shuffle(df, rows, plan_of):
+    first = keep_first(df, ["key"], ORDER)
+    assert {r["key"]: r["id"] for r in first.collect()} == {k: g[0][3] for k, g in ordered_groups(rows).items()}
+    plan = plan_of(df.sparkSession.createDataFrame(df.collect(), df.schema).transform(lambda d: top_rows(d, ["key"], ORDER, 3)))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_attach_is_aggregated_before_the_join(df, rows, plan_of):
+    totals = attach(df, ["key"], F.sum("a").alias("t"), F.count(F.lit(1)).alias("n"))
+    groups = ordered_groups(rows)
+    for r in totals.collect():
+        assert r["n"] == len(groups[r["key"]])
+    assert "Window" not in plan_of(totals) and "partial_count" in plan_of(totals)
