@@ -570,7 +570,8 @@ def payload_inputs(spark, sf_dir):
         F.concat(F.lit("O"), key).alias("unl_opleidingid"), key.cast("string").alias("unl_opleidingscodeisat"),
         F.concat(F.lit("M Programme "), 2021 + F.floor(key / 2) % 2, F.lit("-"), 2022 + F.floor(key / 2) % 2).alias("unl_name"))
     known = customer.filter(key % 3 != 0).select(
-        F.concat(F.lit("V"), key).alias("unl_vakcode"), F.concat(F.lit("id"), key).alias("unl_vakid"), F.lit("J2022").alias("_unl_jaar_value"))
+        F.concat(F.lit("V"), key).alias("unl_vakcode"), F.concat(F.lit("id"), key).alias("unl_vakid"),
+        F.concat(F.lit("J"), 2021 + key % 2).alias("_unl_jaar_value"))
     groups = customer.select(F.explode(F.array(F.lit(2020), F.lit(2021), F.lit(2022))).alias("UAS_Vak_Jaar"), key).select(
         F.concat(F.lit("V"), key).alias("Code"), "UAS_Vak_Jaar",
         F.when((key + col("UAS_Vak_Jaar")) % 3 == 0, (key % 5).cast("double")).alias("unl_vak_jaar_code"))
@@ -607,7 +608,7 @@ COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm
          CASE WHEN c_custkey IS NOT NULL THEN 'id' || c_custkey END AS unl_vakid,
          'unl_collegejaars(J' || jaar || ')' AS "unl_Jaar@odata.bind", opl2 AS "unl_Opleiding@odata.bind"
   FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar
-  LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_custkey % 3 <> 0 AND jaar = 2022""")
+  LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_custkey % 3 <> 0 AND jaar = 2021 + c_custkey % 2""")
 def job_payload_course(spark, sf_dir):
     place = stages.Stages(scratch_path(spark, "timetable"))
     place.write(_timetable(spark, sf_dir), "timetable", "prepare")

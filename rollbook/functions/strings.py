@@ -36,18 +36,26 @@ def _accent_map() -> tuple[str, str]:
 
 
 def to_ascii(c: Column) -> Column:
-    """Latin letters to ASCII: accents dropped, ß to ss, æ to ae and so on."""
+    """Latin letters to ASCII: accents dropped, ß to ss, æ to ae and so on. Text that is ASCII
+    already is left alone, and each step runs only on text that has something for it."""
     source, target = _accent_map()
-    out = F.regexp_replace(c, r"(?<=[A-Za-z])\p{Mn}+", "")
+    out = F.when(c.rlike(r"\p{Mn}"), F.regexp_replace(c, r"(?<=[A-Za-z])\p{Mn}+", "")).otherwise(c)
     out = F.translate(out, source, target)
+    spelled = out
     for sign, plain in ASCII_REPLACEMENTS.items():
-        out = F.replace(out, F.lit(sign), F.lit(plain))
-    return out
+        spelled = F.replace(spelled, F.lit(sign), F.lit(plain))
+    out = F.when(out.rlike("[" + "".join(ASCII_REPLACEMENTS) + "]"), spelled).otherwise(out)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(c)
+
+
+# The characters that count as white space.
+WHITE_SPACE = (" \t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 
 
 def trim_all(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def extract(c: Column, pattern: str) -> Column:

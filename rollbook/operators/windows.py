@@ -63,35 +63,32 @@ def fill_from_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def fill_down_up(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
                  max_rows: int | None = None) -> DataFrame:
-    """Per group the last value carried forward, then the first one backward."""
+    """Per group the last value carried forward, then the first one backward.
+
+    Only rows before the group's first value are left for the backward step, so they take the
+    first value of the whole group: a frame computed once, where one from each row to the end
+    would be computed again for every row.
+    """
     split = split_groups(df, keys, order, max_rows)
     down = split.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    up = split.window().rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-    def before(c: str) -> Column:
-        return F.last(col(c), True).over(down)
-
-    def after(c: str) -> Column:
-        return F.first(col(c), True).over(up)
-
-    if not split.hot:
-        return split.finish(split.df.withColumns({c: F.coalesce(before(c), after(c)) for c in columns}))
-    work = split.df.withColumns({f"__{kind}_{i}": fn(c) for i, c in enumerate(columns)
-                                 for kind, fn in (("before", before), ("after", after))})
-    earlier = split.part_window().rowsBetween(Window.unboundedPreceding, -1)
-    later = split.part_window().rowsBetween(1, Window.unboundedFollowing)
-    for i, c in enumerate(columns):
-        carried = join_small(split.parts(), split.edge(c, True, "__end", skip_missing=True), split.by)
-        carried = join_small(carried, split.edge(c, False, "__start", skip_missing=True), split.by)
-        carried = carried.select(*cols(split.by),
-                                 F.last("__end", True).over(earlier).alias(f"__down_{i}"),
-                                 F.first("__start", True).over(later).alias(f"__up_{i}"))
-        work = join_small(work, carried, split.by)
-    work = work.withColumns({
-        c: F.coalesce(*[col(f"__{kind}_{i}") for kind in ("before", "down", "after", "up")])
-        for i, c in enumerate(columns)})
-    helpers = [f"__{kind}_{i}" for i in range(len(columns)) for kind in ("before", "after", "down", "up")]
-    return split.finish(work.drop(*helpers))
+    whole = split.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    work = split.df.withColumns({
+        f"__{kind}_{i}": value for i, c in enumerate(columns)
+        for kind, value in (("before", F.last(col(c), True).over(down)), ("first", F.first(col(c), True).over(whole)))})
+    kinds = ["before", "first"]
+    if split.hot:
+        kinds = ["before", "down", "first", "up"]
+        earlier = split.part_window().rowsBetween(Window.unboundedPreceding, -1)
+        later = split.part_window().rowsBetween(1, Window.unboundedFollowing)
+        for i, c in enumerate(columns):
+            carried = join_small(split.parts(), split.edge(c, True, "__end", skip_missing=True), split.by)
+            carried = join_small(carried, split.edge(c, False, "__start", skip_missing=True), split.by)
+            carried = carried.select(*cols(split.by),
+                                     F.last("__end", True).over(earlier).alias(f"__down_{i}"),
+                                     F.first("__start", True).over(later).alias(f"__up_{i}"))
+            work = join_small(work, carried, split.by)
+    filled = work.withColumns({c: F.coalesce(*[col(f"__{kind}_{i}") for kind in kinds]) for i, c in enumerate(columns)})
+    return split.finish(filled.drop(*[f"__{kind}_{i}" for i in range(len(columns)) for kind in kinds]))
 
 
 def attach(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.conditions import band, case_when
 from ..functions.numbers import clamp_negative, scale_where
-from ..functions.strings import extract, paste, replace_all, replace_first, trim_all
+from ..functions.strings import paste, replace_all, replace_first, trim_all
 from ..names import col, cols
 from ..operators.columns import mean_of, zero_missing
 from ..operators.joins import translate
@@ -34,9 +34,10 @@ def prepare_staff(inputs: Mapping[str, DataFrame]) -> DataFrame:
     staff = translate(staff, inputs["profit_centre_mapping"], "Profit_center_afkorting", "Faculteit", keep_original=False)
     description = col("Omschrijving")
     for old, new in RENAMED_FUNCTIONS.items():
-        description = replace_first(description, old, new)
+        description = F.when(description.contains(old), replace_first(description, old, new)).otherwise(description)
     staff = zero_missing(staff, MONTHS)
-    scale = extract(col("Salaris Schaal"), "[^/]+$")
+    # what follows the last slash
+    scale = F.nullif(F.substring_index(col("Salaris Schaal"), "/", -1), F.lit(""))
     return staff.select(
         col("WP of OBP").alias("staff_kind"), "Geldstroom", "Kernactiviteit", "Jaar", "Faculteit",
         mean_of(MONTHS).alias("FTE_gemiddelde"),

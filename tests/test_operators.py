@@ -155,6 +155,7 @@ def test_text_rules(spark):
     c = F.col("c")
     assert one(spark, strings.replace_first(c, "a", "$1\\"), c=("string", "\nbanana")) == "\nb$1\\nana"
     assert one(spark, strings.replace_first(c, "^b", "x"), c=("string", "bab")) == "xab"
+    assert one(spark, strings.trim_all(c), c=("string", "\u00a0\t a b\u2003\r\n")) == "a b"
     assert one(spark, strings.extract(c, "[^/]+$"), c=("string", "a/b/005")) == "005"
     assert one(spark, strings.extract(c, "z"), c=("string", "a")) is None
     assert one(spark, strings.paste(c, F.lit(1), sep=" - "), c=("string", None)) == "NA - 1"
