@@ -28,10 +28,10 @@ def keep_label_or_latest(df: DataFrame, keys: Sequence[str], period: str, label:
 
 
 def frequency_table(df: DataFrame, name: str) -> DataFrame:
-    """Rows and share by value. The total is a scalar subquery, not a window over all groups."""
+    """Rows and share by value. The total is a scalar subquery over the counts, whose shuffle it
+    shares, and not a window over all groups in one task."""
     counts = df.groupBy(col(name)).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("percent", col("n") / total)
+    return counts.withColumn("percent", col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

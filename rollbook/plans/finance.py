@@ -51,11 +51,12 @@ def finance_long(inputs: Mapping[str, DataFrame], order: Sequence[str], strict_m
     names in parts of bounded size.
     """
     lines = finance_lines(inputs, order, strict_max)
-    place = [*order, "amount_order"]
+    # with one number as the place, the amounts are summed in a hash aggregation
+    place = col(order[0]) if len(order) == 1 else F.struct(*cols(order))
     summed = lines.groupBy(*cols(CELL_KEYS)).agg(
-        sum_present(col("Waarde")).alias("Waarde"), F.min(F.struct(*cols(place))).alias("first_line"))
+        sum_present(col("Waarde")).alias("Waarde"), F.min(place).alias("first_line"))
     if names:
-        texts = collapse_text(lines, CELL_KEYS, "Toewijzing", place, "Naam_intern", part_rows=None)
+        texts = collapse_text(lines, CELL_KEYS, "Toewijzing", [*order, "amount_order"], "Naam_intern", part_rows=None)
         summed = left_join(summed, texts, CELL_KEYS)
     out = ["Faculteit", col(FIELD).alias("Veldnaam"), "Waarde", "Jaar", *(["Naam_intern"] if names else [])]
     return sort_rows(summed.select(*out, "first_line"), ["Faculteit", "Jaar", "first_line"]).drop("first_line")
