@@ -107,8 +107,8 @@ def join_two_roles(spark, sf_dir):
     calendar = orders.groupBy(col("y").alias("cal_year"), col("m").alias("cal_month")).agg(
         F.to_date(F.min("o_orderdate")).alias("d"))
     spans = orders.select("o_orderkey", "y", "m", (col("m") + col("o_orderkey") % 3 - 1).alias("e"))
-    started = joins.left_join(spans, calendar.withColumnRenamed("d", "start_date"), [("y", "cal_year"), ("m", "cal_month")])
-    ended = joins.left_join(started, calendar.withColumnRenamed("d", "end_date"), [("y", "cal_year"), ("e", "cal_month")])
+    started = joins.left_join(spans, calendar.withColumnRenamed("d", "start_date"), [("y", "cal_year"), ("m", "cal_month")], reference=True)
+    ended = joins.left_join(started, calendar.withColumnRenamed("d", "end_date"), [("y", "cal_year"), ("e", "cal_month")], reference=True)
     return ended.select("o_orderkey", "start_date", "end_date")
 
 

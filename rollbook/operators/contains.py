@@ -17,8 +17,9 @@ from .joins import left_join
 def _substrings(names: DataFrame, name: str, needles: DataFrame, needle: str) -> DataFrame:
     """(name, piece): the substrings of each distinct name that can equal a needle."""
     distinct = names.select(col(name).alias("__name")).filter(col("__name") != "").distinct()
-    lengths = (needles.select(F.length(col(needle)).alias("n")).filter(F.col("n") > 0)
-               .agg(F.sort_array(F.collect_set("n"))).scalar())
+    # the different lengths of names: a short list of numbers
+    found = needles.select(F.length(col(needle)).alias("n")).filter(F.col("n") > 0).distinct().collect()
+    lengths = F.array(*[F.lit(n) for n in sorted(r["n"] for r in found)]).cast("array<int>")
     spread = distinct.withColumn("__n", F.explode(lengths)).filter(col("__n") <= F.length("__name"))
     starts = F.sequence(F.lit(1), F.length("__name") - col("__n") + 1)
     return (spread.withColumn("__start", F.explode(starts))

@@ -74,7 +74,7 @@ def course_mart(inputs: Mapping[str, DataFrame], order: str = "source_order") ->
 
     courses = inputs["courses"].filter((col("UAS_Vak_Jaar") >= FIRST_YEAR) & col("UAS_Vak_Naam_NL").isNotNull())
     dated = left_join(courses, starts, [("UAS_Vak_Jaar", "INS_Inschrijvingsjaar"),
-                                        ("UAS_Vak_Periode_start", "ACA_Periode")])
+                                        ("UAS_Vak_Periode_start", "ACA_Periode")], reference=True)
     counted = left_join(dated, counts, [("UAS_Vak_Jaar", "Academisch_jaar"), ("UAS_Vak_Code", "RES_Module_code")])
     spoken = col("UAS_Opleiding_Onderwijstaal")
     language = case_when(*[(spoken == k, F.lit(v)) for k, v in LANGUAGES.items()], default=spoken)
@@ -82,14 +82,15 @@ def course_mart(inputs: Mapping[str, DataFrame], order: str = "source_order") ->
     one = keep_first(chosen.select(*cols(COURSE_COLUMNS), order), COURSE_KEYS + ["Startmoment_vak"], [order])
 
     ended = one.withColumn("UAS_Vak_Periode_einde", col("UAS_Vak_Periode_start") + col("UAS_Vak_Duur") - 1)
-    ended = left_join(ended, ends, [("UAS_Vak_Jaar", "INS_Inschrijvingsjaar"), ("UAS_Vak_Periode_einde", "ACA_Periode")])
+    ended = left_join(ended, ends, [("UAS_Vak_Jaar", "INS_Inschrijvingsjaar"), ("UAS_Vak_Periode_einde", "ACA_Periode")],
+                      reference=True)
     start = add_days_where(col("Startmoment_vak"), col("UAS_Vak_Periode_start") == 3, 14)
     ended = ended.withColumn("Startmoment_vak", start)
     ended = ended.withColumn("weeks_diff", round_half_even(weeks_between(col("ACA_Einddatum"), col("Startmoment_vak"))))
 
     programmes = keep_first(inputs["programme_map"].select("INS_Studieprogramma_CD", "INS_Opleidingscode_actueel"),
                             ["INS_Studieprogramma_CD"], ["INS_Opleidingscode_actueel"])
-    coded = left_join(ended, programmes, ("UAS_Vak_Opleidingscode_eigenaar", "INS_Studieprogramma_CD"))
+    coded = left_join(ended, programmes, ("UAS_Vak_Opleidingscode_eigenaar", "INS_Studieprogramma_CD"), reference=True)
     coded = left_join(coded, exam_codes(inputs["courses"], order), COURSE_KEYS)
     forms = inputs["exam_forms"].select("UAS_Vak_Jaar", "Code", to_number(col("toetsvorm_code"), "int").alias("form_code"), order)
     forms = keep_first(forms.withColumnRenamed(order, "form_order"), ["UAS_Vak_Jaar", "Code"], ["form_order"])

@@ -26,13 +26,13 @@ def validate_programmes(inputs: Mapping[str, DataFrame], institution: str, year:
     counts = programme_enrolment(inputs["enrolments"], institution, keys=YEAR_KEYS)
     counts = counts.filter(col("INS_Inschrijvingsjaar_EOI") == year)
     counts = counts.withColumn("INS_Opleidingsnaam_2002", F.upper("INS_Opleidingsnaam_2002"))
-    # one small row per programme, used by each step below: count the enrolments once
+    # one row per programme, read several times below: count the enrolments once
     shared_folder(counts.sparkSession)
     counts = counts.checkpoint()
 
     asked = inputs["expected_programmes"]
     asked = keep_first(asked, ["Naam"], list(EXPECTED.values())).withColumn("naam_hoofdletters", F.upper("Naam"))
-    counts = keep_contained(counts, "INS_Opleidingsnaam_2002", asked, "naam_hoofdletters")
+    counts = keep_contained(counts, "INS_Opleidingsnaam_2002", asked, "naam_hoofdletters").checkpoint()
     asked = replace_by_contained(asked, "naam_hoofdletters", counts, "INS_Opleidingsnaam_2002", "Naam_nieuw")
     asked = asked.select("Naam_nieuw", *[col(n) for n in EXPECTED.values()])
 
