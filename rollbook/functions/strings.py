@@ -116,5 +116,7 @@ def parse_european_number(c: Column) -> Column:
 
 
 def format_european_number(c: Column) -> Column:
-    """1234.5 to "1234,5"."""
-    return F.replace(c.cast("string"), F.lit("."), F.lit(","))
+    """1234.5 to "1234,5", also large numbers in full."""
+    full = F.regexp_replace(c.try_cast("decimal(38,6)").cast("string"), r"\.?0+$", "")
+    text = F.when(F.abs(c) >= 1e7, F.coalesce(full, c.cast("string"))).otherwise(c.cast("string"))
+    return F.replace(text, F.lit("."), F.lit(","))

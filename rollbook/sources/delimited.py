@@ -55,9 +55,8 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
                 na: Sequence[str] = ("",), keep: Sequence[str] = ()) -> DataFrame:
     """Split lines to columns. Values that are one of the `na` words become NULL, and so do
     values that are not of the column's type."""
-    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema))])
-    parsed = lines.withColumn("__fields", F.from_csv("value", text.simpleString()[7:-1].replace(":", " "),
-                                                     {"sep": sep, "mode": "PERMISSIVE"}))
+    fields = ", ".join(f"c{i} STRING" for i in range(len(schema)))
+    parsed = lines.withColumn("__fields", F.from_csv("value", fields, {"sep": sep, "mode": "PERMISSIVE"}))
     out = []
     for i, f in enumerate(schema):
         c = col("__fields").getField(f"c{i}")

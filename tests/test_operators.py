@@ -162,6 +162,9 @@ def test_text_rules(spark):
     assert one(spark, strings.clean_entity_name(c, "inst", {"acta": "thk"}), c=("string", "INST - ACTA ")) == "thk"
     assert one(spark, strings.clean_entity_name(c, "inst", {"acta": "thk"}), c=("string", "acta x")) == "acta x"
     assert one(spark, strings.parse_european_number(c), c=("string", "1.234,5")) == 1234.5
+    assert one(spark, strings.format_european_number(c), c=("double", 1234.5)) == "1234,5"
+    assert one(spark, strings.format_european_number(c), c=("double", 120000000.0)) == "120000000"
+    assert one(spark, strings.format_european_number(c), c=("double", -12345678.25)) == "-12345678,25"
     assert one(spark, numbers.round_half_even(c), c=("double", 2.5)) == 2.0
     assert one(spark, numbers.key_text(c), c=("double", 56604.0)) == "56604"
     assert one(spark, numbers.to_number(c), c=("string", "abc")) is None
