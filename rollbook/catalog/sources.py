@@ -95,7 +95,7 @@ def land_zips(lines: DataFrame, header: str, label: str) -> str:
         if "://" in path and not path.startswith("file:"):
             system, folder = fs.FileSystem.from_uri(quote(path, safe=":/"))
         else:
-            system, folder = fs.LocalFileSystem(), path.removeprefix("file:").replace("//", "/")
+            system, folder = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
         system.create_dir(folder, recursive=True)
         name = f"DELIVERY 2024-01-{TaskContext.get().partitionId():05d}"
         rows = 0

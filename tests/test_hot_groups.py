@@ -51,6 +51,17 @@ def test_hot_keys_are_cut_in_bounded_parts(df):
     assert sum(sizes) == df.filter("key = 'hot' OR key IS NULL").count()
 
 
+def test_hot_keys_are_found_on_a_sample(spark):
+    many = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000).alias("key"),
+        F.pmod(F.xxhash64("id"), F.lit(500)).alias("day"))
+    limit = 1000
+    assert split_groups(many, ["key"], ["day", "id"], limit).hot
+    cut = number_rows(many, ["key"], ["day", "id"], "n", limit)
+    whole = number_rows(many, ["key"], ["day", "id"], "n", 10**9)
+    assert cut.exceptAll(whole).isEmpty() and cut.count() == 30_000
+
+
 def test_without_hot_keys_the_plan_is_the_plain_window(df, plan_of):
     plan = plan_of(number_rows(df, ["key"], ORDER))
     assert "Window" in plan and "Join" not in plan
