@@ -23,37 +23,48 @@ BANDS = {
     "Schaal 11 en hoger": ["011", "012", "013", "014", "015", "016", "017", "018", "019", "020"],
 }
 OTHER_BAND = "Andere schalen"
+DESCRIPTIVE = ["Salaris Schaal", "WP of OBP", "Omschrijving", "Geldstroom", "Kernactiviteit", "Jaar"]
 STUDENT_ASSISTANT = "Student-assistent"
 HALF_YEAR = 2021
 
 
-def prepare_staff(inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """`inputs`: staff_export, profit_centre_mapping. Yearly means, salary band and function name."""
-    staff = inputs["staff_export"].filter(col("MEASURES") == MEASURE)
-    staff = staff.withColumn("Profit_center_afkorting", F.substring(col("Profit Center aanstelling"), 1, 3))
-    staff = translate(staff, inputs["profit_centre_mapping"], "Profit_center_afkorting", "Faculteit", keep_original=False)
+def _yearly_means(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    rows = inputs["staff_export"].filter(col("MEASURES") == MEASURE)
+    rows = zero_missing(rows, MONTHS)
+    return rows.select(
+        *cols(DESCRIPTIVE), F.substring(col("Profit Center aanstelling"), 1, 3).alias("Profit_center_afkorting"),
+        mean_of(MONTHS).alias("FTE_gemiddelde"),
+        mean_of(MONTHS[:6]).alias("FTE_gemiddelde_tot_juni"),
+        mean_of(MONTHS[6:]).alias("FTE_gemiddelde_vanaf_juli"))
+
+
+def _describe(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Faculty, salary band and function name."""
+    rows = translate(rows, mapping, "Profit_center_afkorting", "Faculteit", keep_original=False)
     description = col("Omschrijving")
     for old, new in RENAMED_FUNCTIONS.items():
         description = F.when(description.contains(old), replace_first(description, old, new)).otherwise(description)
-    staff = zero_missing(staff, MONTHS)
     # what follows the last slash
     scale = F.nullif(F.substring_index(col("Salaris Schaal"), "/", -1), F.lit(""))
-    return staff.select(
-        col("WP of OBP").alias("staff_kind"), "Geldstroom", "Kernactiviteit", "Jaar", "Faculteit",
-        mean_of(MONTHS).alias("FTE_gemiddelde"),
-        mean_of(MONTHS[:6]).alias("FTE_gemiddelde_tot_juni"),
-        mean_of(MONTHS[6:]).alias("FTE_gemiddelde_vanaf_juli"),
-        band(scale, BANDS, OTHER_BAND).alias("schaal_categorie"),
-        trim_all(replace_all(description, r"\d+")).alias("function"))
+    return (rows.withColumns({"schaal_categorie": band(scale, BANDS, OTHER_BAND),
+                              "function": trim_all(replace_all(description, r"\d+"))})
+            .withColumnRenamed("WP of OBP", "staff_kind").drop("Salaris Schaal", "Omschrijving"))
+
+
+def prepare_staff(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """`inputs`: staff_export, profit_centre_mapping. Each row's yearly means, salary band and function name."""
+    return _describe(_yearly_means(inputs), inputs["profit_centre_mapping"])
 
 
 def staff_fte(inputs: Mapping[str, DataFrame]) -> DataFrame:
     """FTE by function, by function and core activity (first money stream), and by salary band.
 
-    A row counts in up to two of the three reports. It is spread to the reports it belongs to
-    and all are summed in one aggregation over one scan.
+    The rows are summed first by the texts as they stand in the export. Look-up, text cleaning and
+    spreading to the up to two reports a row counts in run on those few combinations only.
     """
-    staff = prepare_staff(inputs)
+    combinations = _yearly_means(inputs).groupBy(*cols(DESCRIPTIVE), "Profit_center_afkorting").agg(
+        F.sum("FTE_gemiddelde").alias("FTE_gemiddelde"))
+    staff = _describe(combinations, inputs["profit_centre_mapping"])
     academic = (col("staff_kind") == "WP") | (col("function") == STUDENT_ASSISTANT)
     funded = academic & (col("Kernactiviteit") != "OV") & (col("Geldstroom") == "Geldstroom 1")
     support = (col("staff_kind") == "OBP") & (col("function") != STUDENT_ASSISTANT)
