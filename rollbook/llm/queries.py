@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, urls
+from . import bpe, chat, fingerprints, licences, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +34,49 @@ def code_digests(codes: DataFrame) -> DataFrame:
                         digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+@query("op2_licence_scan")
+def op2(spark, sf_dir):
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+@query("op3_secret_scan")
+def op3(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.KINDS))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("doc_id", *[F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS],
+                        digest(listed(base)).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 @query("op6_bpe_codec")
 def op6(spark, sf_dir):
     return code_digests(bpe.encode(table(spark, sf_dir, "documents")))
 
 
+@query("op7_quality_ranking")
+def op7(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(documents, quality.learn(documents, labels))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op8_order_minhash")
+def op8(spark, sf_dir):
+    found = fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 @query("op9_chat_format")
 def op9(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
