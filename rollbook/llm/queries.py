@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, fingerprints, licences, quality, secrets, urls
+from . import bpe, chat, decontaminate, fingerprints, licences, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def code_digests(codes: DataFrame) -> DataFrame:
                         digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+@query("op1_decontamination")
+def op1(spark, sf_dir):
+    places = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return places.select("doc_id", "item_id", "first_word", "last_word", "distance")
+
+
 @query("op2_licence_scan")
 def op2(spark, sf_dir):
     found = licences.scan(table(spark, sf_dir, "documents"))
