@@ -5,7 +5,7 @@ by a suffix automaton) it is the one that BPE never merges with the last token o
 from the whole word give the exact ids. Two tokens are tested for that by undoing their merges from the last to the first.
 
 Missing and empty texts give no ids; repeated rows are encoded each; other columns are not read. A task keeps the
-encodings of at most `CACHED_WORDS` words and runs of words, then starts anew: that bounds memory and changes no result.
+encodings of at most `CACHED_WORDS` words and `CACHED_RUNS` runs of words, then starts anew: that bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from .suffix_automaton import SuffixAutomaton
 
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 200_000
+CACHED_RUNS = 400_000
 CACHED_PAIRS = 500_000
 LAST = 0x1000  # added to the last character of a word, which stands for the character with the end mark
 
@@ -60,7 +61,7 @@ class Encoder:
             a, b, made = vocabulary[left], vocabulary[right], vocabulary[left + right]
             self.rank[a, b] = rank
             self.made_of.setdefault(made, (rank, a, b))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left << 20 | right
         self.automaton = SuffixAutomaton(
             (with_end(t[: -len(END)]) if t.endswith(END) and t != END else t, i)
             for t, i in vocabulary.items() if self._reached(i))
@@ -85,38 +86,32 @@ class Encoder:
                 before, right = r[0] + 0.5, r[1]
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 20 | right)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._stand(left, right, float("inf"))
+            known = self.pairs[left << 20 | right] = self._stand(left, right, float("inf"))
         return known
 
     def word(self, letters: str) -> list[int]:
-        automaton, compatible = self.automaton, self.compatible
-        edges, link, lengths, ends = automaton.next, automaton.link, automaton.length, automaton.ends
-        pairs = self.pairs
-        state = matched = end = 0
+        pairs, compatible, step = self.pairs, self.compatible, self.automaton.walk_step
+        node = self.automaton.walk_start
+        end = 0
         last: list[int] = []      # of every prefix, the last token
         before: list[int] = []    # and where that token starts
         for letter in letters:
-            # the automaton's step() and ending(), written out: this loop runs for every letter of a new word
-            while letter not in edges[state]:
-                if state == 0:
-                    raise ValueError(f"the vocabulary has no token for {letter!r}")
-                state = link[state]
-                matched = lengths[state]
-            state = edges[state][letter]
-            matched += 1
+            node = node[0].get(letter) or step(node, letter)
             end += 1
-            for length, token in ends(state if matched == lengths[state] else link[state]):
+            for length, token in node[1]:
                 start = end - length
                 if start == 0:
                     break
                 left = last[start - 1]
-                fits = pairs.get((left, token))
+                fits = pairs.get(left << 20 | token)
                 if compatible(left, token) if fits is None else fits:
                     break
+            else:
+                raise ValueError(f"the vocabulary has no token for {letter!r}")
             last.append(token)
             before.append(start)
         ids = []
@@ -154,7 +149,7 @@ class Codec:
         self.encoder = Encoder(model["vocab"], merges)
         self.letters = byte_letters()
         self.words = Bounded(self.word)
-        self.runs = Bounded(self.run)
+        self.runs = Bounded(self.run, CACHED_RUNS)
 
     def word(self, word: str) -> list[int]:
         letters = word.encode("utf-8", "replace").decode("latin-1").translate(self.letters)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import shared_folder
+from ..session import scratch_path, shared_folder
 
 BATCH_BYTES = 4 << 20
 
@@ -48,3 +48,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Writes an intermediate table to the shared folder and reads it again: a lost executor costs no earlier work."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+MAP_BITS = 23
+
+
+def only_maybe(df: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
+    """Drops most rows whose key (a long) is not wanted, before they are shuffled to a join that drops the others.
+
+    The wanted keys set bits of a map of 2 ** `MAP_BITS` bits, 1 MiB however many they are, which is all that is broadcast.
+    The fuller the map, the more rows pass; none that is wanted is dropped."""
+    bit = F.pmod(F.xxhash64(wanted[wanted_column]), F.lit(1 << MAP_BITS))
+    bits = wanted.select(F.bitmap_bucket_number(bit).alias("__bucket"), F.bitmap_bit_position(bit).alias("__bit"))
+    maps = F.broadcast(bits.groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__map")))
+    bit = F.pmod(F.xxhash64(df[column]), F.lit(1 << MAP_BITS))
+    place = F.bitmap_bit_position(bit)
+    rows = df.withColumns({"__bucket": F.bitmap_bucket_number(bit), "__place": place}).join(maps, "__bucket")
+    byte = F.conv(F.hex(F.substring("__map", (F.floor(F.col("__place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, F.pmod(F.col("__place"), F.lit(8)).cast("int")) == 1
+    return rows.filter(is_set).select(*df.columns)

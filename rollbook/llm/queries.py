@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, licences, quality, secrets, urls
+from . import bpe, chat, decontaminate, fingerprints, licences, lines, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,13 @@ def of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
+@query("op5_line_dedup")
+def op5(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = lines.dedup(documents, gone_col="gone").withColumn("n_gone", F.coalesce(F.size("gone"), F.lit(0)))
+    return kept.select("doc_id", F.col("n_gone").cast("long").alias("n_dropped"), "text")
+
+
 @query("op6_bpe_codec")
 def op6(spark, sf_dir):
     return code_digests(bpe.encode(table(spark, sf_dir, "documents")))
@@ -86,7 +93,8 @@ def op8(spark, sf_dir):
 @query("op9_chat_format")
 def op9(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(text).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     done = chat.format_conversations(rows).withColumn("turns", chat.read_back(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -29,6 +29,7 @@ class SuffixAutomaton:
                 state = self.next[state][symbol]
             self.value[state] = value
         self._ends: dict[int, tuple] = {}
+        self._nodes: dict[tuple[int, int], list] = {}
         # the nearest state with a pattern: the state itself, or else the next on its links
         self.nearest = [-1] * len(self.next)
         for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
@@ -85,3 +86,17 @@ class SuffixAutomaton:
                 at = self.nearest[self.link[at]]
             known = self._ends[state] = tuple(found)
         return known
+
+    def walk_step(self, node: list, symbol: Hashable) -> list:
+        """`step` and `ending` on nodes that remember what they found, for many sequences over the same patterns. A node is
+        (edges known so far, patterns that end here, state, matched); `walk_start` is the first."""
+        state, matched = self.step(node[2], node[3], symbol)
+        known = self._nodes.get((state, matched))
+        if known is None:
+            known = self._nodes[state, matched] = [{}, self.ending(state, matched), state, matched]
+        node[0][symbol] = known
+        return known
+
+    @property
+    def walk_start(self) -> list:
+        return self._nodes.setdefault((0, 0), [{}, (), 0, 0])
