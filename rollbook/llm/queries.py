@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, licences, lines, quality, secrets, urls
+from . import bpe, chat, decontaminate, fingerprints, jaccard, licences, lines, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
+@query("op4_jaccard_join")
+def op4(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query("op5_line_dedup")
 def op5(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
