@@ -27,11 +27,11 @@ def digest(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def code_digests(codes: DataFrame) -> DataFrame:
+def code_digests(codes: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Digest columns of encoded texts."""
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     return codes.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"),
-                        digest(F.col("decoded")).alias("decoded_sha256"))
+                        digest(F.col("decoded")).alias("decoded_sha256"), *(["token_ids"] if keep_ids else []))
 
 
 @query("op1_decontamination")

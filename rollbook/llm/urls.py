@@ -18,7 +18,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from .common import checkpointed
 
 ORDER = 3
 WEIGHT = 2.0
@@ -74,24 +76,27 @@ def _characters(urls: DataFrame, order: int) -> DataFrame:
                          F.substring("padded", F.col("place") + order, F.lit(1)).alias("letter"))
 
 
-def _counts(characters: DataFrame, order: int) -> DataFrame:
-    """For every context and letter seen: per class the log-probability of the letter, all orders mixed.
-
-    The counts of the highest order are made first, once, over all characters; lower orders are sums of those. The
-    tables are small beside the input: they have a row for every string of `order` + 1 characters that occurs."""
-    top = characters.groupBy("before", "letter").agg(
-        F.count_if(F.col("allow") & F.col("count_it")).alias("yes_0"),
-        F.count_if(~F.col("allow") & F.col("count_it")).alias("no_0"))
-    mixed = top.withColumn("yes", F.lit(1.0 / ALPHABET)).withColumn("no", F.lit(1.0 / ALPHABET))
-    for k in range(order + 1):
-        context = F.substring("before", F.lit(order + 1 - k), F.lit(k)) if k else F.lit("")
-        named = top.withColumn("context", context)
-        here = named.groupBy("context", "letter").agg(F.sum("yes_0").alias("yes_n"), F.sum("no_0").alias("no_n"))
-        whole = named.groupBy("context").agg(F.sum("yes_0").alias("yes_all"), F.sum("no_0").alias("no_all"))
-        mixed = (mixed.withColumn("context", context).join(here, ["context", "letter"]).join(whole, "context")
-                 .select("before", "letter", *[((F.col(f"{c}_n") + WEIGHT * F.col(c)) / (F.col(f"{c}_all") + WEIGHT)).alias(c)
-                                               for c in ("yes", "no")]))
-    return mixed.select("before", "letter", (F.log("yes") - F.log("no")).alias("gain"))
+def _gains(characters: DataFrame, order: int) -> DataFrame:
+    """For every context and letter seen the difference of the two models' log-probabilities, all orders mixed.
+
+    Characters are counted once, with the longest context; shorter ones are sums of those counts. These tables have a row for
+    every string of at most `order` + 1 characters that occurs, which is little beside the input."""
+    counts = [checkpointed(characters.groupBy(F.col("before").alias("context"), "letter").agg(
+        F.count_if(F.col("allow") & F.col("count_it")).alias("yes_n"), F.count_if(~F.col("allow") & F.col("count_it")).alias("no_n")))]
+    shorter = F.substring("context", F.lit(2), F.lit(order))
+    for _ in range(order):
+        counts.append(counts[-1].groupBy(shorter.alias("context"), "letter").agg(F.sum("yes_n").alias("yes_n"), F.sum("no_n").alias("no_n")))
+    below = None
+    for level in reversed(counts):
+        whole = Window.partitionBy("context")  # a row a letter; without a context there are as many rows as letters
+        level = level.withColumns({"yes_all": F.sum("yes_n").over(whole), "no_all": F.sum("no_n").over(whole)})
+        if below is None:
+            level = level.withColumns({"yes": F.lit(1.0 / ALPHABET), "no": F.lit(1.0 / ALPHABET)})
+        else:
+            level = level.withColumn("short", shorter).join(below.withColumnRenamed("context", "short"), ["short", "letter"])
+        below = level.select("context", "letter", *[((F.col(f"{c}_n") + WEIGHT * F.col(c)) / (F.col(f"{c}_all") + WEIGHT)).alias(c)
+                                                    for c in ("yes", "no")])
+    return below.select(F.col("context").alias("before"), "letter", (F.log("yes") - F.log("no")).alias("gain"))
 
 
 def judge(df: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -102,10 +107,10 @@ def judge(df: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER, id_c
     ruled = urls.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     # equal URLs are counted and judged once, with their number as weight of the calibration
     distinct = ruled.groupBy("url").agg(F.first("rule.allow").alias("allow"), F.count(F.lit(1)).alias("copies"))
-    distinct = distinct.withColumn("count_it", F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) != 0)
+    distinct = checkpointed(distinct.withColumn("count_it", F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) != 0))
     letters = _characters(distinct.withColumn("name", F.col("url")), order)
-    gains = _counts(letters, order)
-    scored = (letters.filter(F.col("allow").isNull() | ~F.col("count_it")).join(gains, ["before", "letter"])
+    gains = _gains(letters, order)
+    scored = checkpointed(letters.filter(F.col("allow").isNull() | ~F.col("count_it")).join(gains, ["before", "letter"])
               .groupBy(F.col("name").alias("url")).agg(F.avg("gain").alias("difference"), F.first("allow").alias("allow"),
                                                        F.first("copies").alias("copies")))
 
