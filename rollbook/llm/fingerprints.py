@@ -16,13 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import keyed_text
+from .common import keyed_text, written
 
 K = 2
 CELLS = 32                 # also the number of signatures
 PLACE_BITS = 24            # the low bits of a packed k-mer hold its place in the text
 MOST_PARTS = 20_000
-NONE = "," * (CELLS - 1)  # the fingerprint of no words
 
 
 def in_order(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -40,48 +39,50 @@ def in_order(df: DataFrame, id_col: str = "id") -> DataFrame:
 
     begin = F.struct(F.lit(0).alias("low"), F.coalesce(F.size("cuts"), F.lit(0)).alias("high"), F.col("cuts"))
     steps = F.sequence(F.lit(1), F.lit(parts.bit_length()))
-    return df.withColumn("cuts", cuts).withColumn("part", F.aggregate(steps, begin, halve, lambda s: s["low"])).drop("cuts")
+    return df.withColumn("cuts", cuts).withColumn("part", F.coalesce(F.aggregate(steps, begin, halve, lambda s: s["low"]), F.lit(0))).drop("cuts")
 
 
-def with_next(df: DataFrame, column: str, order: list[str]) -> DataFrame:
-    """Adds `next`, the column's value in the following row by (part, *order), and `row`, the row's number in its part.
-    The last row of all is followed by the first. A part's last row takes the first row of the next part that has rows:
-    those edges are one row a part."""
-    inside = Window.partitionBy("part").orderBy(*order)
-    rows = df.withColumns({"row": F.row_number().over(inside), "follow": F.lead(F.struct(column)).over(inside)})
-    firsts = rows.filter("row = 1").select("part", F.struct(column).alias("edge"))
+def with_next(df: DataFrame, column: str = "text") -> DataFrame:
+    """Adds `row`, the place in the part by (id, `column`), and `next`, the column's value in the following row of all; the
+    last row is followed by the first. A part's last row takes the first row of the next part that has rows. Those edges,
+    a row a part, are found by the least ids of the parts, so that the texts are dealt only once."""
+    least = F.broadcast(df.groupBy("part").agg(F.min("id").alias("least")).withColumnRenamed("part", "of"))  # at most MOST_PARTS rows
+    first = df.join(least, (F.col("part") == F.col("of")) & F.col("id").eqNullSafe(F.col("least")))
+    first = first.groupBy("part").agg(F.min(column).alias("edge"))
     over_parts = Window.orderBy("part")
-    edges = firsts.withColumn("after", F.coalesce(F.lead("edge").over(over_parts), F.first("edge").over(
-        over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))).select("part", "after")
-    return rows.join(edges, "part", "left").withColumn("next", F.coalesce("follow", "after")[column]).drop("follow", "after")
+    edges = first.select("part", F.coalesce(F.lead(F.struct("edge")).over(over_parts), F.first(F.struct("edge")).over(
+        over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    inside = Window.partitionBy("part").orderBy("id", column)
+    rows = df.withColumns({"row": F.row_number().over(inside), "follow": F.lead(F.struct(F.col(column).alias("edge"))).over(inside)})
+    return rows.join(edges, "part", "left").withColumn("next", F.coalesce("follow", "after")["edge"]).drop("follow", "after")
 
 
 def fingerprints(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """`fingerprint` for each row with words: `CELLS` hashes in hexadecimal, comma-joined. `keys` identify rows; the first must be what
-    the rows are already partitioned by, so that nothing is shuffled."""
+    """Each row's `fingerprint`: `CELLS` hashes in hexadecimal, comma-joined, empty where no k-mer is. `keys` identify rows;
+    a table that is dealt by some of them is not dealt again."""
     words = F.filter(F.split(F.col(text_col), r"\s+"), lambda w: w != "")
     mers = df.select(*keys, words.alias("words"))
-    last = F.greatest(F.size("words") - (K - 1), F.lit(1))
-    spread = mers.filter(F.size("words") > 0).select(*keys, "words", F.explode(F.sequence(F.lit(0), last - 1)).alias("place"))
+    count = F.greatest(F.size("words") - (K - 1), F.least(F.size("words"), F.lit(1)))
+    spread = mers.select(*keys, "words", F.explode_outer(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias("place"))
     mer = F.xxhash64(*[F.get("words", F.col("place") + i) for i in range(K)])
     spread = spread.select(*keys, "place", F.xxhash64(*keys, mer).alias("same"), mer.alias("mer"))
     # the hash comes first, as sorting by one number is fast; the keys keep the rows where they are
     number = F.row_number().over(Window.partitionBy("same", *keys).orderBy("place"))
     numbered = spread.withColumn("hash", F.xxhash64("mer", number))
-    cell = F.pmod(F.col("hash"), F.lit(CELLS))
-    # a place beyond the mask counts as the last; the sign bit is cleared; above the place stand the bits of the hash that did not choose the cell
+    # a place beyond the mask counts as the last; the sign bit is cleared; above the place stand bits that did not choose the cell
+    mask = (1 << PLACE_BITS) - 1
     high = F.shiftright(F.shiftrightunsigned("hash", 1), PLACE_BITS - 1)
-    packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.least(F.col("place"), F.lit((1 << PLACE_BITS) - 1)).cast("long"))
-    numbered = numbered.select(*keys, cell.alias("cell"), packed.alias("packed"))
+    packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.least(F.col("place"), F.lit(mask)).cast("long"))
+    numbered = numbered.select(*keys, F.pmod(F.col("hash"), F.lit(CELLS)).alias("cell"), packed.alias("packed"))
     least = numbered.groupBy(*keys).agg(*[F.min(F.when(F.col("cell") == i, F.col("packed"))).alias(f"m{i}") for i in range(CELLS)])
 
-    mask = F.lit((1 << PLACE_BITS) - 1)
-
     def signature(i: int) -> Column:
         a, b = F.col(f"m{i}"), F.col(f"m{(i + 1) % CELLS}")
         x, y = F.shiftright(a, PLACE_BITS), F.shiftright(b, PLACE_BITS)
-        ordered = F.when(a.bitwiseAND(mask) <= b.bitwiseAND(mask), F.xxhash64(x, y)).otherwise(F.xxhash64(y, x))
-        return F.when(a.isNull() & b.isNull(), F.lit("")).otherwise(F.hex(F.coalesce(ordered, F.xxhash64(F.coalesce(x, y)))))
+        # one hash of the pair in text order; a missing one is null in the hash
+        first = b.isNull() | (a.bitwiseAND(mask) <= b.bitwiseAND(mask))
+        code = F.xxhash64(F.when(first, x).otherwise(y), F.when(first, y).otherwise(x))
+        return F.when(a.isNull() & b.isNull(), F.lit("")).otherwise(F.substring(F.lpad(F.hex(code), 16, "0"), 1, 8))
 
     return least.select(*keys, F.array_join(F.array(*[signature(i) for i in range(CELLS)]), ",").alias("fingerprint"))
 
@@ -95,20 +96,21 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each text its `edited` form (the last half of its code points replaced by the beginning of the next text), both
-    fingerprints, and the next text's one as `next_fingerprint`."""
-    rows = with_next(in_order(keyed_text(df, id_col, text_col)), "text", ["id", "text"])
+    """For each text its number of code points, the digest of its edited form (the last half of its code points replaced
+    by the beginning of the next text), both fingerprints, and the next text's one as `next_fingerprint`."""
+    rows = with_next(in_order(keyed_text(df, id_col, text_col)))
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.left("text", F.length("text") - half), F.left("next", half)))
-    both = rows.select("part", "row", F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text")),
-                                                        F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text"))))
-                       .alias("version")).select("part", "row", "version.is_edited", "version.text")
-    found = fingerprints(both, ["part", "row", "is_edited"])
-    found = found.groupBy("part", "row").agg(F.max(F.when(~F.col("is_edited"), F.col("fingerprint"))).alias("fingerprint"),
-                                             F.max(F.when(F.col("is_edited"), F.col("fingerprint"))).alias("edited_fingerprint"))
-    facts = rows.select("part", "row", "id", F.length("text").cast("long").alias("n_chars"),
-                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    joined = facts.join(found, ["part", "row"], "left").fillna(NONE, ["fingerprint", "edited_fingerprint"])
-    ordered = with_next(joined.withColumnRenamed("row", "place"), "fingerprint", ["place"])
-    return ordered.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                          F.col("next").alias("next_fingerprint"))
+    version = F.explode(F.array(F.struct(F.lit(0).alias("is_edited"), F.col("text")), F.struct(F.lit(1).alias("is_edited"), F.col("edited").alias("text"))))
+    found = fingerprints(rows.select("part", "row", version.alias("v")).select("part", "row", "v.is_edited", "v.text"), ["part", "row", "is_edited"])
+    # a text, its edited form and the next text stand below each other
+    lined_up = Window.partitionBy("part").orderBy("row", "is_edited")
+    found = found.withColumns({"edited_fingerprint": F.lead("fingerprint", 1).over(lined_up), "next_fingerprint": F.lead("fingerprint", 2).over(lined_up)})
+    facts = rows.select("part", "row", "id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
+    done = written(facts.join(found.filter("is_edited = 0").drop("is_edited"), ["part", "row"]), "fingerprints")
+    over_parts = Window.orderBy("part")
+    edges = done.filter("row = 1").select("part", "fingerprint")
+    edges = edges.select("part", F.coalesce(F.lead("fingerprint").over(over_parts), F.first("fingerprint").over(
+        over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    return done.join(edges, "part", "left").select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                                   F.coalesce("next_fingerprint", "after").alias("next_fingerprint"))
