@@ -73,7 +73,7 @@ def fingerprints(df: DataFrame, keys: list[str], text_col: str = "text") -> Data
     mask = (1 << PLACE_BITS) - 1
     high = F.shiftright(F.shiftrightunsigned("hash", 1), PLACE_BITS - 1)
     packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.least(F.col("place"), F.lit(mask)).cast("long"))
-    numbered = numbered.select(*keys, F.pmod(F.col("hash"), F.lit(CELLS)).alias("cell"), packed.alias("packed"))
+    numbered = numbered.select(*keys, F.pmod(F.col("hash"), F.lit(CELLS)).alias("cell"), F.when(F.col("place").isNotNull(), packed).alias("packed"))
     least = numbered.groupBy(*keys).agg(*[F.min(F.when(F.col("cell") == i, F.col("packed"))).alias(f"m{i}") for i in range(CELLS)])
 
     def signature(i: int) -> Column:
