@@ -541,23 +541,30 @@ def list_text(name: str):
     return F.array_join(F.transform(col(name), lambda x: F.round(x, 4).cast("string")), ",")
 
 
-LIST_OUT = {"unl_hoorcollegegroepen": "lec_n_groups", "unl_hoorcollegeaantalweken": "lec_n_weeks", "unl_werkcollegegroepen": "cls_n_groups",
-            "unl_werkcollegeaantalweken": "cls_n_weeks", "unl_practicumgroepen": "lab_n_groups", "unl_werkvorm1groepen": "unl_werkvorm1groepen",
-            "unl_werkvorm1aantalweken": "unl_werkvorm1aantalweken", "unl_werkvorm2groepen": "unl_werkvorm2groepen"}
-MINUTES_OUT = {"unl_hoorcollegeurenperweekpergroep": "lec_minutes_per_group_week", "unl_werkvorm1urenperweekpergroep": "unl_werkvorm1urenperweekpergroep"}
+GROUPS_AND_WEEKS = {"groepen": "n_groups", "aantalweken": "n_weeks"}
+LIST_OUT = {
+    **{f"unl_{form}{part}": f"{short}_{measure}" for form, short in (("hoorcollege", "lec"), ("werkcollege", "cls"), ("practicum", "lab"))
+       for part, measure in GROUPS_AND_WEEKS.items()},
+    **{f"{measure}_{form}": f"{short}_{measure}" for form, short in ((TRIP, "trip"), (GUIDED, "grp")) for measure in GROUPS_AND_WEEKS.values()},
+    **{f"unl_werkvorm{i}{part}": f"unl_werkvorm{i}{part}" for i in (1, 2) for part in GROUPS_AND_WEEKS}}
+MINUTES_OUT = {
+    **{f"unl_{form}urenperweekpergroep": f"{short}_minutes_per_group_week" for form, short in (("hoorcollege", "lec"), ("werkcollege", "cls"), ("practicum", "lab"))},
+    "unl_hoorcollegetotaalcontacturen": "lec_contact_hours", "contact_hours_Werk/instructiecollege": "cls_contact_hours", "contact_hours_Practicum/Lab": "lab_contact_hours",
+    **{f"{measure}_{form}": f"{short}_{measure}" for form, short in ((TRIP, "trip"), (GUIDED, "grp")) for measure in ("minutes_per_group_week", "contact_hours")},
+    **{f"unl_werkvorm{i}{part}": f"unl_werkvorm{i}{part}" for i in (1, 2) for part in ("urenperweekpergroep", "totaalcontacturen")}}
 PLAIN_OUT = ["unl_vakcode", "unl_jaar", "unl_werkvorm1naam", "unl_werkvorm2naam", "unl_name", "unl_ecs", "unl_verplichtkeuze", "unl_startdatum",
              "weeks_diff", "unl_vakjaar", "unl_taalvanvak", "INS_Opleidingscode_actueel", "unl_eindtoetsnaam", "source_order"]
 
 
 @query("WITH " + TIMETABLE_SQL + " SELECT " + ", ".join(f'"{n}"' for n in PLAIN_OUT) + ", "
-       + ", ".join(f"array_to_string({sql}, ',') AS {n}" for n, sql in LIST_OUT.items()) + ", "
-       + ", ".join(f"round(list_sum({sql}), 4) AS {n}" for n, sql in MINUTES_OUT.items())
-       + ", period AS \"UAS_Vak_Periode_start\" FROM timetable")
+       + ", ".join(f'array_to_string({sql}, \',\') AS "{n}"' for n, sql in LIST_OUT.items()) + ", "
+       + ", ".join(f'round(list_sum({sql}), 4) AS "{n}"' for n, sql in MINUTES_OUT.items())
+       + """, period AS "UAS_Vak_Periode_start", einddatum AS "ACA_Einddatum", count_afgesloten AS unl_aantalgeslaagdeneindtoets FROM timetable""")
 def job_timetable_workload(spark, sf_dir):
     out = _timetable(spark, sf_dir)
     minutes = [F.round(F.aggregate(col(n), F.lit(0.0), lambda a, x: a + x), 4).alias(n) for n in MINUTES_OUT]
     return out.select(*cols(PLAIN_OUT), *[F.array_join(col(n).cast("array<string>"), ",").alias(n) for n in LIST_OUT], *minutes,
-                      "UAS_Vak_Periode_start")
+                      "UAS_Vak_Periode_start", "ACA_Einddatum", "unl_aantalgeslaagdeneindtoets")
 
 
 def payload_inputs(spark, sf_dir):
@@ -579,13 +586,18 @@ def payload_inputs(spark, sf_dir):
 
 
 COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm1naam", "unl_werkvorm2naam", "unl_verplichtkeuze", "unl_taalvanvak",
-              "unl_eindtoetsnaam", "unl_hoorcollegegroepen", "unl_werkvorm1groepen", "unl_vakid", "unl_Jaar@odata.bind", "unl_Opleiding@odata.bind"]
+              "unl_eindtoetsnaam", "unl_vakid", "unl_Jaar@odata.bind", "unl_Opleiding@odata.bind", "unl_startdatum", "weeks_diff", "unl_aantalgeslaagdeneindtoets",
+              "UAS_Vak_Periode_start", "ACA_Einddatum"]
+# each list cell's element in the row that is kept, and minutes as hours
+COURSE_LISTS = {n: sql for n, sql in LIST_OUT.items()}
+COURSE_HOURS = {n: sql for n, sql in MINUTES_OUT.items() if n.endswith("urenperweekpergroep")}
+COURSE_REST = {n: sql for n, sql in MINUTES_OUT.items() if n not in COURSE_HOURS and not n.endswith("totaalcontacturen")}
 
 
 @query("WITH " + TIMETABLE_SQL + f""", bound AS (
     SELECT t.*, CAST(CASE unl_vakjaar WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 WHEN '4' THEN 941790000 WHEN 'Premaster' THEN 4 END AS DOUBLE) AS vakjaar,
            CASE WHEN c_custkey IS NOT NULL THEN 'unl_opleidings(O' || c_custkey || ')' END AS opl,
-           coalesce(lec_n_groups[1], NULL) AS lec, lec_minutes_per_group_week[1] / 60 AS lec_hours, CAST(substr(unl_jaar, 1, 4) AS INTEGER) AS jaar
+           CAST(substr(unl_jaar, 1, 4) AS INTEGER) AS jaar
     FROM timetable t LEFT JOIN customer ON c_custkey = "INS_Opleidingscode_actueel" AND c_mktsegment <> 'HOUSEHOLD'
       AND (2021 + c_custkey // 2 % 2) || '-' || (2022 + c_custkey // 2 % 2) = unl_jaar),
   filled AS (SELECT *, coalesce(opl, first_value(opl IGNORE NULLS) OVER (PARTITION BY unl_vakcode ORDER BY source_order NULLS LAST
@@ -604,7 +616,10 @@ COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm
          CAST(coalesce(keuze, lag(keuze) OVER (PARTITION BY unl_vakcode, unl_name ORDER BY unl_jaar, source_order NULLS LAST)) AS INTEGER) AS unl_verplichtkeuze,
          CAST(CASE unl_taalvanvak WHEN 'Nederlands (NL)' THEN 941790000 END AS INTEGER) AS unl_taalvanvak,
          CAST(CASE WHEN unl_ecs IS NOT NULL THEN coalesce(exam, 941790006) END AS INTEGER) AS unl_eindtoetsnaam,
-         lec AS unl_hoorcollegegroepen, unl_werkvorm1groepen[1] AS unl_werkvorm1groepen,
+         {", ".join(f'{sql}[1] AS "{n}"' for n, sql in COURSE_LISTS.items())},
+         {", ".join(f'round({sql}[1] / 60, 6) AS "{n}"' for n, sql in COURSE_HOURS.items())},
+         {", ".join(f'round({sql}[1], 6) AS "{n}"' for n, sql in COURSE_REST.items())},
+         unl_startdatum, weeks_diff, count_afgesloten AS unl_aantalgeslaagdeneindtoets, period AS "UAS_Vak_Periode_start", einddatum AS "ACA_Einddatum",
          CASE WHEN c_custkey IS NOT NULL THEN 'id' || c_custkey END AS unl_vakid,
          'unl_collegejaars(J' || jaar || ')' AS "unl_Jaar@odata.bind", opl2 AS "unl_Opleiding@odata.bind"
   FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar
@@ -613,6 +628,6 @@ def job_payload_course(spark, sf_dir):
     place = stages.Stages(scratch_path(spark, "timetable"))
     place.write(_timetable(spark, sf_dir), "timetable", "prepare")
     rows = place.read(spark, "timetable", "send")
-    # one raw type per form, so that every list holds at most one value and unnests to one row
-    form = rows.withColumns({f.name: F.slice(col(f.name), 1, 1) for f in rows.schema.fields if f.dataType.typeName() == "array"})
-    return payloads.course_payload({"timetable": form, **payload_inputs(spark, sf_dir)}).select(*cols(COURSE_OUT))
+    out = payloads.course_payload({"timetable": rows, **payload_inputs(spark, sf_dir)})
+    numbers = [F.round(col(n), 6).alias(n) for n in [*COURSE_HOURS, *COURSE_REST]]
+    return out.select(*cols(COURSE_OUT), *cols(list(COURSE_LISTS)), *numbers)
