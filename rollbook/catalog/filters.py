@@ -41,8 +41,10 @@ def flt_null(spark, sf_dir):
 
 @query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 1998 AND year(o_orderdate) IN (1996, 1999, 2000)")
 def flt_range(spark, sf_dir):
-    year = F.year("o_orderdate")
-    return table(spark, sf_dir, "orders").filter((year >= 1998) & year.isin(1996, 1999, 2000)).select("o_orderkey")
+    # bounds on the column itself reach the scan
+    date = col("o_orderdate")
+    years = [(date >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (date < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")) for y in (1996, 1999, 2000)]
+    return table(spark, sf_dir, "orders").filter((date >= F.lit("1998-01-01").cast("timestamp_ntz")) & (years[0] | years[1] | years[2])).select("o_orderkey")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'bolt$')")

@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..names import col
 from ..session import scratch_path
 from ..sinks import payloads, tables
-from ..sources import stages
+from ..sources import delimited, stages
 from .registry import query, table
 
 
-@query("SELECT * FROM supplier")
+@query("SELECT 'parquet' AS written, * FROM supplier UNION ALL SELECT 'csv', * FROM supplier")
 def sink_stage_write(spark, sf_dir):
     place = stages.Stages(scratch_path(spark, "sink"))
-    place.write(table(spark, sf_dir, "supplier"), "suppliers", "read", formats=("parquet", "csv"))
-    return place.read(spark, "suppliers", "prepare")
+    supplier = table(spark, sf_dir, "supplier")
+    place.write(supplier, "suppliers", "read", formats=("parquet", "csv"))
+    parquet = place.read(spark, "suppliers", "prepare")
+    csv = delimited.read_european_csv(spark, place.path("suppliers", "read") + ".csv", supplier.schema)
+    return parquet.withColumn("written", F.lit("parquet")).unionByName(csv.withColumn("written", F.lit("csv")))
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN 'Error' WHEN s_suppkey % 5 = 0 THEN '400' ELSE '204' END AS status,
+                 CASE WHEN s_suppkey % 7 = 0 THEN 'refused' ELSE CAST(length(s_name) AS VARCHAR) END AS content FROM supplier""")
+def sink_send_rows(spark, sf_dir):
+    """A sender in the task's own process that fails for some rows; the second call sends those again."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    bodies = payloads.row_payloads(rows, ["s_suppkey"], ["s_suppkey", "s_name"])
+
+    def sender(body: str) -> tuple[int, str]:
+        row = json.loads(body)
+        if row["s_suppkey"] % 7 == 0:
+            raise ConnectionError("refused")
+        return 400 if row["s_suppkey"] % 5 == 0 else 204, str(len(row["s_name"]))
+
+    path = scratch_path(spark, "sent")
+    payloads.send_payloads(bodies, "s_suppkey", sender, path)
+    return payloads.send_payloads(bodies, "s_suppkey", sender, path)
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders")

@@ -80,35 +80,33 @@ def src_filename_columns(spark, sf_dir):
                                                   F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-def land_zips(lines: DataFrame, header: str, label: str) -> str:
-    """Write the lines of each task to a zip file of its own, under a header line."""
-    path = scratch_path(lines.sparkSession, label)
-
-    def write(batches: Iterator) -> Iterator:
+def land_zips(lines: DataFrame, header: str, label: str, members: int = 2) -> str:
+    """Write the lines to zip files of several members, each under a header line. Tasks make the archives as bytes and
+    Spark's file system writes them, so the path may be on any store and needs no scheme."""
+    spark = lines.sparkSession
+    path = scratch_path(spark, label)
+
+    def pack(batches: Iterator) -> Iterator:
+        import io
         import zipfile
-        from urllib.parse import quote
 
         import pandas as pd
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        if "://" in path and not path.startswith("file:"):
-            system, folder = fs.FileSystem.from_uri(quote(path, safe=":/"))
-        else:
-            system, folder = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-        system.create_dir(folder, recursive=True)
-        name = f"DELIVERY 2024-01-{TaskContext.get().partitionId():05d}"
-        rows = 0
-        with system.open_output_stream(f"{folder}/{name}.zip") as out, \
-                zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive, \
-                archive.open(f"{name}.csv", "w", force_zip64=True) as member:
-            member.write((header + "\n").encode())
-            for batch in batches:
-                rows += len(batch)
-                member.write(("\n".join(batch["value"]) + "\n").encode())
-        yield pd.DataFrame({"rows": [rows]})
-
-    lines.mapInPandas(write, "rows long").agg(F.sum("rows")).collect()
+
+        values = [v for batch in batches for v in batch["value"]]
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for m in range(members):
+                archive.writestr(f"{m}.csv", "\n".join([header, *values[m::members]]) + "\n")
+        yield pd.DataFrame({"content": [buffer.getvalue()]})
+
+    packed = lines.repartition(4).mapInPandas(pack, "content binary")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, row in enumerate(packed.toLocalIterator()):  # a few small deliveries, made for this query
+        out = system.create(hadoop.Path(target, f"DELIVERY 2024-01-{i:05d}.zip"))
+        out.write(row["content"])
+        out.close()
     return path
 
 

@@ -135,13 +135,13 @@ def set_union_by_name(spark, sf_dir):
     return tables.bind_rows(customers, suppliers, source="source")
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def set_union_many(spark, sf_dir):
     from ..session import scratch_path
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     base = scratch_path(spark, "many")
     paths = []
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         paths.append(f"{base}/orders {status}")
         orders.filter(col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(paths[-1])
     return spark.read.parquet(*paths)

@@ -1,9 +1,9 @@
 """Look-ups of names inside other names.
 
 "Is a contained in b" is no equality, and as a join condition it compares every pair. Here
-each name b is spread to its substrings of the lengths that occur among the names a, and the
-join is an equality on the whole name: no pairs to test, no side that must be small. The work
-per name is its length times the number of different lengths.
+each needle is known by a run of its characters, and each name is spread to its runs of that length: the join is
+an equality on the run, and `contains` checks what meets. A name has as many runs as characters, however long the needles are.
+Needles are split by length at `GRAM`, so that shorter ones meet on themselves.
 """
 
 from __future__ import annotations
@@ -13,29 +13,35 @@ from pyspark.sql import DataFrame, functions as F
 from ..names import col
 from .joins import left_join
 
+GRAM = 8
 
-def _substrings(names: DataFrame, name: str, needles: DataFrame, needle: str) -> DataFrame:
-    """(name, piece): the substrings of each distinct name that can equal a needle."""
-    distinct = names.select(col(name).alias("__name")).filter(col("__name") != "").distinct()
-    # the different lengths of names: a short list of numbers
-    found = needles.select(F.length(col(needle)).alias("n")).filter(F.col("n") > 0).distinct().collect()
-    lengths = F.array(*[F.lit(n) for n in sorted(r["n"] for r in found)]).cast("array<int>")
-    spread = distinct.withColumn("__n", F.explode(lengths)).filter(col("__n") <= F.length("__name"))
-    starts = F.sequence(F.lit(1), F.length("__name") - col("__n") + 1)
-    return (spread.withColumn("__start", F.explode(starts))
-            .select("__name", F.expr("substring(__name, __start, __n)").alias("__piece")))
+
+def _grams(text: str, length: int):
+    """All runs of `length` characters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - (length - 1))
+    return F.when(F.length(text) >= length, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(length)))))
+
+
+def _contained(names: DataFrame, name: str, needles: DataFrame, needle: str) -> DataFrame:
+    """(name, piece): each distinct name with the needles in it."""
+    held = names.select(col(name).alias("__name")).filter(col("__name") != "").distinct()
+    wanted = needles.select(col(needle).alias("__piece")).filter(col("__piece") != "").distinct()
+    # a needle's length, up to GRAM, and its rarest-looking run: the last one, as names often begin alike
+    wanted = wanted.withColumn("__size", F.least(F.length("__piece"), F.lit(GRAM)))
+    wanted = wanted.withColumn("__run", F.right("__piece", col("__size")))
+    spread = held.select("__name", F.explode(F.array(*[F.struct(F.lit(n).alias("size"), _grams("__name", n).alias("runs")) for n in range(1, GRAM + 1)])).alias("s"))
+    spread = spread.select("__name", F.col("s.size").alias("__size"), F.explode("s.runs").alias("__run"))
+    return spread.join(wanted, ["__size", "__run"]).filter(F.contains(col("__name"), col("__piece"))).select("__name", "__piece")
 
 
 def keep_contained(df: DataFrame, needle: str, names: DataFrame, name: str) -> DataFrame:
     """Rows whose text occurs inside any name of the other table (plain text, case as given)."""
-    pieces = _substrings(names, name, df, needle).select("__piece").distinct()
+    pieces = _contained(names, name, df, needle).select("__piece").distinct()
     return df.join(pieces, col(needle) == col("__piece"), "left_semi")
 
 
 def replace_by_contained(df: DataFrame, name: str, needles: DataFrame, needle: str, out: str) -> DataFrame:
     """The needle contained in each name, else the name itself; of several the smallest."""
-    wanted = needles.select(col(needle).alias("__piece")).distinct()
-    pieces = _substrings(df, name, needles, needle)
-    found = pieces.join(wanted, "__piece").groupBy("__name").agg(F.min("__piece").alias("__found"))
+    found = _contained(df, name, needles, needle).groupBy("__name").agg(F.min("__piece").alias("__found"))
     joined = left_join(df, found, (name, "__name"), missing_match=False)
     return joined.withColumn(out, F.coalesce(col("__found"), col(name))).drop("__found")

@@ -7,7 +7,8 @@ must pass from one part to the next is one row per part: a table small enough to
 
 Finding them counts a sample of the key columns, so that it shuffles next to nothing. The
 sample only decides which groups are cut: the results are the same for any choice, and every
-row goes through them. With no hot key the plan is the plain window.
+row goes through them. With no hot key the plan is the plain window. Neither the number of hot keys
+nor that of parts is bounded: hot keys stay a table, and a group that needs more than `FAN` parts is cut again.
 """
 
 from __future__ import annotations
@@ -20,33 +21,17 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..names import col, cols, parse_order, sort_columns
-from ..session import (BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT, BROADCAST_ROWS,
-                       BROADCAST_ROWS_DEFAULT, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT,
-                       int_setting, shared_folder)
+from ..session import HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT, int_setting, shared_folder
 
 PART = "__part"
 CUTS = "__cuts"
 WHOLE = "__whole_table"
-MAX_HOT_KEYS = 10_000        # hottest keys first; the rest are below total/10,000 rows each
-MAX_PARTS = 4096
-SEARCH_STEPS = 13            # 2 ** 12 = MAX_PARTS
+FAN = 1024                   # parts that a group is cut into at once; cut points are carried to its rows
+MAX_LEVELS = 6               # FAN ** 6 parts fit in a long; what is left then has one order value
 SAMPLE_PER_PART = 32
 SAMPLED_ROWS_OF_HOT_KEY = 400  # the sample holds about this many rows of a key at the limit
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a table whose rows and bytes were counted to be within bounds;
-    a larger one is left to the ordinary join."""
-    spark = df.sparkSession
-    max_rows = int_setting(spark, BROADCAST_ROWS, BROADCAST_ROWS_DEFAULT)
-    max_bytes = int_setting(spark, BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT)
-    size = (df.limit(max_rows + 1)
-            .agg(F.count(F.lit(1)).alias("rows"),
-                 F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first())
-    small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df
-
-
 def _comes_before(cut: Column, order: Sequence[str]) -> Column:
     """Whether a cut point sorts strictly before the row, missing values last."""
     before, same = F.lit(False), F.lit(True)
@@ -70,9 +55,9 @@ def _part_of(cuts: Column, order: Sequence[str]) -> Column:
                 .otherwise(F.struct(low.alias("low"), middle.alias("high"))))
 
     start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit(SEARCH_STEPS))
+    steps = F.sequence(F.lit(1), F.lit(FAN.bit_length()))
     found = F.aggregate(steps, start, halve, lambda state: state.getField("low"))
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(found).cast("long")
 
 
 def _same_keys(keys: Sequence[str], suffix: str) -> Column:
@@ -80,9 +65,10 @@ def _same_keys(keys: Sequence[str], suffix: str) -> Column:
 
 
 def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a table that holds at most one row per key, missing keys matching."""
+    """Join a table that holds at most one row per key, missing keys matching. Its size is known when the join
+    runs: AQE broadcasts a small one and splits the rows of a hot key."""
     renamed = table.withColumnsRenamed({k: k + "__small" for k in keys})
-    joined = df.join(broadcast_if_small(renamed), _same_keys(keys, "__small"), how)
+    joined = df.join(renamed, _same_keys(keys, "__small"), how)
     return joined if how == "left_semi" else joined.drop(*[k + "__small" for k in keys])
 
 
@@ -128,7 +114,7 @@ class SplitGroups:
         return df.drop(PART, CUTS, WHOLE)
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more rows than the limit, with their (estimated) number of rows."""
     share = min(1.0, SAMPLED_ROWS_OF_HOT_KEY / limit)
     rows, least = df.select(*cols(keys)), limit
@@ -136,17 +122,14 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | Non
         # keys somewhat below the limit may be found as well, which does no harm
         rows, least = rows.sample(share, seed=1), limit * 3 // 4
     counted = F.ceil(F.count(F.lit(1)) / share).alias("__rows")
-    hottest = (rows.groupBy(*cols(keys)).agg(counted).filter(col("__rows") > least)
-               .orderBy(F.desc("__rows")).limit(MAX_HOT_KEYS))
-    found = hottest.collect()
-    return df.sparkSession.createDataFrame(found, hottest.schema) if found else None
+    return rows.groupBy(*cols(keys)).agg(counted).filter(col("__rows") > least).checkpoint()
 
 
 def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     """Per hot key an ordered array of rows at which to cut, from a sample by hash of the order
-    columns: the same rows whenever a lost task is computed again."""
+    columns: the same rows whenever a lost task is computed again. Cuts are spaced by rank in the sample."""
     names = [n for n, _ in parse_order(order)]
-    parts = F.least(F.ceil(col("__rows") / limit), F.lit(MAX_PARTS))
+    parts = F.least(F.ceil(col("__rows") / limit), F.lit(FAN))
     every = F.greatest(F.lit(1), F.floor(col("__rows") / (parts * SAMPLE_PER_PART)))
     hot = hot.select(*cols(keys), parts.alias("__parts"), every.alias("__every"))
     wanted = list(dict.fromkeys(keys + names))
@@ -158,17 +141,21 @@ def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str]
         F.row_number().over(group.orderBy(*sort_columns(order))).alias("__place"),
         F.count(F.lit(1)).over(group).alias("__sampled"),
         F.struct(*[col(n).alias(f"c{i}") for i, n in enumerate(names)]).alias("__row"))
-    step = F.greatest(F.lit(1), F.floor(col("__sampled") / col("__parts")))
-    cut = sample.filter((F.pmod(col("__place"), step) == 0) & (col("__place") < col("__sampled")))
-    # rounding may leave a few more places than parts; those beyond the bound are not cuts
-    cut = cut.filter(col("__place") / step < MAX_PARTS)
+
+    def rank(place: Column) -> Column:
+        return F.floor(place * col("__parts") / col("__sampled"))
+
+    cut = sample.filter((rank(col("__place")) > rank(col("__place") - 1)) & (col("__place") < col("__sampled")))
     ordered = F.array_sort(F.collect_list(F.struct("__place", "__row")))
     return cut.groupBy(*cols(keys)).agg(F.transform(ordered, lambda x: x.getField("__row")).alias(CUTS))
 
 
 def split_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  max_rows: int | None = None) -> SplitGroups:
-    """Cut groups of more than `max_rows` rows along `order`, which should end in a unique column."""
+    """Cut groups of more than `max_rows` rows along `order`, which should end in a unique column.
+
+    A group is cut into at most `FAN` parts at a time, and parts that are still too large are cut in the same
+    way, so that the cut points carried to a row stay few."""
     spark = df.sparkSession
     limit = max_rows or int_setting(spark, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
@@ -177,10 +164,22 @@ def split_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         first = parse_order(order)[0][0]
         df = df.withColumn(WHOLE, F.coalesce(F.pmod(F.xxhash64(col(first)), F.lit(1)), F.lit(0)))
         keys = [WHOLE]
-    hot = _hot_keys(df, keys, limit)
-    if hot is None:
-        return SplitGroups(df, keys, order, hot=False)
     shared_folder(spark)
-    cuts = _cut_points(df, hot, keys, order, limit).checkpoint()
-    with_cuts = join_small(df, cuts, keys)
-    return SplitGroups(with_cuts.withColumn(PART, _part_of(col(CUTS), order)), keys, order, hot=True)
+    whole, by, cut = df, keys, False
+    for _ in range(MAX_LEVELS):
+        hot = _hot_keys(df, by, limit)
+        most = hot.agg(F.max("__rows")).first()[0]
+        if most is None:
+            break
+        points = _cut_points(df, hot, by, order, limit).checkpoint()
+        work = join_small(df.drop(CUTS), points, by)
+        part = _part_of(col(CUTS), order)
+        work = work.withColumn(PART, col(PART) * FAN + part if cut else part)
+        # a part is marked by whether its group was cut at any level
+        marked = col(CUTS).isNotNull() | (col("__was_cut") if cut else F.lit(False))
+        df, by, cut = work.withColumn("__was_cut", marked), keys + [PART], True
+        if most <= limit * FAN:
+            break
+    if not cut:
+        return SplitGroups(whole, keys, order, hot=False)
+    return SplitGroups(df.withColumn(CUTS, F.when(col("__was_cut"), F.lit(True))).drop("__was_cut"), keys, order, hot=True)

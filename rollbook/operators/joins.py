@@ -2,7 +2,7 @@
 
 Catalyst broadcasts a side whose size it knows to be under spark.sql.autoBroadcastJoinThreshold,
 AQE does so on measured sizes, and otherwise a sort-merge join runs whose skewed partitions
-AQE splits. Only lists declared as references get a hint, after their size was counted.
+AQE splits. No side gets a hint.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def anti(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFram
 def translate(df: DataFrame, mapping: DataFrame, current: str, new: str,
               keep_original: bool = True) -> DataFrame:
     """Add the column `new` of a mapping table by the value of `current`."""
-    out = left_join(df, mapping.select(*cols([current, new])), current, reference=True)
+    out = left_join(df, mapping.select(*cols([current, new])), current)
     return out if keep_original else out.drop(current)
 
 

@@ -9,7 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 
 from ..names import Key, col, pairs
-from .hot_groups import broadcast_if_small
 
 
 def match(on: Sequence[tuple[str, str]], missing_match: bool = True) -> Column:
@@ -25,15 +24,9 @@ def private_keys(right: DataFrame, on: Sequence[tuple[str, str]]):
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Key | Sequence[Key],
-              missing_match: bool = True, reference: bool = False) -> DataFrame:
-    """Left join on keys with the same or different names; the right keys are dropped.
-
-    `reference` says that the right side is a list with few keys, such as a calendar. Its size is
-    counted, and if it is small the left side stays where it is. Shuffling the left side by
-    keys of which there are only a few would make a few huge partitions.
-    """
-    if reference:
-        right = broadcast_if_small(right)
+              missing_match: bool = True) -> DataFrame:
+    """Left join on keys with the same or different names; the right keys are dropped. Nothing is counted
+    beforehand: Catalyst and AQE know the sizes of files and shuffles, broadcast a small right side and split hot keys."""
     right, on = private_keys(right, pairs(on))
     clash = {c for c in left.columns} & {c for c in right.columns}
     if clash:

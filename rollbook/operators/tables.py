@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..names import col, cols, sort_columns
+from .keyed import left_join
 from .windows import attach
 
 
@@ -61,23 +62,26 @@ def workload(df: DataFrame, keys: Sequence[str], groups: str, weeks: str, minute
 
     new: all minutes / (weeks x student groups), contact hours = all minutes / 60.
     old: mean of the rows' mean minutes, contact hours = occurrences x that mean / 60.
-    One aggregation: a row's own values count on the first of its exploded weeks only.
+    Distinct weeks are counted on (keys, week) pairs and distinct groups on the rows themselves, so neither count
+    repeats the rows of the other; the pairs are reduced in the tasks.
     """
     if variant not in ("new", "old"):
         raise ValueError("variant must be 'new' or 'old'")
     total = F.aggregate(col(minutes), F.lit(0.0), lambda a, x: a + x.cast("double"))
     rows = df.select(*cols(keys), col(groups).alias("__group"), col(weeks).alias("__weeks"),
                      total.alias("__minutes"), F.size(col(minutes)).alias("__count"))
-    rows = rows.select(*cols(keys), "__group", "__minutes", "__count",
-                       F.posexplode_outer("__weeks").alias("__pos", "__week"))
-    own = F.coalesce(col("__pos"), F.lit(0)) == 0
-    n_groups = F.count_distinct("__group") + F.max(col("__group").isNull().cast("int"))
-    summed = rows.groupBy(*cols(keys)).agg(
-        n_groups.alias("n_groups"), F.count_distinct("__week").alias("n_weeks"),
-        F.count("__week").alias("__occurrences"),
-        F.when(F.count_if(own & col("__minutes").isNull()) == 0,
-               F.sum(F.when(own, col("__minutes")))).alias("__total"),
-        F.avg(F.when(own, F.try_divide(col("__minutes"), col("__count")))).alias("__mean"))
+    by_group = rows.groupBy(*cols(keys), "__group").agg(
+        F.sum(F.coalesce(F.size(F.array_compact("__weeks")), F.lit(0))).alias("__occurrences"),
+        F.sum("__minutes").alias("__minutes"), F.count_if(col("__minutes").isNull()).alias("__unknown"),
+        F.sum(F.try_divide(col("__minutes"), col("__count"))).alias("__means"),
+        F.count(F.try_divide(col("__minutes"), col("__count"))).alias("__with_mean"))
+    summed = by_group.groupBy(*cols(keys)).agg(
+        F.count(F.lit(1)).alias("n_groups"), F.sum("__occurrences").alias("__occurrences"),
+        F.when(F.sum("__unknown") == 0, F.sum("__minutes")).alias("__total"),
+        F.try_divide(F.sum("__means"), F.sum("__with_mean")).alias("__mean"))
+    distinct = rows.select(*cols(keys), F.explode(F.array_distinct(F.array_compact("__weeks"))).alias("__week")).distinct()
+    n_weeks = distinct.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_weeks"))
+    summed = left_join(summed, n_weeks, list(keys)).withColumn("n_weeks", F.coalesce("n_weeks", F.lit(0).cast("long")))
     if variant == "new":
         load = F.try_divide(col("__total"), col("n_weeks") * col("n_groups"))
         hours = col("__total") / 60

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..names import col, cols, sort_columns
-from .hot_groups import PART, join_small, split_groups
+from ..names import col, cols, parse_order, sort_columns
+from .hot_groups import join_small, split_groups
 from .keyed import left_join
 
 
@@ -98,22 +98,23 @@ def attach(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame
     return left_join(df, groups, list(keys))
 
 
-def fill_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-               max_rows: int | None = None) -> DataFrame:
-    """Missing values become the group's first value present."""
-    split = split_groups(df, keys, order, max_rows)
-    whole = split.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = {f"__first_{i}": F.first(col(c), True).over(whole) for i, c in enumerate(columns)}
-    work = split.df.withColumns(first)
-    if split.hot:
-        for i, c in enumerate(columns):
-            parts = split.edge(c, last=False, out=f"__group_{i}", skip_missing=True)
-            earliest = keep_first(parts, split.keys, [PART]).drop(PART)
-            work = join_small(work, earliest, split.keys)
-            # a part may hold a value although an earlier part held the first one
-            work = work.withColumn(f"__first_{i}", F.coalesce(col(f"__group_{i}"), col(f"__first_{i}")))
-    filled = work.withColumns({c: F.coalesce(col(c), col(f"__first_{i}")) for i, c in enumerate(columns)})
-    return split.finish(filled.drop(*[f"__{kind}_{i}" for i in range(len(columns)) for kind in ("first", "group")]))
+def fill_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Missing values become the group's first value present. The first values are aggregated, a row per key from each
+    task, and joined back: no window and no search for hot groups."""
+    order = [order] if isinstance(order, str) else list(order)
+    first = {c: f"__first_{i}" for i, c in enumerate(columns)}
+    if any(descending for _, descending in parse_order(order)):
+        # a struct can not be compared downwards; each column's first row is pruned in the tasks instead
+        work = df
+        for c, f in first.items():
+            rows = df.filter(col(c).isNotNull())
+            # private names, as a value column may also be a key or in the order
+            rows = keep_first(rows.withColumn(f, col(c)), keys, order).select(*cols(keys), col(f))
+            work = left_join(work, rows, list(keys))
+    else:
+        place = F.struct(*[p for n, _ in parse_order(order) for p in (col(n).isNull(), col(n))])
+        work = attach(df, keys, *[F.min_by(col(c), F.when(col(c).isNotNull(), place)).alias(f) for c, f in first.items()])
+    return work.withColumns({c: F.coalesce(col(c), col(f)) for c, f in first.items()}).drop(*first.values())
 
 
 def collapse_text(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str,

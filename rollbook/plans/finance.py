@@ -43,23 +43,23 @@ def finance_lines(inputs: Mapping[str, DataFrame], order: Sequence[str], strict_
 
 
 def finance_long(inputs: Mapping[str, DataFrame], order: Sequence[str], strict_max: bool = False,
-                 names: bool = True) -> DataFrame:
+                 names: bool = True, part_rows: int = 100_000) -> DataFrame:
     """`inputs`: finance_export, finance_mapping. `order` is the place of a line in its source.
 
-    `names=True` adds the lines' names as one text per amount, as the report shows them; that
-    text grows with its group. `names=False` leaves it out, `finance_names` gives the same
-    names in parts of bounded size.
+    A row for each amount, with its lines' names as one text. For groups of every size that text comes in numbered
+    parts of at most `part_rows` names; the amount stands on part 0 alone. `names=False` leaves out parts and names.
     """
     lines = finance_lines(inputs, order, strict_max)
     # with one number as the place, the amounts are summed in a hash aggregation
     place = col(order[0]) if len(order) == 1 else F.struct(*cols(order))
     summed = lines.groupBy(*cols(CELL_KEYS)).agg(
         sum_present(col("Waarde")).alias("Waarde"), F.min(place).alias("first_line"))
-    if names:
-        texts = collapse_text(lines, CELL_KEYS, "Toewijzing", [*order, "amount_order"], "Naam_intern", part_rows=None)
-        summed = left_join(summed, texts, CELL_KEYS)
-    out = ["Faculteit", col(FIELD).alias("Veldnaam"), "Waarde", "Jaar", *(["Naam_intern"] if names else [])]
-    return sort_rows(summed.select(*out, "first_line"), ["Faculteit", "Jaar", "first_line"]).drop("first_line")
+    out = ["Faculteit", col(FIELD).alias("Veldnaam"), "Waarde", "Jaar"]
+    if not names:
+        return sort_rows(summed.select(*out, "first_line"), ["Faculteit", "Jaar", "first_line"]).drop("first_line")
+    texts = collapse_text(lines, CELL_KEYS, "Toewijzing", [*order, "amount_order"], "Naam_intern", part_rows=part_rows)
+    named = left_join(texts, summed, CELL_KEYS).withColumn("Waarde", F.when(col("part") == 0, col("Waarde")))
+    return sort_rows(named.select(*out, "part", "Naam_intern", "first_line"), ["Faculteit", "Jaar", "first_line", "part"]).drop("first_line")
 
 
 def finance_names(inputs: Mapping[str, DataFrame], order: Sequence[str], strict_max: bool = False,

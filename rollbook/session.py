@@ -10,10 +10,6 @@ from pyspark.sql import SparkSession
 
 HOT_GROUP_ROWS = "spark.rollbook.hotGroupRows"
 HOT_GROUP_ROWS_DEFAULT = 2_000_000
-BROADCAST_ROWS = "spark.rollbook.broadcastRows"
-BROADCAST_ROWS_DEFAULT = 200_000
-BROADCAST_BYTES = "spark.rollbook.broadcastBytes"
-BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
 
 def local_session(cores: str | int = "*", app: str = "rollbook", **conf: str) -> SparkSession:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..names import col, cols
 from ..operators.joins import anti
+from ..operators.windows import keep_first
 
 
 def row_payloads(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
@@ -19,14 +20,15 @@ def row_payloads(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str]
 
 def send_payloads(payloads: DataFrame, key: str, sender: Callable[[str], tuple[int, str]], path: str) -> DataFrame:
     """Send every body and keep (key, status, content) in a table at `path`; an error becomes a
-    row with status "Error" and does not stop the rest.
+    row with status "Error" and does not stop the rest. The table keeps all attempts; returned is each key's latest.
 
     `sender(body)` returns a status and a text. Results are written once and read back, so using
     them does not send again. A second call sends only what has no good result yet. A lost task
     is sent again, so the receiving side should treat `key` as the identity of the row.
     """
     spark = payloads.sparkSession
-    schema = f"`{key}` string, status string, content string"
+    schema = f"`{key}` string, status string, content string, attempt int"
+    attempt = 0
 
     def send(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -36,17 +38,18 @@ def send_payloads(payloads: DataFrame, key: str, sender: Callable[[str], tuple[i
             for k, body in zip(batch[key], batch["body"]):
                 try:
                     status, content = sender(body)
-                    rows.append((k, str(status), content))
+                    rows.append((k, str(status), content, attempt))
                 except Exception as error:  # noqa: BLE001 - any failure is a result row
-                    rows.append((k, "Error", str(error)))
-            yield pd.DataFrame(rows, columns=[key, "status", "content"])
+                    rows.append((k, "Error", str(error), attempt))
+            yield pd.DataFrame(rows, columns=[key, "status", "content", "attempt"])
 
     todo = payloads.select(col(key).cast("string").alias(key), "body")
     try:
         earlier = spark.read.schema(schema).parquet(path)
         todo = anti(todo, earlier.filter(F.col("status").startswith("2")), key)
+        attempt = (earlier.agg(F.max("attempt")).first()[0] or 0) + 1
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
     todo.mapInPandas(send, schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return keep_first(spark.read.schema(schema).parquet(path), [key], ["-attempt", "status", "content"]).drop("attempt")

@@ -18,12 +18,14 @@ def read_lines_after(spark: SparkSession, paths: str | Sequence[str], skip: int)
     """Lines of the files without the first `skip` of each, with their place in the source.
 
     Files of any size are read in splits. Only the split that starts a file holds its first
-    lines, so each task drops them by itself and no file has to pass through one row or task.
-    `SOURCE_ORDER` restores the order of the lines.
+    lines: those splits are numbered by their tasks, line by line. All others stay in the JVM, where a running number
+    keeps the order of a task's lines; it grows along each split. `SOURCE_ORDER` restores the order of the lines.
     """
     lines = (spark.read.option("recursiveFileLookup", "true").text(paths)
              .select("value", F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("block")))
+    later = lines.filter("block > 0").select(col("path").alias("source_file"), col("block").alias("source_block"),
+                                             F.monotonically_increasing_id().alias("source_line"), "value")
 
     def drop_first(batches: Iterator) -> Iterator:
         import numpy as np
@@ -45,9 +47,9 @@ def read_lines_after(spark: SparkSession, paths: str | Sequence[str], skip: int)
             out = pa.RecordBatch.from_arrays(
                 [batch.column("path"), batch.column("block"), pa.array(place), batch.column("value")],
                 names=["source_file", "source_block", "source_line", "value"])
-            yield out.filter(pa.array((place >= skip) | (block > 0)))
+            yield out.filter(pa.array(place >= skip))
 
-    kept = lines.mapInArrow(drop_first, _LINES)
+    kept = lines.filter("block = 0").mapInArrow(drop_first, _LINES).unionByName(later)
     return kept.withColumn("source_file", decode_path(col("source_file")))
 
 
@@ -112,7 +114,8 @@ def write_european_csv(df: DataFrame, path: str, na: str = "") -> None:
 
 def read_zip_lines(spark: SparkSession, folder: str, pattern: str = r"\.zip$",
                    encoding: str = "utf-8") -> DataFrame:
-    """Lines of the delimited files inside zip files: (source_file, source_line, value).
+    """Lines of the delimited files inside zip files: (source_file, source_member, source_line, value), numbered in
+    each member from 0.
 
     Spark shares out the zip paths; each task streams its archive through the file system of
     the path in batches, so an archive is never held whole in a row or in memory. A zip can
@@ -136,33 +139,33 @@ def read_zip_lines(spark: SparkSession, folder: str, pattern: str = r"\.zip$",
             system, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
             return system.open_input_file(inner)
 
-        def emit(path, first, lines):
+        def emit(path, member, first, lines):
+            n = len(lines)
             return pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(lines)), pa.array(range(first, first + len(lines)), pa.int64()),
-                 pa.array(lines, pa.string())], names=["source_file", "source_line", "value"])
+                [pa.array([path] * n), pa.array([member] * n), pa.array(range(first, first + n), pa.int64()),
+                 pa.array(lines, pa.string())], names=["source_file", "source_member", "source_line", "value"])
 
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with open_path(path) as stream, zipfile.ZipFile(stream) as archive:
-                    place = 0
-                    for member in sorted(archive.namelist()):
+                    for member in sorted(n for n in archive.namelist() if not n.endswith("/")):
                         with archive.open(member) as raw:
-                            lines = []
+                            place, lines = 0, []
                             for line in io.TextIOWrapper(raw, encoding=encoding, newline=None):
                                 lines.append(line.rstrip("\n"))
                                 if len(lines) == batch_lines:
-                                    yield emit(path, place, lines)
+                                    yield emit(path, member, place, lines)
                                     place, lines = place + len(lines), []
                             if lines:
-                                yield emit(path, place, lines)
-                                place += len(lines)
+                                yield emit(path, member, place, lines)
 
-    return paths.repartition(parallel).mapInArrow(unzip, "source_file string, source_line long, value string")
+    return paths.repartition(parallel).mapInArrow(
+        unzip, "source_file string, source_member string, source_line long, value string")
 
 
 def read_zip_csv(spark: SparkSession, folder: str, schema: T.StructType, sep: str = ",",
                  na: Sequence[str] = ("", "NA", "#"), pattern: str = r"\.zip$") -> DataFrame:
-    """Zipped delimited files with a header line, several words for missing values, and a type
+    """Zipped delimited files, each member with a header line, several words for missing values, and a type
     per column."""
     lines = read_zip_lines(spark, folder, pattern).filter(F.col("source_line") > 0)
     return parse_lines(lines, schema, sep, na)

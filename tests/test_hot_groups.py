@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.operators import hot_groups
 from rollbook.operators.hot_groups import split_groups
+from rollbook.operators.joins import left_join_checked, lookup_reference, translate
 from rollbook.operators.windows import (attach, collapse_text, fill_down_up, fill_first, fill_from_previous,
                                         keep_first, number_rows, top_rows)
 
@@ -62,6 +64,44 @@ def test_hot_keys_are_found_on_a_sample(spark):
     assert cut.exceptAll(whole).isEmpty() and cut.count() == 30_000
 
 
+def test_more_hot_keys_and_parts_than_are_cut_at_once(spark, monkeypatch):
+    """Groups that need more parts than one cut makes are cut again, and no part stays large."""
+    monkeypatch.setattr(hot_groups, "FAN", 4)
+    many = spark.range(12_000).select("id", (F.col("id") % 40).alias("key"), F.pmod(F.xxhash64("id"), F.lit(997)).alias("day")).withColumn(
+        "key", F.when(F.col("key") < 20, F.lit(-1)).otherwise(F.col("key")))
+    split = split_groups(many, ["key"], ["day", "id"], 15)
+    sizes = [r["__rows"] for r in split.parts().collect()]
+    assert sum(sizes) == 12_000 and max(sizes) <= 4 * 15
+    cut = number_rows(many, ["key"], ["day", "id"], "n", 15)
+    whole = number_rows(many, ["key"], ["day", "id"], "n", 10**9)
+    assert cut.exceptAll(whole).isEmpty() and cut.count() == 12_000
+
+
+def test_equal_order_values_can_not_be_cut_but_end(spark):
+    same = spark.range(200).select("id", F.lit(1).alias("key"), F.lit(5).alias("day"))
+    assert number_rows(same, ["key"], ["day"], "n", 10).agg(F.max("n")).first()[0] == 200
+
+
+def jobs_of(spark, build):
+    """How many Spark jobs run while a DataFrame is built."""
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lookups_and_first_values_start_no_job(spark, df):
+    small = spark.createDataFrame([("hot", 1), ("a", 2)], "key string, code int")
+    assert jobs_of(spark, lambda: fill_first(df, ["key"], ["day", "id"], ["a", "b"])) == 0
+    assert jobs_of(spark, lambda: fill_first(df, ["key"], ORDER, ["a"])) == 0
+    assert jobs_of(spark, lambda: translate(df, small, "key", "code")) == 0
+    assert jobs_of(spark, lambda: left_join_checked(df, small, "key")) == 0
+    assert jobs_of(spark, lambda: lookup_reference(df, small, "key", "code", "codes", "ref")) == 0
+    assert jobs_of(spark, lambda: df.count()) > 0
+
+
 def test_without_hot_keys_the_plan_is_the_plain_window(df, plan_of):
     plan = plan_of(number_rows(df, ["key"], ORDER))
     assert "Window" in plan and "Join" not in plan
@@ -101,14 +141,16 @@ def test_fill_down_up(df, rows, limit):
     assert by_id(fill_down_up(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
 
 
-@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
-def test_fill_first(df, rows, limit):
+@pytest.mark.parametrize("order", [ORDER, ["day", "rank", "id"]])
+def test_fill_first(df, rows, order):
     expected = {}
     for group in ordered_groups(rows).values():
+        if order is not ORDER:
+            group = sorted(group, key=lambda r: (r[1] is None, r[1] or 0, r[2] is None, r[2] or "", r[3]))
         first = [next((g[c] for g in group if g[c] is not None), None) for c in (4, 5)]
         for r in group:
             expected[r[3]] = tuple(r[c] if r[c] is not None else f for c, f in zip((4, 5), first))
-    assert by_id(fill_first(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+    assert by_id(fill_first(df, ["key"], order, ["a", "b"]), "a", "b") == expected
 
 
 @pytest.mark.parametrize("limit", [CUT, 100_000])

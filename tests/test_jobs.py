@@ -54,7 +54,9 @@ def test_finance_counts_a_year_twice_as_written_and_once_when_strict(spark):
     inputs = {"finance_export": export, "finance_mapping": mapping}
     written = finance.finance_long(inputs, ["line"])
     assert [tuple(r) for r in written.collect()] == [
-        ("SBE", "Baten", 10.0, 2020, "a"), ("SBE", "Baten", 42.0, 2021, "a, a, b"), ("SBE", "Baten", 30.0, 2022, "a, b")]
+        ("SBE", "Baten", 10.0, 2020, 0, "a"), ("SBE", "Baten", 42.0, 2021, 0, "a, a, b"), ("SBE", "Baten", 30.0, 2022, 0, "a, b")]
+    parts = finance.finance_long(inputs, ["line"], part_rows=2)
+    assert [tuple(r) for r in parts.filter("Jaar = 2021").collect()] == [("SBE", "Baten", 42.0, 2021, 0, "a, a"), ("SBE", "Baten", None, 2021, 1, "b")]
     strict = finance.finance_long(inputs, ["line"], strict_max=True, names=False)
     assert rows(strict, "Jaar", "Waarde") == [(2020, 10.0), (2021, 22.0), (2022, 30.0)]
     assert rows(finance.finance_names(inputs, ["line"], part_rows=2), "Jaar", "part", "names") == [
