@@ -22,12 +22,17 @@ K = 2
 CELLS = 32                 # also the number of signatures
 PLACE_BITS = 24            # the low bits of a packed k-mer hold its place in the text
 MOST_PARTS = 20_000
+TASKS = 4                  # times the shuffle partitions: a text's k-mers take several times its own memory
+
+
+def tasks(df: DataFrame) -> int:
+    return TASKS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def in_order(df: DataFrame, id_col: str = "id") -> DataFrame:
     """Adds `part`: a range of ids, so that the rows of a part are a bounded window. The ranges follow approximate
-    quantiles of the ids, two for each shuffle partition; rows find theirs by binary search."""
-    parts = max(2, min(MOST_PARTS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    quantiles of the ids, two for each task; rows find theirs by binary search."""
+    parts = max(2, min(MOST_PARTS, 2 * tasks(df)))
     shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     cuts = df.agg(F.percentile_approx(id_col, shares, 10 * parts)).scalar()
 
@@ -53,7 +58,8 @@ def with_next(df: DataFrame, column: str = "text") -> DataFrame:
     edges = first.select("part", F.coalesce(F.lead(F.struct("edge")).over(over_parts), F.first(F.struct("edge")).over(
         over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
     inside = Window.partitionBy("part").orderBy("id", column)
-    rows = df.withColumns({"row": F.row_number().over(inside), "follow": F.lead(F.struct(F.col(column).alias("edge"))).over(inside)})
+    # so many tasks that the k-mers of each are sorted in memory
+    rows = df.repartition(tasks(df), "part").withColumns({"row": F.row_number().over(inside), "follow": F.lead(F.struct(F.col(column).alias("edge"))).over(inside)})
     return rows.join(edges, "part", "left").withColumn("next", F.coalesce("follow", "after")["edge"]).drop("follow", "after")
 
 
