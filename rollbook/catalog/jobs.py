@@ -484,17 +484,14 @@ def timetable_inputs(spark, sf_dir):
             "programme_map": programme_map}
 
 
-def _cell_sql(measure: str, form: str) -> str:
-    raw = ", ".join(f"'{r}'" for r in timetable.NEW.types[form])
+def _cell_sql(edition: timetable.Variant, measure: str, form: str) -> str:
+    raw = ", ".join(f"'{r}'" for r in edition.types[form])
     return f"list({measure} ORDER BY ter_type) FILTER (WHERE ter_type IN ({raw}))"
 
 
-SHORT = {"Hoorcollege": "lec", "Werk/instructiecollege": "cls", "Practicum/Lab": "lab", "Excursie": "trip",
-         "Groepsopdracht (geroosterde begeleiding)": "grp"}
-WIDE_SQL = ", ".join(f"{_cell_sql(m, form)} AS {short}_{m}" for form, short in SHORT.items()
-                     for m in ("n_groups", "n_weeks", "minutes_per_group_week", "contact_hours"))
-ALL_RAW = ", ".join(f"'{r}'" for raws in timetable.NEW.types.values() for r in raws)
-TRIP, GUIDED = "Excursie", "Groepsopdracht (geroosterde begeleiding)"
+LOAD = ("n_groups", "n_weeks", "minutes_per_group_week", "contact_hours")
+SHORT = {timetable.LECTURE: "lec", timetable.CLASS: "cls", timetable.LAB: "lab", timetable.TRIP: "trip", timetable.GUIDED: "grp", timetable.UNGUIDED: "own"}
+TRIP, GUIDED, UNGUIDED = timetable.TRIP, timetable.GUIDED, timetable.UNGUIDED
 
 
 def _fill_sql(name: str, window: str) -> str:
@@ -502,45 +499,55 @@ def _fill_sql(name: str, window: str) -> str:
                         first_value({name} IGNORE NULLS) OVER ({window} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
 
-def _slot_sql(i: int) -> str:
+def _slot_sql(edition: timetable.Variant, i: int) -> str:
     picks = {"groepen": "n_groups", "aantalweken": "n_weeks", "urenperweekpergroep": "minutes_per_group_week", "totaalcontacturen": "contact_hours"}
-    return ", ".join(f"CASE f{i} WHEN '{TRIP}' THEN trip_{m} WHEN '{GUIDED}' THEN grp_{m} END AS unl_werkvorm{i}{n}" for n, m in picks.items())
-
-
-TIMETABLE_SQL = ACTIVITIES_SQL + f""", load AS ({workload_sql('new')}),
-wide AS (SELECT ter_module_code, unl_jaar, {WIDE_SQL} FROM load WHERE ter_type IN ({ALL_RAW}) GROUP BY 1, 2),
-ranked AS (
-  SELECT *, CASE WHEN grp_n_weeks IS NULL AND trip_n_weeks IS NULL THEN NULL WHEN trip_n_weeks IS NULL THEN '{GUIDED}' WHEN grp_n_weeks IS NULL THEN '{TRIP}'
-                 WHEN list_max(grp_minutes_per_group_week) >= list_max(trip_minutes_per_group_week) THEN '{GUIDED}' ELSE '{TRIP}' END AS f1,
-            CASE WHEN grp_n_weeks IS NULL OR trip_n_weeks IS NULL THEN NULL
-                 WHEN list_max(grp_minutes_per_group_week) >= list_max(trip_minutes_per_group_week) THEN '{TRIP}' ELSE '{GUIDED}' END AS f2
-  FROM wide),
+    forms = [f for f in timetable.RANKED if f in edition.types]
+    return ", ".join(f"CASE f{i} " + " ".join(f"WHEN '{f}' THEN {SHORT[f]}_{m}" for f in forms) + f" END AS unl_werkvorm{i}{n}" for n, m in picks.items())
+
+
+def timetable_sql(edition: timetable.Variant) -> str:
+    """The common table expressions of the timetable job; the last one is `timetable`."""
+    wide = ", ".join(f"{_cell_sql(edition, m, form)} AS {SHORT[form]}_{m}" for form in edition.types for m in LOAD)
+    all_raw = ", ".join(f"'{r}'" for raws in edition.types.values() for r in raws)
+    slots = range(1, edition.slots + 1)
+    ranked = ", ".join(f"{{'m': -list_max({SHORT[f]}_minutes_per_group_week), 'p': {i}, 'n': '{f}'}}"
+                       for i, f in enumerate(f for f in timetable.RANKED if f in edition.types))
+    by_year = "jaar, k" if edition.name == "new" else "k"
+    programme = "coalesce(code, own_code)" if edition.prefer_programme == "right" else "coalesce(own_code, code)"
+    return ACTIVITIES_SQL + f""", load AS ({workload_sql(edition.name)}),
+wide AS (SELECT ter_module_code, unl_jaar, {wide} FROM load WHERE ter_type IN ({all_raw}) GROUP BY 1, 2),
+places AS (SELECT *, list_sort(list_filter([{ranked}], lambda x: x.m IS NOT NULL)) AS forms FROM wide),
+ranked AS (SELECT * EXCLUDE (forms), {", ".join(f"forms[{i}].n AS f{i}" for i in slots)} FROM places),
 raw_mart AS (
   SELECT o_custkey AS ck, c_nationkey, 2021 + o_orderkey % 3 AS jaar, min(o_orderkey) AS k, count(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
 gaps AS (
-  SELECT *, CASE WHEN n % 3 <> 0 THEN k % 6 + 1 END AS ps, make_date(jaar, 9, 1) + CAST((k % 6 + 1) * 40 AS INTEGER) AS start FROM raw_mart),
-filled1 AS (SELECT *, {_fill_sql('ps', 'PARTITION BY ck ORDER BY jaar, k')} AS per FROM gaps),
+  SELECT *, CASE WHEN n % 3 <> 0 THEN k % 6 + 1 END AS ps, make_date(jaar, 9, 1) + CAST((k % 6 + 1) * 40 AS INTEGER) AS start,
+         CASE WHEN ck % 6 = 0 THEN CAST(ck AS DOUBLE) END AS own_code FROM raw_mart),
+filled1 AS (SELECT *, {_fill_sql('ps', f'PARTITION BY ck ORDER BY {by_year}')} AS per FROM gaps),
 filled2 AS (
-  SELECT *, {_fill_sql('CASE WHEN ck % 4 <> 0 THEN start END', 'PARTITION BY jaar, per ORDER BY k')} AS begin_,
-         {_fill_sql('CASE WHEN ck % 5 <> 0 THEN start + 45 END', 'PARTITION BY jaar, per ORDER BY k')} AS end_ FROM filled1),
+  SELECT *, {_fill_sql('CASE WHEN ck % 4 <> 0 THEN start END', f'PARTITION BY jaar, per ORDER BY k')} AS begin_,
+         {_fill_sql('CASE WHEN ck % 5 <> 0 THEN start + 45 END', f'PARTITION BY jaar, per ORDER BY k')} AS end_ FROM filled1),
 exams AS (SELECT module, arg_min(jaar, k) AS jaar FROM acts WHERE kept = 1 AND n_events > 0 AND type = 'Tentamen digitaal' GROUP BY 1),
 timetable AS (
-  SELECT ter_module_code AS unl_vakcode, r.unl_jaar, r.* EXCLUDE (ter_module_code, unl_jaar, f1, f2), f1 AS unl_werkvorm1naam, f2 AS unl_werkvorm2naam,
-         {_slot_sql(1)}, {_slot_sql(2)},
+  SELECT ter_module_code AS unl_vakcode, r.unl_jaar, r.* EXCLUDE (ter_module_code, unl_jaar, {", ".join(f"f{i}" for i in slots)}),
+         {", ".join(f"f{i} AS unl_werkvorm{i}naam" for i in slots)}, {", ".join(_slot_sql(edition, i) for i in slots)},
          CASE WHEN ck IS NOT NULL THEN 'Vak ' || ck END AS unl_name, CASE WHEN ck % 9 <> 0 THEN CAST(6 AS DOUBLE) END AS unl_ecs, CASE WHEN n % 4 <> 0 THEN n % 2 = 0 END AS unl_verplichtkeuze,
          CAST(per AS INTEGER) AS period, begin_ AS unl_startdatum, end_ AS einddatum, round_even((end_ - begin_) / 7, 0) AS weeks_diff,
          CASE WHEN ck % 3 = 1 THEN 'Premaster' ELSE CAST(k % 4 + 1 AS VARCHAR) END AS unl_vakjaar,
          CASE WHEN ck IS NULL THEN NULL WHEN ck % 2 = 0 THEN 'Nederlands (NL)' ELSE 'Frans' END AS unl_taalvanvak,
-         coalesce(code, CASE WHEN ck % 6 = 0 THEN CAST(ck AS DOUBLE) END) AS "INS_Opleidingscode_actueel", n AS count_afgesloten, k AS source_order,
+         {programme} AS "INS_Opleidingscode_actueel", n AS count_afgesloten, k AS source_order,
          CAST(coalesce(CASE WHEN n % 5 = 0 THEN 1 END, CASE WHEN e.module IS NOT NULL THEN 941790006 END) AS INTEGER) AS unl_eindtoetsnaam
   FROM ranked r LEFT JOIN filled2 ON ter_module_code = 'V' || ck AND CAST(substr(r.unl_jaar, 1, 4) AS INTEGER) = jaar
   LEFT JOIN (SELECT c_nationkey AS nat, 2021 + c_custkey % 2 AS y, CAST(min(c_custkey) AS DOUBLE) AS code FROM customer GROUP BY 1, 2) ON nat = c_nationkey AND y = jaar
   LEFT JOIN exams e ON e.module = ter_module_code AND CAST(substr(r.unl_jaar, 1, 4) AS INTEGER) = e.jaar)"""
 
 
-def _timetable(spark, sf_dir):
-    return timetable.timetable_workload(timetable_inputs(spark, sf_dir))
+TIMETABLE_SQL = timetable_sql(timetable.NEW)
+
+
+def _timetable(spark, sf_dir, variant="new"):
+    return timetable.timetable_workload(timetable_inputs(spark, sf_dir), variant)
 
 
 def list_text(name: str):
@@ -573,6 +580,22 @@ def job_timetable_workload(spark, sf_dir):
                       "UAS_Vak_Periode_start", "ACA_Einddatum", "unl_aantalgeslaagdeneindtoets")
 
 
+OLD_LISTS = LIST_OUT | {f"{m}_{UNGUIDED}": f"own_{m}" for m in GROUPS_AND_WEEKS.values()} | {f"unl_werkvorm3{p}": f"unl_werkvorm3{p}" for p in GROUPS_AND_WEEKS}
+OLD_MINUTES = MINUTES_OUT | {f"{m}_{UNGUIDED}": f"own_{m}" for m in ("minutes_per_group_week", "contact_hours")} | {
+    f"unl_werkvorm3{p}": f"unl_werkvorm3{p}" for p in ("urenperweekpergroep", "totaalcontacturen")}
+
+
+@query("WITH " + timetable_sql(timetable.OLD) + " SELECT unl_werkvorm3naam, " + ", ".join(f'"{n}"' for n in PLAIN_OUT) + ", "
+       + ", ".join(f'array_to_string({sql}, \',\') AS "{n}"' for n, sql in OLD_LISTS.items()) + ", "
+       + ", ".join(f'round(list_sum({sql}), 4) AS "{n}"' for n, sql in OLD_MINUTES.items())
+       + """, period AS "UAS_Vak_Periode_start", einddatum AS "ACA_Einddatum", count_afgesloten AS unl_aantalgeslaagdeneindtoets FROM timetable""")
+def job_timetable_workload_old(spark, sf_dir):
+    out = _timetable(spark, sf_dir, "old")
+    minutes = [F.round(F.aggregate(col(n), F.lit(0.0), lambda a, x: a + x), 4).alias(n) for n in OLD_MINUTES]
+    return out.select("unl_werkvorm3naam", *cols(PLAIN_OUT), *[F.array_join(col(n).cast("array<string>"), ",").alias(n) for n in OLD_LISTS], *minutes,
+                      "UAS_Vak_Periode_start", "ACA_Einddatum", "unl_aantalgeslaagdeneindtoets")
+
+
 def payload_inputs(spark, sf_dir):
     """The form's own lists for the timetable's courses."""
     customer = table(spark, sf_dir, "customer")
