@@ -615,15 +615,25 @@ def payload_inputs(spark, sf_dir):
 
 
 COURSE_OUT = ["unl_vakcode", "unl_name", "unl_ecs", "unl_vakjaar", "unl_werkvorm1naam", "unl_werkvorm2naam", "unl_verplichtkeuze", "unl_taalvanvak",
-              "unl_eindtoetsnaam", "unl_vakid", "unl_Jaar@odata.bind", "unl_Opleiding@odata.bind", "unl_startdatum", "weeks_diff", "unl_aantalgeslaagdeneindtoets",
+              "unl_eindtoetsnaam", "unl_Jaar@odata.bind", "unl_Opleiding@odata.bind", "unl_startdatum", "weeks_diff", "unl_aantalgeslaagdeneindtoets",
               "UAS_Vak_Periode_start", "ACA_Einddatum"]
-# each list cell's element in the row that is kept, and minutes as hours
-COURSE_LISTS = {n: sql for n, sql in LIST_OUT.items()}
-COURSE_HOURS = {n: sql for n, sql in MINUTES_OUT.items() if n.endswith("urenperweekpergroep")}
-COURSE_REST = {n: sql for n, sql in MINUTES_OUT.items() if n not in COURSE_HOURS and not n.endswith("totaalcontacturen")}
 
 
-@query("WITH " + TIMETABLE_SQL + f""", bound AS (
+def _course_columns(lists: dict[str, str], minutes: dict[str, str]) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """List cells that become one number, minutes that become hours, and the other numbers."""
+    hours = {n: sql for n, sql in minutes.items() if n.endswith("urenperweekpergroep")}
+    return lists, hours, {n: sql for n, sql in minutes.items() if n not in hours and not n.endswith("totaalcontacturen")}
+
+
+def course_sql(edition: timetable.Variant, lists: dict[str, str], minutes: dict[str, str]) -> str:
+    """The form's row of a course and year is its first one, so each list cell gives its first element."""
+    lists, hours, rest = _course_columns(lists, minutes)
+    slots, old = range(1, edition.slots + 1), edition.name == "old"
+    codes = f"WHEN '{TRIP}' THEN 941790010 WHEN '{GUIDED}' THEN 941790004 WHEN '{UNGUIDED}' THEN 941790012"
+    needed = " AND unl_startdatum IS NOT NULL AND count_afgesloten IS NOT NULL" if old else ""
+    ids = "" if old else "CASE WHEN c_custkey IS NOT NULL THEN 'id' || c_custkey END AS unl_vakid,"
+    id_join = "" if old else "LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_mktsegment <> 'BUILDING' AND jaar = 2021 + c_custkey % 2"
+    return "WITH " + timetable_sql(edition) + f""", bound AS (
     SELECT t.*, CAST(CASE unl_vakjaar WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 WHEN '4' THEN 941790000 WHEN 'Premaster' THEN 4 END AS DOUBLE) AS vakjaar,
            CASE WHEN c_custkey IS NOT NULL THEN 'unl_opleidings(O' || c_custkey || ')' END AS opl,
            CAST(substr(unl_jaar, 1, 4) AS INTEGER) AS jaar
@@ -631,7 +641,7 @@ COURSE_REST = {n: sql for n, sql in MINUTES_OUT.items() if n not in COURSE_HOURS
       AND (2021 + c_custkey // 2 % 2) || '-' || (2022 + c_custkey // 2 % 2) = unl_jaar),
   filled AS (SELECT *, coalesce(opl, first_value(opl IGNORE NULLS) OVER (PARTITION BY unl_vakcode ORDER BY source_order NULLS LAST
                ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS opl2 FROM bound),
-  kept AS (SELECT * FROM filled WHERE opl2 IS NOT NULL),
+  kept AS (SELECT * FROM filled WHERE opl2 IS NOT NULL{needed}),
   groups AS (
     SELECT 'V' || c_custkey AS code, y, CASE WHEN (c_custkey + y) % 3 = 0 THEN CAST(c_custkey % 5 AS DOUBLE) END AS c FROM customer, range(2021, 2023) r(y)),
   groups_filled AS (
@@ -640,23 +650,32 @@ COURSE_REST = {n: sql for n, sql in MINUTES_OUT.items() if n not in COURSE_HOURS
     SELECT *, coalesce(unl_eindtoetsnaam, lag(unl_eindtoetsnaam) OVER (PARTITION BY unl_vakcode, unl_name ORDER BY unl_jaar, source_order NULLS LAST)) AS exam,
            CASE WHEN unl_verplichtkeuze THEN 1 WHEN NOT unl_verplichtkeuze THEN 2 END AS keuze FROM kept)
   SELECT unl_vakcode, unl_name, unl_ecs, coalesce(vakjaar, c) AS unl_vakjaar,
-         CAST(CASE unl_werkvorm1naam WHEN '{TRIP}' THEN 941790010 WHEN '{GUIDED}' THEN 941790004 END AS INTEGER) AS unl_werkvorm1naam,
-         CAST(CASE unl_werkvorm2naam WHEN '{TRIP}' THEN 941790010 WHEN '{GUIDED}' THEN 941790004 END AS INTEGER) AS unl_werkvorm2naam,
+         {", ".join(f"CAST(CASE unl_werkvorm{i}naam {codes} END AS INTEGER) AS unl_werkvorm{i}naam" for i in slots)},
          CAST(coalesce(keuze, lag(keuze) OVER (PARTITION BY unl_vakcode, unl_name ORDER BY unl_jaar, source_order NULLS LAST)) AS INTEGER) AS unl_verplichtkeuze,
          CAST(CASE unl_taalvanvak WHEN 'Nederlands (NL)' THEN 941790000 END AS INTEGER) AS unl_taalvanvak,
          CAST(CASE WHEN unl_ecs IS NOT NULL THEN coalesce(exam, 941790006) END AS INTEGER) AS unl_eindtoetsnaam,
-         {", ".join(f'{sql}[1] AS "{n}"' for n, sql in COURSE_LISTS.items())},
-         {", ".join(f'round({sql}[1] / 60, 6) AS "{n}"' for n, sql in COURSE_HOURS.items())},
-         {", ".join(f'round({sql}[1], 6) AS "{n}"' for n, sql in COURSE_REST.items())},
+         {", ".join(f'{sql}[1] AS "{n}"' for n, sql in lists.items())},
+         {", ".join(f'round({sql}[1] / 60, 6) AS "{n}"' for n, sql in hours.items())},
+         {", ".join(f'round({sql}[1], 6) AS "{n}"' for n, sql in rest.items())},
          unl_startdatum, weeks_diff, count_afgesloten AS unl_aantalgeslaagdeneindtoets, period AS "UAS_Vak_Periode_start", einddatum AS "ACA_Einddatum",
-         CASE WHEN c_custkey IS NOT NULL THEN 'id' || c_custkey END AS unl_vakid,
-         'unl_collegejaars(J' || jaar || ')' AS "unl_Jaar@odata.bind", opl2 AS "unl_Opleiding@odata.bind"
-  FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar
-  LEFT JOIN customer ON 'V' || c_custkey = unl_vakcode AND c_mktsegment <> 'BUILDING' AND jaar = 2021 + c_custkey % 2""")
-def job_payload_course(spark, sf_dir):
+         {ids} 'unl_collegejaars(J' || jaar || ')' AS "unl_Jaar@odata.bind", opl2 AS "unl_Opleiding@odata.bind"
+  FROM repaired LEFT JOIN groups_filled ON code = unl_vakcode AND y = jaar {id_join}"""
+
+
+def _course_payload(spark, sf_dir, edition, lists, minutes, more):
     place = stages.Stages(scratch_path(spark, "timetable"))
-    place.write(_timetable(spark, sf_dir), "timetable", "prepare")
+    place.write(_timetable(spark, sf_dir, edition.name), "timetable", "prepare")
     rows = place.read(spark, "timetable", "send")
-    out = payloads.course_payload({"timetable": rows, **payload_inputs(spark, sf_dir)})
-    numbers = [F.round(col(n), 6).alias(n) for n in [*COURSE_HOURS, *COURSE_REST]]
-    return out.select(*cols(COURSE_OUT), *cols(list(COURSE_LISTS)), *numbers)
+    out = payloads.course_payload({"timetable": rows, **payload_inputs(spark, sf_dir)}, edition.name)
+    lists, hours, rest = _course_columns(lists, minutes)
+    return out.select(*cols(COURSE_OUT), *more, *cols(list(lists)), *[F.round(col(n), 6).alias(n) for n in [*hours, *rest]])
+
+
+@query(course_sql(timetable.NEW, LIST_OUT, MINUTES_OUT))
+def job_payload_course(spark, sf_dir):
+    return _course_payload(spark, sf_dir, timetable.NEW, LIST_OUT, MINUTES_OUT, ["unl_vakid"])
+
+
+@query(course_sql(timetable.OLD, OLD_LISTS, OLD_MINUTES))
+def job_payload_course_old(spark, sf_dir):
+    return _course_payload(spark, sf_dir, timetable.OLD, OLD_LISTS, OLD_MINUTES, ["unl_werkvorm3naam"])
