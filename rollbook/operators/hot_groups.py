@@ -21,7 +21,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..names import col, cols, parse_order, sort_columns
-from ..session import HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT, int_setting, shared_folder
+from ..session import HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT, int_setting, shared_folder, split_skewed_joins
 
 PART = "__part"
 CUTS = "__cuts"
@@ -165,6 +165,7 @@ def split_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         df = df.withColumn(WHOLE, F.coalesce(F.pmod(F.xxhash64(col(first)), F.lit(1)), F.lit(0)))
         keys = [WHOLE]
     shared_folder(spark)
+    split_skewed_joins(spark)
     whole, by, cut = df, keys, False
     for _ in range(MAX_LEVELS):
         hot = _hot_keys(df, by, limit)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..names import Key, col, cols, pairs
+from ..session import split_skewed_joins
 from .keyed import left_join, match, private_keys
 from .windows import keep_first
 
@@ -41,6 +42,7 @@ def left_join_checked(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]
     """
     if relationship not in ("many-to-one", "one-to-one"):
         raise ValueError("relationship must be 'many-to-one' or 'one-to-one'")
+    split_skewed_joins(left.sparkSession)
     on = pairs(on)
     value_columns = [c for c in right.columns if c not in {r for _, r in on}]
     payload = F.first(F.struct(*cols(value_columns))) if value_columns else F.lit(None)

@@ -26,11 +26,23 @@ def _single(names_from: str, name: object, value: str) -> str:
             f"ELSE max(CASE WHEN {here} THEN {quoted(value)} END) END")
 
 
+def _checked(cells: list[str], names_from: str, values: Sequence, others: str) -> list[str]:
+    """The cells, the first of which raises for a label that is not listed, unless `others` is "drop"."""
+    if others not in ("raise", "drop"):
+        raise ValueError("others must be 'raise' or 'drop'")
+    if others == "drop" or not cells:
+        return cells
+    listed = ", ".join(literal(v) for v in values)
+    return [f"CASE WHEN count_if(coalesce({quoted(names_from)} NOT IN ({listed}), false)) > 0 "
+            f"THEN raise_error('a label that is not listed') ELSE {cells[0]} END", *cells[1:]]
+
+
 def pivot_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,
-               values: Sequence, fill: object | None = None, prefix: str = "") -> DataFrame:
+               values: Sequence, fill: object | None = None, prefix: str = "", others: str = "raise") -> DataFrame:
     """One column per listed value of `names_from`; absent cells are NULL, or `fill`.
-    A cell with several rows raises."""
-    cells = [F.expr(_single(names_from, v, values_from)).alias(f"{prefix}{v}") for v in values]
+    A cell with several rows raises, and so does a label that is not listed, unless `others` is "drop"."""
+    cells = _checked([_single(names_from, v, values_from) for v in values], names_from, values, others)
+    cells = [F.expr(c).alias(f"{prefix}{v}") for c, v in zip(cells, values)]
     wide = df.groupBy(*cols(ids)).agg(*cells)
     if fill is None:
         return wide
@@ -48,26 +60,29 @@ def pivot_count(df: DataFrame, ids: Sequence[str], label: Column, labels: Sequen
 
 
 def pivot_wide_values(df: DataFrame, ids: Sequence[str], names_from: str,
-                      values_from: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Several value columns at once, named <value column>_<name>."""
-    cells = [F.expr(_single(names_from, v, m)).alias(f"{m}_{v}") for m in values_from for v in values]
-    return df.groupBy(*cols(ids)).agg(*cells)
+                      values_from: Sequence[str], values: Sequence[str], others: str = "raise") -> DataFrame:
+    """Several value columns at once, named <value column>_<name>. Labels that are not listed as in `pivot_wide`."""
+    named = {f"{m}_{v}": _single(names_from, v, m) for m in values_from for v in values}
+    cells = _checked(list(named.values()), names_from, values, others)
+    return df.groupBy(*cols(ids)).agg(*[F.expr(c).alias(n) for n, c in zip(named, cells)])
 
 
 def pivot_wide_lists(df: DataFrame, ids: Sequence[str], label: str, groups: Mapping[str, Sequence[str]],
-                     values_from: Sequence[str]) -> DataFrame:
-    """Raw labels mapped to fewer names: each cell is the list of its raw labels' values.
+                     values_from: Sequence[str], others: str = "raise") -> DataFrame:
+    """Raw labels mapped to fewer names: each cell is the list of its raw labels' values. Labels that are not listed as
+    in `pivot_wide`.
 
     A list has at most as many elements as its name has raw labels, and is built from one
     buffer per raw label rather than by collecting rows. Cells without a value are NULL.
     Two rows with the same ids and raw label raise.
     """
-    cells = []
+    lists = {}
     for measure in values_from:
         for name, raw in groups.items():
             single = ", ".join(_single(label, r, measure) for r in sorted(raw))
-            cells.append(F.expr(f"array_compact(array({single}))").alias(f"{measure}_{name}"))
-    wide = df.groupBy(*cols(ids)).agg(*cells)
+            lists[f"{measure}_{name}"] = f"array_compact(array({single}))"
+    cells = _checked(list(lists.values()), label, [r for raw in groups.values() for r in raw], others)
+    wide = df.groupBy(*cols(ids)).agg(*[F.expr(c).alias(n) for n, c in zip(lists, cells)])
     names = [quoted(c) for c in wide.columns if c not in ids]
     return wide.selectExpr(*[quoted(i) for i in ids], *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in names])
 

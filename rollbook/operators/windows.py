@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..names import col, cols, parse_order, sort_columns
+from ..session import split_skewed_joins
 from .hot_groups import join_small, split_groups
 from .keyed import left_join
 
@@ -94,6 +95,7 @@ def fill_down_up(df: DataFrame, keys: Sequence[str], order: Sequence[str], colum
 def attach(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
     """Group values on every row. The groups are aggregated first and joined back, so each task
     sends one row per key, and AQE may split the rows of a hot key over several join tasks."""
+    split_skewed_joins(df.sparkSession)
     groups = df.groupBy(*cols(keys)).agg(*aggregates)
     return left_join(df, groups, list(keys))
 

@@ -66,7 +66,7 @@ def course_mart(inputs: Mapping[str, DataFrame], order: str = "source_order") ->
     Every look-up is cut to its first row per key before its join, so no join multiplies rows.
     """
     calendar = inputs["calendar"].filter(col("ACA_Periode").isNotNull())
-    starts = calendar.select("INS_Inschrijvingsjaar", "ACA_Periode", col("ACA_Einddatum_prev").alias("Startmoment_vak"))
+    starts = calendar.select("INS_Inschrijvingsjaar", "ACA_Periode", col("ACA_Einddatum_prev").alias("Startmoment_vak")).distinct()
     ends = calendar.select("INS_Inschrijvingsjaar", "ACA_Periode", "ACA_Einddatum_prev", "ACA_Einddatum")
     ends = keep_first(ends, ["INS_Inschrijvingsjaar", "ACA_Periode"], ["ACA_Einddatum_prev", "ACA_Einddatum"])
     counts = result_counts(inputs["results"], order).drop("count_zondersucces")

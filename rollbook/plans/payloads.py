@@ -79,7 +79,7 @@ def finance_payload(inputs: Mapping[str, DataFrame], fields: Sequence[str], nami
     """`inputs`: finance (faculty, field, amount, year), ref_faculties, ref_calendar_years.
     `fields` are the report's amounts; `naming` gives faculty and year their unl_ names."""
     finance = inputs["finance"].select("Faculteit", "Jaar", "Veldnaam", "Waarde")
-    wide = zero_missing_numbers(pivot_wide(finance, ["Faculteit", "Jaar"], "Veldnaam", "Waarde", fields))
+    wide = zero_missing_numbers(pivot_wide(finance, ["Faculteit", "Jaar"], "Veldnaam", "Waarde", fields, others="drop"))
     form = rename_by_documentation(wide, naming)
     form = _bind_faculty(form, inputs["ref_faculties"], "unl_faculteit", prefix, FACULTY).drop("unl_faculteit")
     form = _bind_calendar_year(form, inputs["ref_calendar_years"], "unl_jaar", YEAR)
@@ -90,7 +90,7 @@ def staff_payload(inputs: Mapping[str, DataFrame], fields: Sequence[str], naming
     """`inputs`: staff (field, year, faculty, FTE, reporting year), ref_faculties,
     ref_academic_years, ref_calendar_years."""
     ids = ["Jaar", "Faculteit", "unl_verslagjaar"]
-    wide = zero_missing_numbers(pivot_wide(inputs["staff"], ids, "Veldnaam", "FTE_gemiddelde", fields))
+    wide = zero_missing_numbers(pivot_wide(inputs["staff"], ids, "Veldnaam", "FTE_gemiddelde", fields, others="drop"))
     form = rename_by_documentation(wide, naming)
     form = _bind_faculty(form, inputs["ref_faculties"], "unl_faculteitpersoneelid", prefix, STAFF_FACULTY)
     form = _bind_academic_year(form, inputs["ref_academic_years"], academic_year(col("unl_jaar")), YEAR)

@@ -16,6 +16,7 @@ from ..operators.joins import left_join, left_join_coalesce
 from ..operators.reshape import nested_field, pivot_wide_lists, pivot_wide_values
 from ..operators.tables import frequency_table, workload
 from ..operators.windows import fill_down_up, keep_first
+from ..session import shared_folder
 from ..sources.nested import keep_activity_files
 
 LECTURE = "Hoorcollege"
@@ -141,6 +142,9 @@ def fill_course_mart(mart: DataFrame, programme_map: DataFrame, variant: Variant
                               ["INS_Opleidingscode_actueel"], prefer=variant.prefer_programme)
     by_year = ["UAS_Vak_Jaar", order] if variant.name == "new" else [order]
     mart = fill_down_up(mart, ["UAS_Vak_Code"], by_year, ["UAS_Vak_Periode_start", "UAS_Vak_Periode_einde"])
+    # the second search for hot groups and the second fill start from what the first fill made
+    shared_folder(mart.sparkSession)
+    mart = mart.checkpoint()
     mart = fill_down_up(mart, ["UAS_Vak_Jaar", "UAS_Vak_Periode_start"], by_year,
                         ["Startmoment_vak", "ACA_Einddatum", "ACA_Einddatum_prev"])
     return mart.withColumn("weeks_diff", round_half_even(weeks_between(col("ACA_Einddatum"), col("Startmoment_vak"))))

@@ -32,6 +32,14 @@ def local_session(cores: str | int = "*", app: str = "rollbook", **conf: str) ->
     return spark
 
 
+def split_skewed_joins(spark: SparkSession) -> None:
+    """AQE leaves a skewed partition whole where splitting it adds a shuffle, unless told otherwise. The joins of hot
+    keys rely on the split, so a session in which it is unset gets it; a session that sets it keeps its choice."""
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, "true")
+
+
 def int_setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(name, str(default)))
 

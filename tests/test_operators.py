@@ -207,7 +207,7 @@ def test_unite_and_pivots(spark):
     df = spark.createDataFrame([("f", "B", None, 1), ("f", "B", "NL", 2), ("g", "M", "NL", 3)], "fac string, p string, o string, n int")
     united = reshape.unite(df, "label", ["p", "o"])
     assert values(united, "label") == [("B-NA",), ("B-NL",), ("M-NL",)]
-    wide = reshape.pivot_wide(united, ["fac"], "label", "n", ["B-NL", "M-NL", "S-NL"], fill=0)
+    wide = reshape.pivot_wide(united, ["fac"], "label", "n", ["B-NL", "M-NL", "S-NL"], fill=0, others="drop")
     assert values(wide) == [("f", 2, 0, 0), ("g", 0, 3, 0)]
     counted = reshape.pivot_count(united, ["fac"], F.col("label"), ["B-NL"], total="total")
     assert values(counted) == [("f", 1, 2), ("g", 0, 1)]
@@ -271,3 +271,16 @@ def test_dates(spark):
     df = spark.createDataFrame([(3, day), (2, day)], "p int, d date")
     out = df.select(numbers.add_days_where(F.col("d"), F.col("p") == 3, 14).alias("d"))
     assert values(out) == [(day,), (day + dt.timedelta(14),)]
+
+
+def test_pivots_raise_for_labels_that_are_not_listed(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3), (2, None, 4)], "id int, label string, v int")
+    with pytest.raises(Exception, match="not listed"):
+        reshape.pivot_wide(df, ["id"], "label", "v", ["a", "b"]).collect()
+    with pytest.raises(Exception, match="not listed"):
+        reshape.pivot_wide_values(df, ["id"], "label", ["v"], ["a", "b"]).collect()
+    with pytest.raises(Exception, match="not listed"):
+        reshape.pivot_wide_lists(df, ["id"], "label", {"x": ["a", "b"]}, ["v"]).collect()
+    kept = reshape.pivot_wide(df, ["id"], "label", "v", ["a", "b"], others="drop")
+    assert sorted(map(tuple, kept.collect())) == [(1, 1, 2), (2, None, None)]
+    assert reshape.pivot_wide(df, ["id"], "label", "v", ["a", "b", "c"]).count() == 2
