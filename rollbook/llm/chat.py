@@ -30,7 +30,8 @@ ASSISTANT = "assistant"
 
 @dataclass(frozen=True)
 class Mapping:
-    """How a layout holds its turns: either a list of records at `turns`, or single fields, each with its role."""
+    """How a layout holds its turns: either a list of records at `turns`, or single fields, each with its role. Other
+    names of roles are replaced, except in rows that are turns already."""
 
     name: str
     example: dict
@@ -38,10 +39,11 @@ class Mapping:
     role: str = ""
     text: str = ""
     fields: Sequence[tuple[str, str]] = ()
+    rename: bool = True
 
 
 MAPPINGS = (
-    Mapping("turn", {"role": "", "text": ""}, fields=(("$.role", "$.text"),)),
+    Mapping("turn", {"role": "", "text": ""}, fields=(("$.role", "$.text"),), rename=False),
     Mapping("prompt", {"prompt": "", "completion": ""}, fields=(("user", "$.prompt"), ("assistant", "$.completion"))),
     Mapping("prompt-response", {"prompt": "", "response": ""}, fields=(("user", "$.prompt"), ("assistant", "$.response"))),
     Mapping("instruction", {"instruction": "", "output": ""}, fields=(("user", "$.instruction"), ("assistant", "$.output"))),
@@ -85,14 +87,14 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: Se
     role or text is empty."""
     value = F.try_parse_json(F.col(record_col))
 
-    def turn(role: Column, text: Column) -> Column:
+    def turn(role: Column, text: Column, rename: bool) -> Column:
         role = F.coalesce(role, F.lit(""))
-        for other, name in ROLE_NAMES.items():
+        for other, name in ROLE_NAMES.items() if rename else ():
             role = F.when(role == other, F.lit(name)).otherwise(role)
         return F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
     def listed(m: Mapping):
-        return lambda t: turn(t[m.role], t[m.text])
+        return lambda t: turn(t[m.role], t[m.text], m.rename)
 
     def field(path: str) -> Column:
         return F.try_variant_get(value, path, "string")
@@ -106,7 +108,7 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: Se
             kind = f"array<struct<`{m.role}`:string,`{m.text}`:string>>"
             found = F.transform(F.try_variant_get(value, m.turns, kind), listed(m))
         else:
-            found = F.array(*[turn(field(role) if role.startswith("$") else F.lit(role), field(text)) for role, text in m.fields])
+            found = F.array(*[turn(field(role) if role.startswith("$") else F.lit(role), field(text), m.rename) for role, text in m.fields])
         name, turns = F.when(selected, F.lit(m.name)).otherwise(name), F.when(selected, found).otherwise(turns)
     return (records.withColumn("__layout", fingerprint(F.col(record_col)))
             .withColumns({"mapping": name, "turns": F.coalesce(turns, F.array().cast("array<struct<role:string,text:string>>"))})

@@ -62,7 +62,23 @@ def of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
-@query("op4_jaccard_join")
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op4_jaccard_join", f"""WITH RECURSIVE
+  worded AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+  shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+  reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, b FROM reached JOIN links ON other = a)
+  SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY 1""")
 def op4(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -95,7 +111,23 @@ def op8(spark, sf_dir):
                         fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
-@query("op9_chat_format")
+def _escaped_sql(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
+@query("op9_chat_format", f"""WITH extra(conv_id, turn, role, text) AS (
+    VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+  turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT CAST(conv_id AS BIGINT), CAST(turn AS BIGINT), role, text FROM extra)
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+         CAST(sum({len(chat.OPEN)} + length(role) + 1 + length({_escaped_sql("text")}) + {len(chat.CLOSE) + 1}) AS BIGINT) AS formatted_chars
+  FROM turns GROUP BY 1""")
 def op9(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
