@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_jaccard import brute_force as components
 from test_lines import brute_force as plain_lines
 
-from rollbook.llm import bpe, decontaminate as dc
+from rollbook.llm import bpe, decontaminate as dc, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,20 +41,20 @@ def test_lines_then_copies_then_benchmark(spark):
     assert clean.columns == columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {30, 31}
 
 
-def test_run(spark):
-    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+def test_run_equals_plain_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = [r["doc_id"] for r in quality.score(docs, model).collect() if r["score"] >= quality.THRESHOLD]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    lined = {i: t for i, t in plain_lines([(i, texts[i]) for i in good]) if t != ""}
+    single = {i: lined[i] for i, _, c in components(list(lined.items())) if i == c}
     index = dc.Index([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
-    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    got = pipeline.run(spark, SF).collect()
-    ids = [r["doc_id"] for r in got]
-    assert len(ids) == len(set(ids)) and set(ids) <= set(texts)
-    assert not any(labels.get(i) == 0 for i in ids)
-    first_of = {t: min(i for i in texts if texts[i] == t and labels.get(i) != 0) for t in texts.values() if any(labels.get(i) != 0 for i in texts if texts[i] == t)}
-    unique_good = {i for i in first_of.values() if labels.get(i) == 1 and not index.search(texts[i])}
-    assert len(unique_good - set(ids)) <= 0.02 * len(unique_good)
     codec = bpe.codec(bpe.vocabulary_path())
-    whole = [r for r in got if codec.encode(texts[r["doc_id"]])[0] == r["token_ids"]]
-    assert len(whole) > len(got) / 2 and all(r["n_tokens"] == len(r["token_ids"]) for r in got)
+    expected = {i: codec.encode(t)[0] for i, t in single.items() if not index.search(t)}
+    got = {r["doc_id"]: r["token_ids"] for r in pipeline.run(spark, SF).collect()}
+    # the lines' banding may miss a pair in a hundred at the bound
+    assert len(set(got) ^ set(expected)) <= 0.01 * len(expected)
+    assert sum(got.get(i) != ids for i, ids in expected.items()) <= 0.02 * len(expected)
 
 
 def test_stages_are_the_stated_ones():
