@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import split_skewed_joins
 from .common import checkpointed
 
 
@@ -20,6 +21,7 @@ def _checksum(links: DataFrame) -> tuple:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link to another; the component is its least node. Repeated links,
     links in both directions and links of a node with itself are allowed; those with a missing end are left out."""
+    split_skewed_joins(links.sparkSession)
     pairs = links.select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent"), links[a].alias("a"), links[b].alias("b"))
     pairs = pairs.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     now = checkpointed(pairs.select("child", "parent").distinct())
