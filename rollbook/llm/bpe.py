@@ -160,6 +160,11 @@ class Codec:
         ids = list(chain.from_iterable(map(self.words.__getitem__, PIECES.findall(run))))
         return ids, self.decode(ids)
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.runs.clear()
+        self.encoder.pairs.clear()
+
     def decode(self, ids: Sequence[int]) -> str:
         return " ".join(map(self.encoder.text.__getitem__, ids))
 
@@ -182,7 +187,7 @@ _codecs: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
-    """One codec in each Python process, for all its tasks."""
+    """One codec in each Python process, for all its tasks; between them it holds no words."""
     if path not in _codecs:
         _codecs[path] = Codec(path)
     return _codecs[path]
@@ -201,6 +206,8 @@ def encode(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
         def work(ids, texts):
             found = [used.encode(t) for t in texts]
             return ids, [f[0] for f in found], [f[1] for f in found]
+
+        work.done = used.forget
         return work
 
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
