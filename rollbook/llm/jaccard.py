@@ -173,10 +173,12 @@ def compatible(n: Column, m: Column, percent: int = PERCENT) -> Column:
 
 
 def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes; texts as (node, text)."""
-    one = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
-    two = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
-    both = pairs.select("a", "b").join(two, "b").join(one, "a")
+    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes; texts as (node, text).
+    Only the texts that the pairs need are shuffled."""
+    pairs = checkpointed(pairs.select("a", "b"))
+    one = only_maybe(texts, "node", pairs, "a").withColumnsRenamed({"node": "a", "text": "text_a"})
+    two = only_maybe(texts, "node", pairs, "b").withColumnsRenamed({"node": "b", "text": "text_b"})
+    both = pairs.join(two, "b").join(one, "a")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
