@@ -23,9 +23,10 @@ document each with the same component; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -128,10 +129,10 @@ def prefixes(texts: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> Da
 
 
 def shared_regions(rows: DataFrame) -> DataFrame:
-    """Of rows (shingle, node, n, slices), sorted by shingle and node in each task, those whose region has several nodes, once
-    each. All a task holds of a region is its last row, so a region of any size needs no memory."""
+    """Of rows (shingle, node, n, place, slices), sorted by shingle and node in each task, those whose region has several
+    nodes, once each. All a task holds of a region is its last row, so a region of any size needs no memory."""
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_has_company = np.empty((0, 4), dtype=np.int64), False
+        held, held_has_company = np.empty((0, 5), dtype=np.int64), False
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -139,22 +140,23 @@ def shared_regions(rows: DataFrame) -> DataFrame:
             block = block[np.concatenate([[True], (block[1:, :2] != block[:-1, :2]).any(axis=1)])]
             with_next = block[1:, 0] == block[:-1, 0]
             company = np.concatenate([[held_has_company], with_next])
-            keep = company | np.concatenate([with_next, [False]]) | (block[:, 3] > 1)
+            keep = company | np.concatenate([with_next, [False]]) | (block[:, 4] > 1)
             held, held_has_company = block[-1:], bool(company[-1])
             yield _region_batch(block[:-1][keep[:-1]])
         if len(held):
-            yield _region_batch(held[: int(held_has_company or held[0, 3] > 1)])
+            yield _region_batch(held[: int(held_has_company or held[0, 4] > 1)])
 
-    return rows.mapInArrow(filtered, "shingle long, node long, n int")
+    return rows.mapInArrow(filtered, "shingle long, node long, n int, place int")
 
 
 def _region_batch(rows: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32))], names=["shingle", "node", "n"])
+    return pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), pa.array(rows[:, 3].astype(np.int32))],
+                           names=["shingle", "node", "n", "place"])
 
 
 def regions(prefixed: DataFrame, counts: np.ndarray, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """(shingle, node, n) of all regions with several nodes."""
-    rows = prefixed.select("node", "n", F.explode("prefix").alias("shingle"))
+    """(shingle, node, n, place) of all regions with several nodes; the place is the shingle's in the node's order, from 0."""
+    rows = prefixed.select("node", "n", F.posexplode("prefix").alias("place", "shingle"))
     hot = {int(b): int(-(-counts[b] // slice_rows)) for b in np.flatnonzero(counts > slice_rows)}
     bucket = F.col("shingle").bitwiseAND(BUCKETS - 1)
     slices: Column = F.lit(1)
@@ -162,20 +164,23 @@ def regions(prefixed: DataFrame, counts: np.ndarray, slice_rows: int = SLICE_ROW
         table = F.broadcast(rows.sparkSession.createDataFrame(list(hot.items()), "bucket long, slices int"))  # at most BUCKETS rows
         rows = rows.join(table, bucket == table["bucket"], "left").drop("bucket")
         slices = F.coalesce(F.col("slices"), F.lit(1))
-    rows = rows.select("shingle", "node", "n", slices.alias("slices"))
+    rows = rows.select("shingle", "node", "n", "place", slices.alias("slices"))
     dealt = rows.repartition("shingle", F.pmod(F.xxhash64("node"), F.col("slices"))).sortWithinPartitions("shingle", "node")
     return shared_regions(dealt)
 
 
-def compatible(n: Column, m: Column, percent: int = PERCENT) -> Column:
-    """Sets of these sizes can link."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def compatible(n: Column, i: Column, m: Column, j: Column, percent: int = PERCENT) -> Column:
+    """Sets of n and m shingles whose first common one is at places i and j can link: the sizes are near enough, and what
+    follows those places holds as many shingles as linked sets share. Every linked pair passes in the region of its first common shingle."""
+    shared = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (n - i >= shared) & (m - j >= shared)
 
 
-def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes; texts as (node, text).
-    Only the texts that the pairs need are shuffled."""
+def distances(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes. `texts_of` gives (node, text)
+    of a table of nodes; only the texts that the pairs need are fetched."""
     pairs = checkpointed(pairs.select("a", "b"))
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     one = only_maybe(texts, "node", pairs, "a").withColumnsRenamed({"node": "a", "text": "text_a"})
     two = only_maybe(texts, "node", pairs, "b").withColumnsRenamed({"node": "b", "text": "text_b"})
     both = pairs.join(two, "b").join(one, "a")
@@ -199,11 +204,20 @@ def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a long, b long, shared int, total int")
 
 
+def _nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The node of each text."""
+    shingler = Shingler()
+    for texts in batches:
+        yield pd.Series([set_key(shingler(t)) for t in texts], dtype="int64")
+
+
 def node_texts(texts: DataFrame, prefixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of one document of each of the nodes."""
-    first = prefixed.groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node", "left_semi")
-    first = checkpointed(first)
-    return only_maybe(texts, "id", first, "id").join(first, "id").select("node", "text").dropDuplicates(["node"])
+    """(node, text) of one document of each of the nodes, written once."""
+    first = checkpointed(prefixed.groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node"))
+    found = only_maybe(texts, "id", first, "id").join(first, "id")
+    # rows of one id may differ in text; the one with the node's own set is wanted
+    mine = found.withColumn("own", F.pandas_udf(_nodes, "long")("text")).filter(F.col("own") == F.col("node")).select("node", "text")
+    return written(mine.dropDuplicates(["node"]), "jaccard-texts")
 
 
 def _pairs(p: Column, q: Column) -> list[Column]:
@@ -216,27 +230,27 @@ def _unsettled(rows: DataFrame) -> DataFrame:
     return rows.join(several.select("shingle"), "shingle", "left_semi")
 
 
-def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all nodes that link to another, from regions (shingle, node, n) and texts (node, text)."""
+def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
+    """(node, component) of all nodes that link to another, from regions (shingle, node, n, place) and texts by node."""
     r = (100 - percent) / 100 + 1e-9
     rows = found.withColumns({"component": F.col("node"), "in_cell": F.lit(False)})
     measured = joined = None
     for turn in range(PIVOT_ROUNDS + 1):
         near = [f"d{i}" for i in range(turn)]  # distances to earlier pivots; null where there was no need to know
         last = turn == PIVOT_ROUNDS
-        other = rows.select("shingle", F.struct("node", "n", "component", *near).alias("other"))
+        other = rows.select("shingle", F.struct("node", "n", "place", "component", *near).alias("other"))
         if not last:
             # the next pivot of a region: the least node outside all cells
-            outside = rows.filter(~F.col("in_cell")).select("shingle", F.struct("node", "n", "component", *near).alias("other"))
+            outside = rows.filter(~F.col("in_cell")).select("shingle", F.struct("node", "n", "place", "component", *near).alias("other"))
             other = outside.groupBy("shingle").agg(F.min_by("other", "other.node").alias("other"))
         met = rows.join(other, "shingle").filter(F.col("component") != F.col("other.component"))
-        met = met.filter(compatible(F.col("n"), F.col("other.n"), percent))
+        met = met.filter(compatible(F.col("n"), F.col("place"), F.col("other.n"), F.col("other.place"), percent))
         for d in near:
             met = met.filter(F.coalesce(F.abs(F.col(d) - F.col("other")[d]) <= r, F.lit(True)))
         pairs = met.select(*_pairs(F.col("node"), F.col("other.node"))).distinct()
         if measured is not None:
             pairs = pairs.join(measured, ["a", "b"], "left_anti")
-        new = distances(pairs, texts).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
+        new = distances(pairs, texts_of).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
                                              (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
         measured = checkpointed(new if measured is None else measured.unionByName(new))
         joined = components(measured.filter("linked"))
@@ -245,8 +259,8 @@ def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
         # a pivot has met all that it could link to, and leaves its region
         rows = rows.join(other, "shingle").filter(F.col("node") != F.col("other.node"))
         rows = rows.withColumns(dict(zip(("a", "b"), _pairs(F.col("node"), F.col("other.node"))))).join(measured, ["a", "b"], "left")
-        rows = rows.select("shingle", "node", "n", F.col("in_cell") | F.coalesce("linked", F.lit(False)), *near, F.col("distance").alias(f"d{turn}"))
-        rows = rows.toDF("shingle", "node", "n", "in_cell", *near, f"d{turn}").join(joined, "node", "left")
+        rows = rows.select("shingle", "node", "n", "place", F.col("in_cell") | F.coalesce("linked", F.lit(False)), *near, F.col("distance").alias(f"d{turn}"))
+        rows = rows.toDF("shingle", "node", "n", "place", "in_cell", *near, f"d{turn}").join(joined, "node", "left")
         rows = checkpointed(_unsettled(rows.withColumn("component", F.coalesce("component", "node"))))
         if rows.isEmpty():
             break
@@ -260,8 +274,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
     counts = bucket_counts(texts)
     prefixed = written(prefixes(texts, counts, percent), "jaccard-prefixes")
     found = written(regions(prefixed, counts, slice_rows), "jaccard-regions")
-    of_nodes = written(node_texts(texts, prefixed, found.select("node").distinct()), "jaccard-texts")
-    joined = checkpointed(connected(found, of_nodes, percent))
+    joined = checkpointed(connected(found, lambda nodes: node_texts(texts, prefixed, nodes), percent))
     facts = prefixed.select("id", "n", "node").join(joined, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = facts.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))
     # the few columns of all documents are dealt by group; a hot group's rows can be split, as its other side is one row
