@@ -80,6 +80,13 @@ def test_awkward_rows(spark):
     assert sorted({r["doc_id"] for r in kept.collect()}) == [1, 3, 4, 5, 6, 7, 8, 9, 10]
 
 
+def test_rows_of_one_id_with_other_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "c d e")]
+    got = sorted({tuple(r) for r in jaccard.join(documents(spark, rows)).collect()})
+    assert got == [(1, 36, 1), (2, 37, 1), (3, 37, 1), (4, 1, 4)]
+
+
 def test_equals_brute_force_on_the_table(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = sorted(map(tuple, jaccard.join(documents).collect()))
@@ -88,10 +95,10 @@ def test_equals_brute_force_on_the_table(spark):
 
 def test_regions_do_not_depend_on_batches(spark):
     """The stream of a task may be cut anywhere."""
-    rows = [(s, n, 5, 1) for s in range(40) for n in range(s % 4)] + [(100, 1, 5, 2), (3, 1, 5, 1)]
+    rows = [(s, n, 5, 0, 1) for s in range(40) for n in range(s % 4)] + [(100, 1, 5, 0, 2), (3, 1, 5, 0, 1)]
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    df = spark.createDataFrame(sorted(rows), "shingle long, node long, n int, slices int").coalesce(1)
-    expected = sorted((s, n, 5) for s in range(40) for n in range(s % 4) if s % 4 > 1) + [(100, 1, 5)]
+    df = spark.createDataFrame(sorted(rows), "shingle long, node long, n int, place int, slices int").coalesce(1)
+    expected = sorted((s, n, 5, 0) for s in range(40) for n in range(s % 4) if s % 4 > 1) + [(100, 1, 5, 0)]
     try:
         for size in (1, 2, 3, 1000):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
@@ -116,3 +123,14 @@ def test_shingler_is_exact():
         for y in texts:
             shared = len(np.intersect1d(shingler(x), shingler(y)))
             assert shared == len(shingles(x) & shingles(y))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 60), min_size=1), st.sets(st.integers(0, 60), min_size=1))
+def test_linked_sets_pass_where_they_first_meet(a, b):
+    if 100 * len(a & b) >= 80 * len(a | b):
+        first = min(a & b)
+        i, j = sorted(a).index(first), sorted(b).index(first)
+        shared = -(-(len(a) + len(b)) * 80 // 180)
+        assert i < jaccard.prefix_size(len(a)) and j < jaccard.prefix_size(len(b))
+        assert len(a) - i >= shared and len(b) - j >= shared
