@@ -57,7 +57,7 @@ TYPE_GROUPS = {"big": ["MEDIUM", "LARGE"], "special": ["PROMO", "ECONOMY"], "pla
 def pivot_wide_list_cells(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), col("l_partkey") == col("p_partkey"))
     sums = lines.groupBy("l_orderkey", "p_type").agg(F.sum("l_quantity").cast("long").alias("q"))
-    wide = reshape.pivot_wide_lists(sums, ["l_orderkey"], "p_type", TYPE_GROUPS, ["q"])
+    wide = reshape.pivot_wide_lists(sums, ["l_orderkey"], "p_type", TYPE_GROUPS, ["q"], others="drop")
     return wide.select("l_orderkey", *[F.array_join(col(f"q_{n}").cast("array<string>"), ",").alias(f"q_{n}") for n in TYPE_GROUPS])
 
 
