@@ -118,5 +118,6 @@ def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     edges = done.filter("row = 1").select("part", "fingerprint")
     edges = edges.select("part", F.coalesce(F.lead("fingerprint").over(over_parts), F.first("fingerprint").over(
         over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    return done.join(edges, "part", "left").select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    # an edge is one fingerprint, and there are at most MOST_PARTS of them: some megabytes, so that nothing more is shuffled
+    return done.join(F.broadcast(edges), "part", "left").select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                                    F.coalesce("next_fingerprint", "after").alias("next_fingerprint"))
