@@ -14,7 +14,8 @@ Inside a region the least node is the next pivot. Its exact distances make a Vor
 rest, which is the region of the next pivot. A pivot is compared with those nodes of its region that the triangle
 inequality leaves: x can link to y only if their distances to every earlier pivot differ by at most r. Nodes already known
 to be connected need no comparison. So each region is joined recursively until no pair is left that could change a
-component; a region's last few pivots are compared all at once.
+component; after `PIVOT_ROUNDS` pivots the pairs that are left in a region are compared all at once. That last step is
+not linear: in large groups whose members are near the bound it makes many pairs.
 
 Shingles and sets are 64-bit hashes. Rows are dealt by region; regions whose bucket count says that they may be
 huge are dealt in slices. Missing and empty texts have no shingles and link with nothing; repeated rows of an id are one
@@ -235,6 +236,7 @@ def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], perc
     r = (100 - percent) / 100 + 1e-9
     rows = found.withColumns({"component": F.col("node"), "in_cell": F.lit(False)})
     measured = joined = None
+    known_links = 0
     for turn in range(PIVOT_ROUNDS + 1):
         near = [f"d{i}" for i in range(turn)]  # distances to earlier pivots; null where there was no need to know
         last = turn == PIVOT_ROUNDS
@@ -253,7 +255,9 @@ def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], perc
         new = distances(pairs, texts_of).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
                                              (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
         measured = checkpointed(new if measured is None else measured.unionByName(new))
-        joined = components(measured.filter("linked"))
+        links = measured.filter("linked").count()
+        if joined is None or links > known_links:  # else the components stay as they are
+            joined, known_links = components(measured.filter("linked")), links
         if last:
             break
         # a pivot has met all that it could link to, and leaves its region
