@@ -11,10 +11,10 @@ to which a document is replicated. The order puts rare shingles first, by counts
 passages that many documents share make no regions but in documents that hold little else.
 
 Inside a region the least node is the next pivot. Its exact distances make a Voronoi cell (the nodes that link to it) and the
-rest, which is the region of the next pivot. A pivot is compared with those nodes of its region that the triangle
-inequality leaves: x can link to y only if their distances to every earlier pivot differ by at most r. Nodes already known
-to be connected need no comparison. So each region is joined recursively until no pair is left that could change a
-component; after `PIVOT_ROUNDS` pivots the pairs that are left in a region are compared all at once. That last step is
+rest, which has the next pivot; where all nodes left are in cells but not all connected, the least of them is next. A pivot
+is compared with those nodes of its region that the triangle inequality leaves: x can link to y only if their distances to
+every earlier pivot differ by at most r. Nodes already known to be connected need no comparison. So each region is joined
+recursively until no pair is left that could change a component; after `PIVOT_ROUNDS` pivots the pairs that are left in a region are compared all at once. That last step is
 not linear: in large groups whose members are near the bound it makes many pairs.
 
 Shingles and sets are 64-bit hashes. Rows are dealt by region; regions whose bucket count says that they may be
@@ -242,9 +242,9 @@ def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], perc
         last = turn == PIVOT_ROUNDS
         other = rows.select("shingle", F.struct("node", "n", "place", "component", *near).alias("other"))
         if not last:
-            # the next pivot of a region: the least node outside all cells
-            outside = rows.filter(~F.col("in_cell")).select("shingle", F.struct("node", "n", "place", "component", *near).alias("other"))
-            other = outside.groupBy("shingle").agg(F.min_by("other", "other.node").alias("other"))
+            # the next pivot of a region: the least node outside all cells, or of all that are left where every one is in a cell
+            other = rows.select("shingle", "in_cell", F.struct("node", "n", "place", "component", *near).alias("other"))
+            other = other.groupBy("shingle").agg(F.min_by("other", F.struct("in_cell", "other.node")).alias("other"))
         met = rows.join(other, "shingle").filter(F.col("component") != F.col("other.component"))
         met = met.filter(compatible(F.col("n"), F.col("place"), F.col("other.n"), F.col("other.place"), percent))
         for d in near:

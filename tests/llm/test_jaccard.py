@@ -59,6 +59,30 @@ def test_regions_beyond_the_pivot_rounds(spark, monkeypatch):
     check(spark, variants(7, 2, 40, 4, 45))
 
 
+def two_cells(order_of):
+    """Families x, y, p, q for each order of their nodes: x and y share an article and link at the bound, p extends x and q
+    extends y by what all families hold, so p-x and q-y link, and p-q, p-y and x-q do not."""
+    rows, orders = [], set()
+    for salt in range(2000):
+        article = [f"f{salt}w{i}" for i in range(84)]
+        texts = [" ".join(article + [f"{kind}{i}" for i in range(n)]) for kind, n in (("s", 10), ("t", 10), ("s", 20), ("t", 20))]
+        order = order_of(texts)
+        if order not in orders:
+            orders.add(order)
+            rows += [(len(rows) + k, t) for k, t in enumerate(texts)]
+        if len(orders) == 24:
+            return rows
+    raise AssertionError("not all orders were met")
+
+
+def test_links_between_the_cells_of_two_pivots(spark):
+    """A region whose rows all stand in cells, but in two components, needs further pivots."""
+    shingler = jaccard.Shingler()
+    rows = two_cells(lambda texts: tuple(np.argsort([jaccard.set_key(shingler(t)) for t in texts]).tolist()))
+    assert all(c == i - i % 4 for i, _, c in brute_force(rows))
+    check(spark, rows)
+
+
 def test_slices_of_hot_regions(spark):
     check(spark, variants(11, 3, 12, 2), slice_rows=3)
 
