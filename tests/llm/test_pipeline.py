@@ -41,6 +41,17 @@ def test_lines_then_copies_then_benchmark(spark):
     assert clean.columns == columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {30, 31}
 
 
+def test_copies_of_paragraphs_go(spark):
+    """Blank lines stay in a text, but a document that keeps nothing else goes."""
+    a, b, c = corpus()[0][1].split("\n")
+    rows = [(1, f"{a}\n\n{b}\n\n{c}"), (2, f"{a}\n\n{b}\n\n{c}"), (3, f"{a}\n\n{b}\n"), (4, f"\t{b} \r\n \t\r\n\x0b\n{c}\x0c"),
+            (5, f"{a}\n\nsomething else"), (6, "\n\n"), (7, " \t\n"), (8, None), (9, "")]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r["text"] for r in pipeline.distinct_lines(spark, docs, SF).collect()}
+    assert got == {1: rows[0][1], 5: "\nsomething else", 6: "\n\n", 7: " \t\n", 8: None, 9: ""}
+    assert {r["doc_id"] for r in pipeline.one_of_each(spark, pipeline.distinct_lines(spark, docs, SF), SF).collect()} == set(got)
+
+
 def test_run_equals_plain_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
