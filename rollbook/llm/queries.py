@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, jaccard, licences, lines, quality, secrets, urls
+from . import bpe, chat, decontaminate, fingerprints, hard_negatives, jaccard, licences, lines, periodic_runs, quality, secrets, token_counts, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,72 @@ def op9(spark, sf_dir):
 @query("op10_url_filter")
 def op10(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op11_hard_negatives", """WITH
+  taken AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM taken a JOIN taken b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+         other_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+  QUALIFY rank <= 3""")
+def op11(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    found = hard_negatives.mine(rows, anchors=F.col("vec_id") % 50 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query("op12_token_counts")
+def op12(spark, sf_dir):
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op13_periodic_runs", """WITH
+  hashed AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+           xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+               lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+    FROM documents),
+  placed AS (
+    SELECT doc_id, words, len(words) AS n, h % 10 = 0 AND len(words) > 0 AS planted, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a, h // 10 AS g FROM hashed),
+  looped AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+  spread AS (
+    SELECT doc_id, n, i, CASE WHEN planted AND i >= a THEN words[a + (i - a) % p + 1] ELSE words[i + 1] END AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM looped)),
+  alike AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS stretch
+    FROM spread x JOIN spread y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+  stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM alike GROUP BY doc_id, q, stretch HAVING count(*) + q >= greatest(6, 4 * q)),
+  runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+  listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY doc_id),
+  best AS (
+    SELECT * FROM runs
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+  kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM spread ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+  SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, CAST(length AS BIGINT) AS length, period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+         sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+  FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op13(spark, sf_dir):
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), plant=periodic_runs.looped)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.get("runs", F.col("best"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+                        F.expr("get(runs, best).length * 1000 div get(runs, best).period").alias("exponent_milli"),
+                        digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
