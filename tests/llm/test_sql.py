@@ -12,4 +12,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
