@@ -2,9 +2,9 @@
 
 Texts are cut into pre-tokens. Documents are taken in blocks of about `BLOCK_BYTES` of text; a block is one row that holds its
 distinct pre-tokens once and, for every document, the frequencies of its pre-tokens by their place in that list. All
-blocks' pre-tokens are made distinct, each is counted once, and the counts are joined to the blocks' lists: a frequent
-pre-token is shuffled once a block, not once a document, so no key is hot. A document's count is the sum of frequency
-times count. A pre-token's tokens are counted by dynamic programming over its prefixes (see `bpe`): each prefix keeps its
+blocks' pre-tokens are brought together by Spark, sorted, so that each distinct one is counted once; the counts go back to
+their blocks in a join. A frequent pre-token is shuffled once a block, not once a document, so no key is hot. A document's count is
+the sum of frequency times count. A pre-token's tokens are counted by dynamic programming over its prefixes (see `bpe`): each prefix keeps its
 last token and the number of tokens, no list of ids.
 
 Missing and empty texts have no tokens; repeated rows and ids, also missing ones, give a row each; other columns are not read.
@@ -24,12 +24,13 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from ..session import split_skewed_joins
 from .bpe import Encoder, byte_letters, vocabulary_path
 from .common import keyed_text, small_batches, written
 
 VOCABULARY = "byte_bpe_50k.json"
 BLOCK_BYTES = 8 << 20
+BLOCK_TEXTS = 1 << 16
+HELD_COUNTS = 1 << 20
 
 # fixed values: white space and the pattern of pre-tokens of byte-level vocabularies
 WHITE = r"\t-\r\x20\x85\xa0  -     　"
@@ -118,80 +119,133 @@ def counter(path: str) -> PieceCounter:
     return _counters[path]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Integers by their bytes, all lowest ones first, and compressed: most of the higher ones are zero."""
+    return pa.compress(values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    held = pa.decompress(data, 4 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(held, np.uint8).reshape(4, n).T.copy().view("<i4").ravel()
+
+
 BLOCK = pa.schema([("ids", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int64())), ("special", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
-                   ("places", pa.list_(pa.int32())), ("frequencies", pa.list_(pa.int32())), ("pieces", pa.list_(pa.string()))])
-BLOCK_DDL = ("ids array<long>, bytes array<long>, special array<long>, ends array<long>, places array<int>, "
-             "frequencies array<int>, pieces array<string>")
+                   ("places", pa.binary()), ("frequencies", pa.binary()), ("pieces", pa.list_(pa.string()))])
+BLOCK_DDL = "ids array<long>, bytes array<long>, special array<long>, ends array<long>, places binary, frequencies binary, pieces array<string>"
 
 
-def _blocks(path: str, block_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
+class Block:
+    """Documents of about `BLOCK_BYTES` of text: their distinct pre-tokens, and each one's frequencies by place in them."""
 
-        def new():
-            return {name: [] for name in BLOCK.names[:-1]}, {}, 0
+    def __init__(self):
+        self.ids, self.bytes, self.special, self.ends = [], [], [], []
+        self.places: list[int] = []
+        self.frequencies: list[int] = []
+        self.index: dict[str, int] = {}
 
-        def row(block, index):
-            return pa.record_batch([pa.array([block[name]], type=BLOCK.field(name).type) for name in BLOCK.names[:-1]]
-                                   + [pa.array([list(index)], type=BLOCK.field("pieces").type)], schema=BLOCK)
+    def add(self, key: int | None, n_bytes: int, special: int, found: Counter) -> None:
+        self.ids.append(key)
+        self.bytes.append(n_bytes)
+        self.special.append(special)
+        index = self.index
+        self.places += [index.setdefault(piece, len(index)) for piece in found]
+        self.frequencies += found.values()
+        self.ends.append(len(self.places))
 
-        block, index, size = new()
+    def row(self) -> pa.RecordBatch:
+        places = np.array(self.places, np.int64)
+        owner = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
+        order = np.argsort(owner * max(len(self.index), 1) + places)  # within each document ascending, so that steps are small
+        values = [self.ids, self.bytes, self.special, self.ends, packed(np.diff(places[order], prepend=0)),
+                  packed(np.array(self.frequencies, np.int64)[order]), list(self.index)]
+        return pa.record_batch([pa.array([v], type=f.type) for v, f in zip(values, BLOCK)], schema=BLOCK)
+
+
+def _blocks(path: str, block_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        block, size = Block(), 0
         for batch in small_batches(batches):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found, special = words.pre_tokens(text)
                 n_bytes = len(text.encode("utf-8", "replace"))
-                block["ids"].append(key)
-                block["bytes"].append(n_bytes)
-                block["special"].append(special)
-                block["places"] += [index.setdefault(piece, len(index)) for piece in found]
-                block["frequencies"] += found.values()
-                block["ends"].append(len(block["places"]))
+                block.add(key, n_bytes, special, found)
                 size += n_bytes
-                if size >= block_bytes or len(block["ids"]) >= 1 << 16:
-                    yield row(block, index)
-                    block, index, size = new()
-        if block["ids"]:
-            yield row(block, index)
+                if size >= block_bytes or len(block.ids) >= BLOCK_TEXTS:
+                    yield block.row()
+                    block, size = Block(), 0
+        if block.ids:
+            yield block.row()
 
     return run
 
 
+COUNTED = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("places", pa.binary()), ("tokens", pa.binary())])
+
+
 def _counted(path: str):
+    """Rows come sorted by pre-token, so that each distinct one is counted once. Counts go back by block, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path).count
+        known, tokens = None, 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            block, place, n = map(np.concatenate, zip(*held))
+            order = np.lexsort((place, block))
+            block, place, n = block[order], place[order], n[order]
+            starts = np.flatnonzero(np.append(True, np.diff(block) != 0))
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
+                row = [int(block[start])], [end - start], [packed(np.diff(place[start:end], prepend=0))], [packed(n[start:end])]
+                yield pa.record_batch([pa.array(v, type=f.type) for v, f in zip(row, COUNTED)], schema=COUNTED)
+            held.clear()
+
+        size = 0
         for batch in small_batches(batches):
-            tokens = [count(p) for p in batch.column(0).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(tokens, type=pa.int64())], names=["piece", "tokens"])
+            found = np.empty(batch.num_rows, np.int64)
+            for i, piece in enumerate(batch.column(2).to_pylist()):
+                if piece != known:
+                    known, tokens = piece, count(piece)
+                found[i] = tokens
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), found))
+            size += batch.num_rows
+            if size >= HELD_COUNTS:
+                yield from flush()
+                size = 0
+        if held:
+            yield from flush()
 
     return run
 
 
-COUNTS = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+SUMS = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, n_bytes, special, ends, places, frequencies, tokens = (c[i].values for c in batch.columns)
-            each = np.zeros(len(places) + 1, np.int64)
-            if len(places):
-                np.cumsum(tokens.to_numpy()[places.to_numpy()] * frequencies.to_numpy(), out=each[1:])
-            sums = np.diff(each[ends.to_numpy()], prepend=0) + special.to_numpy()
-            yield pa.record_batch([ids, n_bytes, pa.array(sums)], schema=COUNTS)
+            ids, n_bytes, special, ends = (c[i].values for c in batch.columns[:4])
+            places, frequencies, counted = (c[i].as_py() for c in batch.columns[4:])
+            counted = counted or []
+            ends = ends.to_numpy()
+            tokens = np.zeros(sum(c["n"] for c in counted), np.int64)
+            for c in counted:
+                tokens[np.cumsum(unpacked(c["places"], c["n"]))] = unpacked(c["tokens"], c["n"])
+            each = np.zeros(ends[-1] + 1, np.int64)
+            np.cumsum(tokens[np.cumsum(unpacked(places, ends[-1]))] * unpacked(frequencies, ends[-1]), out=each[1:])
+            sums = np.diff(each[ends], prepend=0) + special.to_numpy()
+            yield pa.record_batch([ids, n_bytes, pa.array(sums)], schema=SUMS)
 
 
 def count_tokens(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each text: its id, `n_bytes` in UTF-8 and `n_tokens`."""
     path = path or vocabulary_path(VOCABULARY)
-    split_skewed_joins(df.sparkSession)
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     blocks = texts.mapInArrow(_blocks(path, block_bytes), BLOCK_DDL).withColumn("block", F.monotonically_increasing_id())
     blocks = written(blocks, "token-blocks")
-    pieces = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    tokens = pieces.select("piece").distinct().mapInArrow(_counted(path), "piece string, tokens long")
-    lists = pieces.join(tokens, "piece").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("counted"))
-    lists = lists.select("block", F.col("counted.tokens").alias("tokens"))
-    whole = blocks.drop("pieces").join(lists, "block", "left")
-    whole = whole.select(*BLOCK.names[:-1], F.coalesce("tokens", F.array().cast("array<long>")).alias("tokens"))
-    return whole.mapInArrow(_summed, "id long, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)
+    pieces = blocks.select("block", F.posexplode("pieces").alias("place", "piece")).repartition("piece").sortWithinPartitions("piece")
+    counted = pieces.mapInArrow(_counted(path), "block long, n int, places binary, tokens binary")
+    lists = counted.groupBy("block").agg(F.collect_list(F.struct("n", "places", "tokens")).alias("counted"))
+    whole = blocks.drop("pieces").join(lists, "block", "left")  # a block without any pre-token has no counts
+    return whole.select(*BLOCK.names[:-1], "counted").mapInArrow(_summed, "id long, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)
