@@ -106,6 +106,24 @@ def unnest_parallel(spark, sf_dir):
     return reshape.unnest_parallel(lists, ["a", "b", "c"], place="i").withColumn("i", col("i").cast("long"))
 
 
+@query("""WITH lines AS (
+    SELECT o_custkey, o_orderpriority AS label, min(o_orderkey) AS n, CASE WHEN count(*) > 1 THEN max(o_orderkey) END AS m FROM orders GROUP BY 1, 2),
+  numbered AS (
+    SELECT *, CASE WHEN label IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'early' ELSE 'late' END AS kind,
+           row_number() OVER (PARTITION BY o_custkey, CASE WHEN label IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 1 ELSE 2 END ORDER BY label) AS slot FROM lines)
+  SELECT o_custkey, any_value(n) FILTER (WHERE kind = 'early') AS n_early, any_value(n) FILTER (WHERE kind = 'late') AS n_late,
+         any_value(m) FILTER (WHERE kind = 'early') AS m_early, any_value(m) FILTER (WHERE kind = 'late') AS m_late,
+         any_value(label) FILTER (WHERE kind = 'early') AS early, any_value(label) FILTER (WHERE kind = 'late') AS late
+  FROM numbered GROUP BY o_custkey, slot""")
+def unnest_labelled(spark, sf_dir):
+    """Three labels against two in a row, and a measure that is missing for some labels."""
+    lines = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(
+        F.min("o_orderkey").alias("n"), F.when(F.count(F.lit(1)) > 1, F.max("o_orderkey")).alias("m"))
+    groups = {"early": ["1-URGENT", "2-HIGH", "3-MEDIUM"], "late": ["4-NOT SPECIFIED", "5-LOW"]}
+    wide = reshape.pivot_wide_labelled(lines, ["o_custkey"], "o_orderpriority", groups, ["n", "m"])
+    return reshape.unnest_labelled(wide, {g: [f"n_{g}", f"m_{g}"] for g in groups})
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity || ',' || (l_quantity + 1) AS quantities, CAST(NULL AS VARCHAR) AS missing
           FROM lineitem""")
 def nested_field_extract(spark, sf_dir):

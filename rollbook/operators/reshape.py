@@ -107,15 +107,55 @@ def pivot_long_values(df: DataFrame, columns: Sequence[str], names_to: str) -> D
     return df.select(*cols(ids), F.inline(F.array(*rows)))
 
 
-def unnest_parallel(df: DataFrame, columns: Sequence[str], place: str | None = None) -> DataFrame:
+def pivot_wide_labelled(df: DataFrame, ids: Sequence[str], label: str, groups: Mapping[str, Sequence[str]],
+                        values_from: Sequence[str], others: str = "raise") -> DataFrame:
+    """Raw labels mapped to fewer names: each cell is the sorted list of (label, value) of its raw labels that occur, so that
+    cells of several measures can be put side by side by label (`unnest_labelled`). A value may be missing; a cell without any
+    label is NULL. Two rows with the same ids and raw label raise; labels that are not listed as in `pivot_wide`."""
+    lists = {}
+    for measure in values_from:
+        for name, raw in groups.items():
+            pairs = ", ".join(
+                f"CASE WHEN count_if(coalesce({quoted(label)} = {literal(r)}, false)) > 0 "
+                f"THEN named_struct('label', {literal(r)}, 'value', {_single(label, r, measure)}) END" for r in sorted(raw))
+            lists[f"{measure}_{name}"] = f"array_compact(array({pairs}))"
+    cells = _checked(list(lists.values()), label, [r for raw in groups.values() for r in raw], others)
+    wide = df.groupBy(*cols(ids)).agg(*[F.expr(c).alias(n) for n, c in zip(lists, cells)])
+    names = [quoted(c) for c in wide.columns if c not in ids]
+    return wide.selectExpr(*[quoted(i) for i in ids], *[f"CASE WHEN size({n}) > 0 THEN {n} END AS {n}" for n in names])
+
+
+def unnest_labelled(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Unnest cells of (label, value), with the cells that belong together under one name: they share slots by label.
+
+    A name's labels are those of any of its cells, in order; its nth label stands in the row's nth slot, as the column of that
+    name, with each cell's value for the label, NULL where that cell lacks it. A name with fewer labels than another is
+    NULL in the further slots, whatever the number of its labels; a row without any label is dropped. A label twice in a cell takes the first value."""
+    def labels(cells: Sequence[str]) -> str:
+        every = ", ".join(f"coalesce({quoted(c)}.label, array())" for c in cells)
+        return f"array_sort(array_distinct(array_compact(concat({every}))))"
+
+    held = {name: f"__labels_{i}" for i, name in enumerate(groups)}
+    rows = df.select("*", *[F.expr(labels(cells)).alias(held[name]) for name, cells in groups.items()])
+    most = F.greatest(*[F.size(h) for h in held.values()], F.lit(0))
+    slots = rows.select("*", F.explode(F.when(most > 0, F.sequence(F.lit(1), most))).alias("__slot"))
+    columns = {c: name for name, cells in groups.items() for c in cells}
+    at = {name: f"try_element_at({h}, __slot)" for name, h in held.items()}
+    picked = [f"get(filter({quoted(c)}, x -> x.label = {at[columns[c]]}), 0).value AS {quoted(c)}" if c in columns else quoted(c) for c in df.columns]
+    return slots.selectExpr(*picked, *[f"{sql} AS {quoted(name)}" for name, sql in at.items()])
+
+
+def unnest_parallel(df: DataFrame, columns: Sequence[str], place: str | None = None, unequal: str = "raise") -> DataFrame:
     """Unnest several list columns together. A list of one is repeated, a missing or empty list
-    gives NULL, a row without any element is dropped, and other lengths that differ raise.
-    `place` keeps the position in the list as a column of that name."""
+    gives NULL and a row without any element is dropped. Other lengths that differ raise; with `unequal="null"`
+    the shorter lists give NULL beyond their end. `place` keeps the position in the list as a column of that name."""
+    if unequal not in ("raise", "null"):
+        raise ValueError("unequal must be 'raise' or 'null'")
     sizes = "array(" + ", ".join(f"coalesce(size({quoted(c)}), 0)" for c in columns) + ")"
     # the check sits in the generator: a filter would be pushed down with a copy of every list
-    places = (f"CASE WHEN size(filter(array_distinct({sizes}), n -> n > 1)) > 1 "
-              f"THEN raise_error('lists of different lengths in one row') "
-              f"WHEN array_max({sizes}) > 0 THEN sequence(1, array_max({sizes})) END")
+    check = (f"WHEN size(filter(array_distinct({sizes}), n -> n > 1)) > 1 "
+             f"THEN raise_error('lists of different lengths in one row')") if unequal == "raise" else ""
+    places = f"CASE {check} WHEN array_max({sizes}) > 0 THEN sequence(1, array_max({sizes})) END"
     i = quoted(place or "__i")
     kept = df.select("*", F.explode(F.expr(places)).alias(place or "__i"))
     picked = {quoted(c): f"try_element_at({quoted(c)}, if(size({quoted(c)}) = 1, 1, {i}))" for c in columns}
@@ -123,6 +163,14 @@ def unnest_parallel(df: DataFrame, columns: Sequence[str], place: str | None = N
     return out if place else out.drop("__i")
 
 
+def first_of_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The first row that `unnest_parallel(unequal="null")` makes of each row, without making the others: every list's first
+    element, for the rows that have any element."""
+    some = " OR ".join(f"size({quoted(c)}) > 0" for c in columns)
+    kept = df.filter(F.expr(some)) if columns else df
+    return kept.selectExpr(*[f"try_element_at({quoted(c)}, 1) AS {quoted(c)}" if c in columns else quoted(c) for c in df.columns])
+
+
 def nested_field(df: DataFrame, nested: str, field: str) -> Column:
     """List of one field of a nested table; NULL where the table has no such field."""
     element = df.schema[nested].dataType.elementType

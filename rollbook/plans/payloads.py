@@ -16,7 +16,7 @@ from ..functions.strings import clean_entity_name, extract, parse_number
 from ..names import col, cols
 from ..operators.columns import add_constants, rename_by_documentation, zero_missing_numbers
 from ..operators.joins import left_join, left_join_checked, lookup_either_key, lookup_reference
-from ..operators.reshape import pivot_wide, unnest_parallel
+from ..operators.reshape import first_of_lists, pivot_wide
 from ..operators.windows import fill_down_up, fill_first, fill_from_previous, keep_first
 from ..session import shared_folder
 from .timetable import WRITTEN_EXAM
@@ -192,7 +192,8 @@ def course_payload(inputs: Mapping[str, DataFrame], variant: str = "new", order:
     form = form.drop("INS_Opleidingscode_actueel", "unl_hoorcollegetotaalcontacturen",
                      *[f"unl_werkvorm{i}totaalcontacturen" for i in slots])
     lists = [f.name for f in form.schema.fields if f.dataType.typeName() == "array"]
-    form = unnest_parallel(form, lists, "__place") if lists else form.withColumn("__place", F.lit(1))
+    # of the unnested rows of a course and year only the first one is sent, so the others are not made
+    form = first_of_lists(form, lists)
     hours = [f"unl_{part}urenperweekpergroep" for part in ("hoorcollege", "werkcollege", "practicum")]
     hours += [f"unl_werkvorm{i}urenperweekpergroep" for i in slots]
     form = form.withColumns({h: minutes_to_hours(col(h)) for h in hours})
@@ -208,7 +209,7 @@ def course_payload(inputs: Mapping[str, DataFrame], variant: str = "new", order:
     form = form.withColumns({f"unl_{p}groepen": at_least_one(f"unl_{p}groepen", f"unl_{p}urenperweekpergroep")
                              for p in ("werkvorm2", "hoorcollege")})
 
-    form = keep_first(form, ["unl_vakcode", "unl_jaar"], [order, "__place"]).drop("__place")
+    form = keep_first(form, ["unl_vakcode", "unl_jaar"], [order])
     # one row per course and year, read several times below
     shared_folder(form.sparkSession)
     form = form.checkpoint()

@@ -168,7 +168,7 @@ def test_course_payload(spark, variant):
     data = [
         {**common, "unl_vakcode": "A", "unl_jaar": "2021-2022", "unl_vakjaar": "Premaster", "unl_ecs": 6.0, "unl_verplichtkeuze": True,
          "INS_Opleidingscode_actueel": 50.0, "unl_eindtoetsnaam": 5, "source_order": 1, "unl_werkvorm1naam": "Excursie",
-         "unl_hoorcollegegroepen": [0], "unl_hoorcollegeurenperweekpergroep": [120.0], "unl_werkvorm2groepen": [3, 4]},
+         "unl_hoorcollegegroepen": [0, 6, 7], "unl_hoorcollegeurenperweekpergroep": [120.0], "unl_werkvorm2groepen": [3, 4]},
         {**common, "unl_vakcode": "A", "unl_jaar": "2022-2023", "unl_vakjaar": "9", "unl_ecs": 6.0, "source_order": 2,
          "unl_hoorcollegegroepen": [2]},
         {**common, "unl_vakcode": "B", "unl_jaar": "2021-2022", "unl_startdatum": None, "INS_Opleidingscode_actueel": 50.0,
@@ -187,7 +187,7 @@ def test_course_payload(spark, variant):
     got = rows(out, "unl_vakcode", payloads.YEAR, payloads.PROGRAMME, "unl_vakjaar", "unl_werkvorm1naam", "unl_verplichtkeuze", "unl_taalvanvak",
                "unl_eindtoetsnaam", "unl_hoorcollegegroepen", "unl_hoorcollegeurenperweekpergroep", "unl_werkvorm2groepen")
     expected = [
-        # two elements of a list make two rows, the first is kept; no groups with minutes make one group
+        # lists of three, two and one element: the first row is kept; no groups with minutes make one group
         ("A", "unl_collegejaars(J1)", "unl_opleidings(O1)", 4.0, 941790010, 1, 941790002, 5, 1, 2.0, 3),
         # programme from the other year, course year from the target groups, exam and choice from the year before
         ("A", "unl_collegejaars(J2)", "unl_opleidings(O1)", 3.0, None, 1, 941790002, 5, 2, None, None),

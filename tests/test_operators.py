@@ -236,6 +236,43 @@ def test_unnest_parallel(spark):
     bad = spark.createDataFrame([(1, [1, 2], [1, 2, 3])], df.schema)
     with pytest.raises(Exception, match="different lengths"):
         reshape.unnest_parallel(bad, ["a", "b"]).collect()
+    assert values(reshape.unnest_parallel(bad, ["a", "b"], unequal="null")) == [(1, 1, 1), (1, 2, 2), (1, None, 3)]
+    with pytest.raises(ValueError):
+        reshape.unnest_parallel(bad, ["a"], unequal="cut")
+
+
+def test_first_of_lists_is_the_first_unnested_row(spark):
+    rows = [(1, [1], [7, 8]), (2, None, [5, 6, 7]), (3, None, None), (4, [], []), (5, [1, 2], [None, 3, 4])]
+    df = spark.createDataFrame(rows, "id int, a array<int>, b array<int>")
+    unnested = reshape.unnest_parallel(df, ["a", "b"], "i", unequal="null").filter("i = 1").drop("i")
+    assert values(reshape.first_of_lists(df, ["a", "b"])) == values(unnested) == [(1, 1, 7), (2, None, 5), (5, 1, None)]
+
+
+def test_labelled_cells(spark):
+    """Three class types and two lab types in a row; a measure that one label lacks does not move another label's value up."""
+    rows = [(1, "lecture", 1, 10), (1, "seminar", None, 20), (1, "talk", 3, 30), (1, "lab", 4, None), (1, "field", 5, 50),
+            (2, "lab", 6, 60), (3, None, 7, 70)]
+    df = spark.createDataFrame(rows, "id int, label string, n int, load int")
+    groups = {"class": ["talk", "seminar", "lecture"], "practice": ["lab", "field"]}
+    wide = reshape.pivot_wide_labelled(df, ["id"], "label", groups, ["n", "load"])
+    held = {r["id"]: r for r in wide.collect()}
+    assert [tuple(x) for x in held[1]["n_class"]] == [("lecture", 1), ("seminar", None), ("talk", 3)] and held[2]["n_class"] is None
+    out = reshape.unnest_labelled(wide, {g: [f"n_{g}", f"load_{g}"] for g in groups})
+    assert values(out, "id", "class", "n_class", "load_class", "practice", "n_practice", "load_practice") == [
+        (1, "lecture", 1, 10, "field", 5, 50), (1, "seminar", None, 20, "lab", 4, None), (1, "talk", 3, 30, None, None, None),
+        (2, None, None, None, "lab", 6, 60)]
+    again = df.union(df.filter("label = 'lab'"))
+    with pytest.raises(Exception, match="several rows"):
+        reshape.pivot_wide_labelled(again, ["id"], "label", groups, ["n"]).collect()
+    with pytest.raises(Exception, match="not listed"):
+        reshape.pivot_wide_labelled(df, ["id"], "label", {"class": ["talk"]}, ["n"]).collect()
+    assert reshape.unnest_labelled(wide.limit(0), {"class": ["n_class"]}).count() == 0
+
+
+def test_labels_that_only_one_cell_has(spark):
+    cell = "array<struct<label:string,value:int>>"
+    df = spark.createDataFrame([(1, [("a", 1), ("c", 3)], [("b", 2), ("b", 9)]), (2, [], None)], f"id int, x {cell}, y {cell}")
+    assert values(reshape.unnest_labelled(df, {"k": ["x", "y"]}), "id", "k", "x", "y") == [(1, "a", 1, None), (1, "b", None, 2), (1, "c", 3, None)]
 
 
 # timetable ----------------------------------------------------------------------------------
