@@ -15,6 +15,7 @@ not know as such (its Unicode tables are older than those here) are cut by the l
 from __future__ import annotations
 
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from .bpe import Encoder, byte_letters, vocabulary_path
 from .common import keyed_text, small_batches, written
 
 VOCABULARY = "byte_bpe_50k.json"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BLOCK_TEXTS = 1 << 16
 HELD_COUNTS = 1 << 20
 
@@ -139,8 +140,7 @@ class Block:
 
     def __init__(self):
         self.ids, self.bytes, self.special, self.ends = [], [], [], []
-        self.places: list[int] = []
-        self.frequencies: list[int] = []
+        self.places, self.frequencies = array("i"), array("i")
         self.index: dict[str, int] = {}
 
     def add(self, key: int | None, n_bytes: int, special: int, found: Counter) -> None:
@@ -148,8 +148,8 @@ class Block:
         self.bytes.append(n_bytes)
         self.special.append(special)
         index = self.index
-        self.places += [index.setdefault(piece, len(index)) for piece in found]
-        self.frequencies += found.values()
+        self.places.extend([index.setdefault(piece, len(index)) for piece in found])
+        self.frequencies.extend(found.values())
         self.ends.append(len(self.places))
 
     def row(self) -> pa.RecordBatch:
