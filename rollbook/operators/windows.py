@@ -1,5 +1,5 @@
 """Order-dependent operators. Each names its order; groups of any size are handled by
-`hot_groups`, or by the pruning of first rows before the shuffle."""
+`prefix_scan`, or by the pruning of first rows before the shuffle."""
 
 from __future__ import annotations
 
@@ -9,22 +9,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..names import col, cols, parse_order, sort_columns
 from ..session import split_skewed_joins
-from .hot_groups import join_small, split_groups
 from .keyed import left_join
+from .prefix_scan import ordered_parts
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_number",
-                max_rows: int | None = None) -> DataFrame:
+                parts: int | None = None) -> DataFrame:
     """Row number by group in the stated order; without keys over the whole table."""
-    split = split_groups(df, keys, order, max_rows)
-    numbered = split.df.withColumn(out, F.row_number().over(split.window()).cast("long"))
-    if split.hot:
-        earlier = split.part_window().rowsBetween(Window.unboundedPreceding, -1)
-        offsets = split.parts().select(
-            *cols(split.by), F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
-        numbered = join_small(numbered, offsets, split.by)
-        numbered = numbered.withColumn(out, col(out) + F.coalesce(col("__offset"), F.lit(0))).drop("__offset")
-    return split.finish(numbered)
+    scan = ordered_parts(df, keys, order, parts)
+    earlier = scan.part_window().rowsBetween(Window.unboundedPreceding, -1)
+    offsets = scan.sizes().select(*cols(scan.by), F.sum("__rows").over(earlier).alias("__offset"))
+    numbered = scan.attach(scan.df.withColumn(out, F.row_number().over(scan.window()).cast("long")), offsets)
+    return scan.finish(numbered.withColumn(out, col(out) + F.coalesce(col("__offset"), F.lit(0))).drop("__offset"))
 
 
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
@@ -41,55 +37,47 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def fill_from_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                       columns: Sequence[str], max_rows: int | None = None) -> DataFrame:
+                       columns: Sequence[str], parts: int | None = None) -> DataFrame:
     """Missing values become the previous row's original value: one step, no chain."""
-    split = split_groups(df, keys, order, max_rows)
-    window = split.window()
-    if not split.hot:
-        filled = {c: F.coalesce(col(c), F.lag(col(c)).over(window)) for c in columns}
-        return split.finish(split.df.withColumns(filled))
-    work = split.df.withColumns(
-        {"__place": F.row_number().over(window),
-         **{f"__lag_{i}": F.lag(col(c)).over(window) for i, c in enumerate(columns)}})
-    for i, c in enumerate(columns):
-        last = split.edge(c, last=True, out="__last")
-        carried = last.select(*cols(split.by), F.lag("__last").over(split.part_window()).alias(f"__carry_{i}"))
-        work = join_small(work, carried, split.by)
+    scan = ordered_parts(df, keys, order, parts)
+    window = scan.window()
+    work = scan.df.withColumns({"__place": F.row_number().over(window),
+                                **{f"__lag_{i}": F.lag(col(c)).over(window) for i, c in enumerate(columns)}})
+    # the first row of a part takes over from the last row of the part before
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = scan.summaries(columns, __last=F.last(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(columns)])).over(whole))
+    work = scan.attach(work, last.select(*cols(scan.by), F.lag("__last").over(scan.part_window()).alias("__carry")))
     work = work.withColumns({
-        c: F.coalesce(col(c), F.when(col("__place") == 1, col(f"__carry_{i}")).otherwise(col(f"__lag_{i}")))
+        c: F.coalesce(col(c), F.when(col("__place") == 1, col("__carry").getField(f"c{i}")).otherwise(col(f"__lag_{i}")))
         for i, c in enumerate(columns)})
-    helpers = [f"__{kind}_{i}" for i in range(len(columns)) for kind in ("lag", "carry")]
-    return split.finish(work.drop("__place", *helpers))
+    return scan.finish(work.drop("__place", "__carry", *[f"__lag_{i}" for i in range(len(columns))]))
 
 
 def fill_down_up(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-                 max_rows: int | None = None) -> DataFrame:
+                 parts: int | None = None) -> DataFrame:
     """Per group the last value carried forward, then the first one backward.
 
     Only rows before the group's first value are left for the backward step, so they take the
     first value of the whole group: a frame computed once, where one from each row to the end
     would be computed again for every row.
     """
-    split = split_groups(df, keys, order, max_rows)
-    down = split.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = split.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    work = split.df.withColumns({
+    scan = ordered_parts(df, keys, order, parts)
+    down = scan.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = scan.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    work = scan.df.withColumns({
         f"__{kind}_{i}": value for i, c in enumerate(columns)
         for kind, value in (("before", F.last(col(c), True).over(down)), ("first", F.first(col(c), True).over(whole)))})
-    kinds = ["before", "first"]
-    if split.hot:
-        kinds = ["before", "down", "first", "up"]
-        earlier = split.part_window().rowsBetween(Window.unboundedPreceding, -1)
-        later = split.part_window().rowsBetween(1, Window.unboundedFollowing)
-        for i, c in enumerate(columns):
-            carried = join_small(split.parts(), split.edge(c, True, "__end", skip_missing=True), split.by)
-            carried = join_small(carried, split.edge(c, False, "__start", skip_missing=True), split.by)
-            carried = carried.select(*cols(split.by),
-                                     F.last("__end", True).over(earlier).alias(f"__down_{i}"),
-                                     F.first("__start", True).over(later).alias(f"__up_{i}"))
-            work = join_small(work, carried, split.by)
+    ends = scan.summaries(columns, **{
+        f"__{kind}_{i}": value for i, c in enumerate(columns)
+        for kind, value in (("end", F.last(col(c), True).over(whole)), ("start", F.first(col(c), True).over(whole)))})
+    earlier = scan.part_window().rowsBetween(Window.unboundedPreceding, -1)
+    later = scan.part_window().rowsBetween(1, Window.unboundedFollowing)
+    work = scan.attach(work, ends.select(*cols(scan.by), *[
+        value for i in range(len(columns))
+        for value in (F.last(f"__end_{i}", True).over(earlier).alias(f"__down_{i}"), F.first(f"__start_{i}", True).over(later).alias(f"__up_{i}"))]))
+    kinds = ["before", "down", "first", "up"]
     filled = work.withColumns({c: F.coalesce(*[col(f"__{kind}_{i}") for kind in kinds]) for i, c in enumerate(columns)})
-    return split.finish(filled.drop(*[f"__{kind}_{i}" for i in range(len(columns)) for kind in kinds]))
+    return scan.finish(filled.drop(*[f"__{kind}_{i}" for i in range(len(columns)) for kind in kinds]))
 
 
 def attach(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
@@ -120,7 +108,7 @@ def fill_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns
 
 
 def collapse_text(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str,
-                  sep: str = ", ", part_rows: int | None = 100_000, max_rows: int | None = None) -> DataFrame:
+                  sep: str = ", ", part_rows: int | None = 100_000, parts: int | None = None) -> DataFrame:
     """The group's texts joined in order, duplicates kept, missing ones as NA.
 
     A group of more than `part_rows` rows gives several rows, numbered by `part`, whose texts
@@ -129,13 +117,13 @@ def collapse_text(df: DataFrame, keys: Sequence[str], value: str, order: Sequenc
     """
     size = part_rows or 100_000
     wanted = list(dict.fromkeys([*keys, value, *[o.lstrip("-") for o in order]]))
-    placed = number_rows(df.select(*cols(wanted)), keys, order, "__place", max_rows)
+    placed = number_rows(df.select(*cols(wanted)), keys, order, "__place", parts)
     placed = placed.withColumn("part", ((col("__place") - 1) / size).cast("long"))
     text = F.coalesce(col(value).cast("string"), F.lit("NA"))
-    parts = (placed.select(*cols(keys), "part", "__place", text.alias("__text"))
+    texts = (placed.select(*cols(keys), "part", "__place", text.alias("__text"))
              .groupBy(*cols(keys), "part")
              .agg(F.expr(f"listagg(`__text`, '{sep}') WITHIN GROUP (ORDER BY `__place`)").alias(out)))
     if part_rows is not None:
-        return parts
-    return parts.groupBy(*cols(keys)).agg(
+        return texts
+    return texts.groupBy(*cols(keys)).agg(
         F.expr(f"listagg(`{out}`, '{sep}') WITHIN GROUP (ORDER BY part)").alias(out))

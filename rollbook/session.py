@@ -8,8 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-HOT_GROUP_ROWS = "spark.rollbook.hotGroupRows"
-HOT_GROUP_ROWS_DEFAULT = 2_000_000
+ORDERED_PARTS = "spark.rollbook.orderedParts"
 
 
 def local_session(cores: str | int = "*", app: str = "rollbook", **conf: str) -> SparkSession:

@@ -1,18 +1,19 @@
 """Groups cut in parts give the same rows as whole ones, also against a plain Python loop."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import hot_groups
-from rollbook.operators.hot_groups import split_groups
+from rollbook.operators import prefix_scan
+from rollbook.operators.prefix_scan import ordered_parts
 from rollbook.operators.joins import left_join_checked, lookup_reference, translate
 from rollbook.operators.windows import (attach, collapse_text, fill_down_up, fill_first, fill_from_previous,
                                         keep_first, number_rows, top_rows)
 
 ORDER = ["day", "-rank", "id"]
-CUT = 60
+PARTS = 16
 
 
 @pytest.fixture(scope="module")
@@ -46,48 +47,55 @@ def by_id(df, *names):
 
 
 def test_hot_keys_are_cut_in_bounded_parts(df):
-    split = split_groups(df, ["key"], ORDER, CUT)
-    assert split.hot
-    sizes = [r["__rows"] for r in split.parts().collect()]
-    assert len(sizes) >= 8 and max(sizes) <= 4 * CUT
+    sizes = [r["__rows"] for r in ordered_parts(df, ["key"], ORDER, PARTS).sizes().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 4 * 900 / PARTS
     assert sum(sizes) == df.filter("key = 'hot' OR key IS NULL").count()
 
 
-def test_hot_keys_are_found_on_a_sample(spark):
-    many = spark.range(30_000).select(
+def test_a_key_with_a_third_of_the_rows_is_spread(spark):
+    many = spark.range(60_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000).alias("key"),
         F.pmod(F.xxhash64("id"), F.lit(500)).alias("day"))
-    limit = 1000
-    assert split_groups(many, ["key"], ["day", "id"], limit).hot
-    cut = number_rows(many, ["key"], ["day", "id"], "n", limit)
-    whole = number_rows(many, ["key"], ["day", "id"], "n", 10**9)
-    assert cut.exceptAll(whole).isEmpty() and cut.count() == 30_000
+    sizes = [(r["key"], r["__rows"]) for r in ordered_parts(many, ["key"], ["day", "id"], 50).sizes().collect()]
+    assert {k for k, _ in sizes} == {-1} and len(sizes) > 10 and max(n for _, n in sizes) < 4 * 60_000 / 50
+    cut = number_rows(many, ["key"], ["day", "id"], "n", 50)
+    whole = number_rows(many, ["key"], ["day", "id"], "n", 1)
+    assert cut.exceptAll(whole).isEmpty() and cut.count() == 60_000
 
 
-def test_more_hot_keys_and_parts_than_are_cut_at_once(spark, monkeypatch):
-    """Groups that need more parts than one cut makes are cut again, and no part stays large."""
-    monkeypatch.setattr(hot_groups, "FAN", 4)
-    many = spark.range(12_000).select("id", (F.col("id") % 40).alias("key"), F.pmod(F.xxhash64("id"), F.lit(997)).alias("day")).withColumn(
-        "key", F.when(F.col("key") < 20, F.lit(-1)).otherwise(F.col("key")))
-    split = split_groups(many, ["key"], ["day", "id"], 15)
-    sizes = [r["__rows"] for r in split.parts().collect()]
-    assert sum(sizes) == 12_000 and max(sizes) <= 4 * 15
-    cut = number_rows(many, ["key"], ["day", "id"], "n", 15)
-    whole = number_rows(many, ["key"], ["day", "id"], "n", 10**9)
-    assert cut.exceptAll(whole).isEmpty() and cut.count() == 12_000
+def test_equal_order_values_are_cut_as_well(spark):
+    same = spark.range(2000).select("id", F.lit(1).alias("key"), F.lit(5).alias("day"))
+    sizes = [r["__rows"] for r in ordered_parts(same, ["key"], ["day"], 10).sizes().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 600
+    assert sorted(r["n"] for r in number_rows(same, ["key"], ["day"], "n", 10).collect()) == list(range(1, 2001))
+    equal = spark.range(2000).select(F.lit(1).alias("key"), F.lit(5).alias("day"))
+    assert number_rows(equal, ["key"], ["day"], "n", 10).agg(F.countDistinct("n")).first()[0] == 2000
 
 
-def test_equal_order_values_can_not_be_cut_but_end(spark):
-    same = spark.range(200).select("id", F.lit(1).alias("key"), F.lit(5).alias("day"))
-    assert number_rows(same, ["key"], ["day"], "n", 10).agg(F.max("n")).first()[0] == 200
+def test_parts_do_not_depend_on_partitions(spark):
+    many = spark.range(5000).select("id", (F.col("id") % 2).alias("key"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("day"))
+    parts = [ordered_parts(d, ["key"], ["day"], 20).df.select("id", prefix_scan.PART) for d in (many, many.repartition(13))]
+    assert parts[0].exceptAll(parts[1]).isEmpty()
+
+
+def test_empty_table(df):
+    none = df.filter("id < 0")
+    assert number_rows(none, ["key"], ORDER).count() == number_rows(none, [], ORDER).count() == 0
+    assert fill_down_up(none, ["key"], ORDER, ["a"]).count() == 0
+
+
+def test_map_columns_take_no_part_in_the_tie(spark):
+    df = spark.range(5).select("id", F.create_map(F.lit("a"), "id").alias("m"))
+    assert sorted(r["row_number"] for r in number_rows(df, [], ["id"]).collect()) == [1, 2, 3, 4, 5]
 
 
 def jobs_of(spark, build):
     """How many Spark jobs run while a DataFrame is built."""
-    spark.sparkContext.setJobGroup("building", "")
+    group = f"building-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "")
     try:
         build()
-        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
@@ -102,35 +110,42 @@ def test_lookups_and_first_values_start_no_job(spark, df):
     assert jobs_of(spark, lambda: df.count()) > 0
 
 
-def test_without_hot_keys_the_plan_is_the_plain_window(df, plan_of):
-    plan = plan_of(number_rows(df, ["key"], ORDER))
-    assert "Window" in plan and "Join" not in plan
+def test_ordered_windows_start_no_job(spark, df):
+    for build in (lambda: number_rows(df, ["key"], ORDER), lambda: number_rows(df, [], ORDER), lambda: fill_from_previous(df, ["key"], ORDER, ["a"]),
+                  lambda: fill_down_up(df, ["key"], ORDER, ["a", "b"]), lambda: collapse_text(df, ["key"], "b", ORDER, "t")):
+        assert jobs_of(spark, build) == 0
+
+
+@pytest.fixture(params=[2, 32])
+def sample(request, monkeypatch):
+    """Few sampled rows for a part make many small and uneven parts."""
+    monkeypatch.setattr(prefix_scan, "SAMPLE_PER_PART", request.param)
 
 
-@pytest.mark.parametrize("limit", [CUT, 5, 100_000])
-def test_number_rows(df, rows, limit):
+@pytest.mark.parametrize("parts", [PARTS, 200, 1])
+def test_number_rows(df, rows, parts, sample):
     expected = {r[3]: (n,) for g in ordered_groups(rows).values() for n, r in enumerate(g, 1)}
-    assert by_id(number_rows(df, ["key"], ORDER, "n", limit), "n") == expected
+    assert by_id(number_rows(df, ["key"], ORDER, "n", parts), "n") == expected
 
 
-@pytest.mark.parametrize("limit", [CUT, 100_000])
-def test_number_rows_of_whole_table(df, rows, limit):
+@pytest.mark.parametrize("parts", [PARTS, 200, 1])
+def test_number_rows_of_whole_table(df, rows, parts, sample):
     expected = {r[3]: (n,) for n, r in enumerate(ordered_groups(rows, False)[None], 1)}
-    assert by_id(number_rows(df, [], ORDER, "n", limit), "n") == expected
+    assert by_id(number_rows(df, [], ORDER, "n", parts), "n") == expected
 
 
-@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
-def test_fill_from_previous(df, rows, limit):
+@pytest.mark.parametrize("parts", [PARTS, 200, 1])
+def test_fill_from_previous(df, rows, parts, sample):
     expected = {}
     for group in ordered_groups(rows).values():
         for i, r in enumerate(group):
             before = group[i - 1] if i else (None,) * 6
             expected[r[3]] = tuple(r[c] if r[c] is not None else before[c] for c in (4, 5))
-    assert by_id(fill_from_previous(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+    assert by_id(fill_from_previous(df, ["key"], ORDER, ["a", "b"], parts), "a", "b") == expected
 
 
-@pytest.mark.parametrize("limit", [CUT, 3, 100_000])
-def test_fill_down_up(df, rows, limit):
+@pytest.mark.parametrize("parts", [PARTS, 200, 1])
+def test_fill_down_up(df, rows, parts, sample):
     expected = {}
     for group in ordered_groups(rows).values():
         for i, r in enumerate(group):
@@ -138,7 +153,7 @@ def test_fill_down_up(df, rows, limit):
                 near = [g[c] for g in reversed(group[:i + 1]) if g[c] is not None] + [g[c] for g in group[i:] if g[c] is not None]
                 return near[0] if near else None
             expected[r[3]] = (fill(4), fill(5))
-    assert by_id(fill_down_up(df, ["key"], ORDER, ["a", "b"], limit), "a", "b") == expected
+    assert by_id(fill_down_up(df, ["key"], ORDER, ["a", "b"], parts), "a", "b") == expected
 
 
 @pytest.mark.parametrize("order", [ORDER, ["day", "rank", "id"]])
@@ -153,15 +168,15 @@ def test_fill_first(df, rows, order):
     assert by_id(fill_first(df, ["key"], order, ["a", "b"]), "a", "b") == expected
 
 
-@pytest.mark.parametrize("limit", [CUT, 100_000])
-def test_collapse_text_in_parts_and_whole(df, rows, limit):
+@pytest.mark.parametrize("parts", [PARTS, 200, 1])
+def test_collapse_text_in_parts_and_whole(df, rows, parts, sample):
     groups = ordered_groups(rows)
-    whole = {r["key"]: r["t"] for r in collapse_text(df, ["key"], "b", ORDER, "t", "|", None, limit).collect()}
+    whole = {r["key"]: r["t"] for r in collapse_text(df, ["key"], "b", ORDER, "t", "|", None, parts).collect()}
     assert whole == {k: "|".join(r[5] or "NA" for r in g) for k, g in groups.items()}
-    parts = collapse_text(df, ["key"], "b", ORDER, "t", "|", 10, limit).collect()
-    assert max(p["t"].count("|") for p in parts) == 9
+    texts_of = collapse_text(df, ["key"], "b", ORDER, "t", "|", 10, parts).collect()
+    assert max(p["t"].count("|") for p in texts_of) == 9
     for key, group in groups.items():
-        texts = [p["t"] for p in sorted((p for p in parts if p["key"] == key), key=lambda p: p["part"])]
+        texts = [p["t"] for p in sorted((p for p in texts_of if p["key"] == key), key=lambda p: p["part"])]
         assert "|".join(texts) == "|".join(r[5] or "NA" for r in group)
 
 
