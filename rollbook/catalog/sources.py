@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -11,6 +12,7 @@ from ..names import col
 from ..operators.reshape import nested_field
 from ..session import scratch_path
 from ..sources import delimited, files, nested, stages
+from ..sources.splits import file_system
 from .registry import query, table
 
 ROWS_PER_FILE = 1_000_000
@@ -80,33 +82,38 @@ def src_filename_columns(spark, sf_dir):
                                                   F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-def land_zips(lines: DataFrame, header: str, label: str, members: int = 2) -> str:
-    """Write the lines to zip files of several members, each under a header line. Tasks make the archives as bytes and
-    Spark's file system writes them, so the path may be on any store and needs no scheme."""
-    spark = lines.sparkSession
-    path = scratch_path(spark, label)
+ROWS_PER_ZIP, ROWS_PER_MEMBER = 100_000, 1_000
+
+
+def land_zips(lines: DataFrame, key: str, header: str, label: str) -> str:
+    """Write the lines, which have a `value` and an integer key, to zip files of many members, each under a header line. A
+    file holds a range of keys, so that a task run again writes the same bytes. Returns the folder."""
+    path = scratch_path(lines.sparkSession, label)
 
     def pack(batches: Iterator) -> Iterator:
-        import io
         import zipfile
 
-        import pandas as pd
-
-        values = [v for batch in batches for v in batch["value"]]
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            for m in range(members):
-                archive.writestr(f"{m}.csv", "\n".join([header, *values[m::members]]) + "\n")
-        yield pd.DataFrame({"content": [buffer.getvalue()]})
-
-    packed = lines.repartition(4).mapInPandas(pack, "content binary")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for i, row in enumerate(packed.toLocalIterator()):  # a few small deliveries, made for this query
-        out = system.create(hadoop.Path(target, f"DELIVERY 2024-01-{i:05d}.zip"))
-        out.write(row["content"])
-        out.close()
+        import pyarrow as pa
+
+        system, folder = file_system(path if ":" in path.split("/")[0] else "file:" + path)
+        system.create_dir(folder, recursive=True)
+
+        def members():
+            for batch in batches:
+                yield from zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist(), batch.column("value").to_pylist())
+
+        for archive, rows in groupby(members(), lambda r: r[0]):
+            with system.open_output_stream(f"{folder}/DELIVERY 2024-01-{archive:05d}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as file:
+                for member, rows_of in groupby(rows, lambda r: r[1]):
+                    with file.open(f"{member}.csv", "w") as text:
+                        text.write((header + "\n").encode())
+                        for _, _, value in rows_of:
+                            text.write((value + "\n").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([archive], pa.int64())], names=["archive"])
+
+    rows = lines.select(F.floor(col(key) / ROWS_PER_ZIP).alias("archive"), F.floor(col(key) / ROWS_PER_MEMBER).alias("member"), col(key).alias("key"), "value")
+    packed = rows.repartition("archive").sortWithinPartitions("archive", "member", "key").mapInArrow(pack, "archive long")
+    packed.write.format("noop").mode("overwrite").save()
     return path
 
 
@@ -115,12 +122,12 @@ def land_zips(lines: DataFrame, header: str, label: str, members: int = 2) -> st
                  nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer""")
 def src_zip_delim_na_tokens(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    words = customer.select(F.to_csv(F.struct(
+    words = customer.select("c_custkey", F.to_csv(F.struct(
         "c_custkey", "c_name",
         F.when(col("c_nationkey") == 0, F.lit("Niet toegewezen")).otherwise(col("c_nationkey").cast("string")).alias("n"),
         F.when(col("c_acctbal") < 0, F.lit("#")).otherwise(col("c_acctbal").cast("string")).alias("b"),
         F.when(col("c_mktsegment") == "BUILDING", F.lit("NA")).otherwise(col("c_mktsegment")).alias("s"))).alias("value"))
-    path = land_zips(words, "key,name,nation,balance,segment", "zips")
+    path = land_zips(words, "c_custkey", "key,name,nation,balance,segment", "zips")
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
                            T.StructField("c_mktsegment", T.StringType())])

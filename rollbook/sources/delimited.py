@@ -2,55 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.strings import format_european_number, parse_european_number, trim_all
 from ..names import col, cols
-from .files import decode_path, list_files
-
-SOURCE_ORDER = ["source_file", "source_block", "source_line"]
-_LINES = "source_file string, source_block long, source_line long, value string"
-
-
-def read_lines_after(spark: SparkSession, paths: str | Sequence[str], skip: int) -> DataFrame:
-    """Lines of the files without the first `skip` of each, with their place in the source.
-
-    Files of any size are read in splits. Only the split that starts a file holds its first
-    lines: those splits are numbered by their tasks, line by line. All others stay in the JVM, where a running number
-    keeps the order of a task's lines; it grows along each split. `SOURCE_ORDER` restores the order of the lines.
-    """
-    lines = (spark.read.option("recursiveFileLookup", "true").text(paths)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("block")))
-    later = lines.filter("block > 0").select(col("path").alias("source_file"), col("block").alias("source_block"),
-                                             F.monotonically_increasing_id().alias("source_line"), "value")
-
-    def drop_first(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        seen: dict[tuple[str, int], int] = {}
-        for batch in batches:
-            path = batch.column("path").to_numpy(zero_copy_only=False)
-            block = batch.column("block").to_numpy(zero_copy_only=False)
-            new_split = np.ones(batch.num_rows, dtype=bool)
-            new_split[1:] = (path[1:] != path[:-1]) | (block[1:] != block[:-1])
-            starts = np.flatnonzero(new_split)
-            place = np.empty(batch.num_rows, dtype=np.int64)
-            for start, end in zip(starts, np.append(starts[1:], batch.num_rows)):
-                split = (path[start], int(block[start]))
-                first = seen.get(split, 0)
-                place[start:end] = np.arange(first, first + end - start)
-                seen[split] = first + int(end - start)
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("path"), batch.column("block"), pa.array(place), batch.column("value")],
-                names=["source_file", "source_block", "source_line", "value"])
-            yield out.filter(pa.array(place >= skip))
-
-    kept = lines.filter("block = 0").mapInArrow(drop_first, _LINES).unionByName(later)
-    return kept.withColumn("source_file", decode_path(col("source_file")))
+from .encoding import repair_encoding, windows_signs
+from .splits import SPLIT_BYTES, read_lines
+from .zips import read_zip_lines
+
+SOURCE_ORDER = ["source_file", "source_offset"]
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
@@ -75,10 +37,11 @@ def _typed(c: Column, kind: T.DataType) -> Column:
 
 
 def read_csv_after(spark: SparkSession, paths: str | Sequence[str], skip: int, schema: T.StructType,
-                   sep: str = ",", na: Sequence[str] = ("", "NA")) -> DataFrame:
-    """Many delimited exports with `skip` lines above the data, as one table with the place of
-    each row in its source. A value may not hold a line break."""
-    lines = read_lines_after(spark, paths, skip).filter(F.trim("value") != "")
+                   sep: str = ",", na: Sequence[str] = ("", "NA"), repair: bool = False,
+                   split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Many delimited exports with `skip` lines above the data, as one table with the place of each row in its source: its
+    file and byte offset. Files are read in splits, each byte once. A value may not hold a line break. `repair` as in `read_lines`."""
+    lines = read_lines(spark, paths, skip, repair=repair, split_bytes=split_bytes).filter(F.trim("value") != "")
     return parse_lines(lines, schema, sep, na, keep=SOURCE_ORDER)
 
 
@@ -87,15 +50,17 @@ def year_columns(df: DataFrame, year: str, data: str, years: Sequence[int]) -> D
     return df.withColumns({str(y): F.when(col(year) == y, col(data)) for y in years}).drop(data)
 
 
-def read_european_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
-    """";" as separator, "," as decimal mark, "." as grouping mark, blanks trimmed."""
+def read_european_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8", repair: bool = False) -> DataFrame:
+    """";" as separator, "," as decimal mark, "." as grouping mark, blanks trimmed. With `repair` the file may mix encodings:
+    values that are UTF-8 are read as such, also if they were taken for Latin-1 once before, all others as Windows' Latin-1; columns then go by their place, not by the header."""
+    encoding = "ISO-8859-1" if repair else encoding
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = (spark.read.schema(text).option("sep", ";").option("header", "true").option("encoding", encoding)
            .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
-           .option("enforceSchema", "false").csv(path))
+           .option("enforceSchema", str(repair).lower()).csv(path))
     out = []
     for f in schema:
-        c = trim_all(col(f.name))
+        c = trim_all(windows_signs(repair_encoding(repair_encoding(col(f.name)))) if repair else col(f.name))
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = parse_european_number(c).cast(f.dataType)
         elif not isinstance(f.dataType, T.StringType):
@@ -112,57 +77,6 @@ def write_european_csv(df: DataFrame, path: str, na: str = "") -> None:
      .option("emptyValue", "").csv(path))
 
 
-def read_zip_lines(spark: SparkSession, folder: str, pattern: str = r"\.zip$",
-                   encoding: str = "utf-8") -> DataFrame:
-    """Lines of the delimited files inside zip files: (source_file, source_member, source_line, value), numbered in
-    each member from 0.
-
-    Spark shares out the zip paths; each task streams its archive through the file system of
-    the path in batches, so an archive is never held whole in a row or in memory. A zip can
-    not be split: put large deliveries in several zips.
-    """
-    paths = list_files(spark, folder, pattern).select("path")
-    parallel = spark.sparkContext.defaultParallelism
-    batch_lines = 20_000
-
-    def unzip(batches: Iterator) -> Iterator:
-        import io
-        import zipfile
-        from urllib.parse import quote
-
-        import pyarrow as pa
-        from pyarrow import fs
-
-        def open_path(path: str):
-            if path.startswith("file:"):
-                return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-            system, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
-            return system.open_input_file(inner)
-
-        def emit(path, member, first, lines):
-            n = len(lines)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([path] * n), pa.array([member] * n), pa.array(range(first, first + n), pa.int64()),
-                 pa.array(lines, pa.string())], names=["source_file", "source_member", "source_line", "value"])
-
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                with open_path(path) as stream, zipfile.ZipFile(stream) as archive:
-                    for member in sorted(n for n in archive.namelist() if not n.endswith("/")):
-                        with archive.open(member) as raw:
-                            place, lines = 0, []
-                            for line in io.TextIOWrapper(raw, encoding=encoding, newline=None):
-                                lines.append(line.rstrip("\n"))
-                                if len(lines) == batch_lines:
-                                    yield emit(path, member, place, lines)
-                                    place, lines = place + len(lines), []
-                            if lines:
-                                yield emit(path, member, place, lines)
-
-    return paths.repartition(parallel).mapInArrow(
-        unzip, "source_file string, source_member string, source_line long, value string")
-
-
 def read_zip_csv(spark: SparkSession, folder: str, schema: T.StructType, sep: str = ",",
                  na: Sequence[str] = ("", "NA", "#"), pattern: str = r"\.zip$") -> DataFrame:
     """Zipped delimited files, each member with a header line, several words for missing values, and a type
