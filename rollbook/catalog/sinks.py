@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..names import col
 from ..session import scratch_path
-from ..sinks import payloads, tables
+from ..sinks import keyed, payloads, tables
 from ..sources import delimited, stages
 from .registry import query, table
 
@@ -17,9 +17,10 @@ from .registry import query, table
 def sink_stage_write(spark, sf_dir):
     place = stages.Stages(scratch_path(spark, "sink"))
     supplier = table(spark, sf_dir, "supplier")
+    place.write(supplier.limit(0), "suppliers", "read", formats=("parquet", "csv"))  # to be replaced
     place.write(supplier, "suppliers", "read", formats=("parquet", "csv"))
     parquet = place.read(spark, "suppliers", "prepare")
-    csv = delimited.read_european_csv(spark, place.path("suppliers", "read") + ".csv", supplier.schema)
+    csv = delimited.read_european_csv(spark, tables.current(spark, place.path("suppliers", "read") + ".csv"), supplier.schema)
     return parquet.withColumn("written", F.lit("parquet")).unionByName(csv.withColumn("written", F.lit("csv")))
 
 
@@ -44,7 +45,7 @@ def sink_send_rows(spark, sf_dir):
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def sink_object_store(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return spark.read.parquet(tables.write_to_store(orders, scratch_path(spark, "store"), "finance", "orders"))
+    return spark.read.parquet(tables.current(spark, tables.write_to_store(orders, scratch_path(spark, "store"), "finance", "orders")))
 
 
 @query("""SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"'
@@ -62,5 +63,6 @@ def sink_keyed_upsert(spark, sf_dir):
     old = customer.filter((col("c_acctbal") < 0) | (col("c_mktsegment") != "BUILDING")).select("c_custkey", "c_name")
     new = customer.filter(col("c_acctbal") < 0).select("c_custkey", F.lit("replaced").alias("c_name"))
     path = scratch_path(spark, "log")
-    tables.write_table(tables.upsert(old, new, "c_custkey"), path)
-    return spark.read.parquet(path)
+    keyed.create_keyed(old, path, "c_custkey", buckets=16)
+    keyed.upsert_keyed(new, path)
+    return keyed.read_keyed(spark, path)

@@ -28,8 +28,9 @@ class Stages:
         return "/".join([self.base.rstrip("/"), (folder or self.folders[stage]).strip("/"), name])
 
     def read(self, spark: SparkSession, name: str, stage: str, folder: str | None = None) -> DataFrame:
-        """A dataset as the given stage sees it: from the folder that stage reads."""
-        return spark.read.parquet(self.path(name, READS_FROM[stage], folder))
+        """A dataset as the given stage sees it: from the folder that stage reads, the version published there."""
+        from ..sinks.tables import current
+        return spark.read.parquet(current(spark, self.path(name, READS_FROM[stage], folder)))
 
     def write(self, df: DataFrame, name: str, stage: str, formats: Sequence[str] = ("parquet",),
               folder: str | None = None) -> None:
@@ -42,7 +43,8 @@ class Stages:
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  require_rows: bool = True) -> DataFrame:
     """Parquet with only the columns asked for; an empty table raises."""
-    df = spark.read.parquet(path)
+    from ..sinks.tables import current
+    df = spark.read.parquet(current(spark, path))
     df = df.select(*cols(columns)) if columns else df
     if require_rows and df.isEmpty():
         raise ValueError(f"no rows in {path}")
