@@ -211,18 +211,25 @@ def src_nested_activities(spark, sf_dir):
                        list_sum(nested_field(kept, "ter_events", "activityDurationMins")).alias("minutes"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS unl_custid, c_name AS unl_name, "
-       "CAST(c_nationkey AS VARCHAR) AS _unl_nation_value FROM customer")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS unl_custid, c_name AS unl_name, CAST(c_nationkey AS VARCHAR) AS _unl_nation_value,
+                 dense_rank() OVER (ORDER BY c_custkey // 500) - 1 AS page,
+                 CAST(row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) - 1 AS INTEGER) AS page_row FROM customer""")
 def src_json_pages(spark, sf_dir):
-    record = F.struct(F.concat(F.lit("W/"), col("c_custkey")).alias("@odata.etag"),
+    record = F.struct(col("c_custkey").alias("key"), F.concat(F.lit("W/"), col("c_custkey")).alias("@odata.etag"),
                       col("c_custkey").cast("string").alias("unl_custid"), col("c_name").alias("unl_name"),
                       col("c_nationkey").cast("string").alias("_unl_nation_value"), col("c_acctbal").alias("balance"))
-    # customer keys are unique, so a page holds at most 500 records
+    # customer keys are unique, so a page holds at most 500 records; the addresses are in no order
     pages = (table(spark, sf_dir, "customer").groupBy(F.floor(col("c_custkey") / 500).alias("page"))
-             .agg(F.collect_list(record).alias("value"))
-             .select("value", F.concat(F.lit("next?page="), col("page") + 1).alias("@odata.nextLink")))
+             .agg(F.array_sort(F.collect_list(record)).alias("value")))
+    following = pages.select((col("page") - 1).alias("page"), F.lit(True).alias("more"))
+
+    def link(page):
+        return F.concat(F.lit("feed?skiptoken="), F.md5(page.cast("string")))
+
+    pages = pages.join(following, "page", "left").select("value", link(col("page")).alias("asked"),
+                                                         F.when(col("more"), link(col("page") + 1)).alias("@odata.nextLink"))
     path = scratch_path(spark, "pages")
     pages.write.option("maxRecordsPerFile", 1).json(path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in
                            ("@odata.etag", "unl_custid", "unl_name", "_unl_nation_value", "balance")])
-    return nested.read_json_pages(spark, path, schema)
+    return nested.read_json_pages(spark, path, schema, address="asked", place=True)

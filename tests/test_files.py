@@ -152,6 +152,43 @@ def test_json_pages(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=repr) == [("1", "a"), ("2", None)]
 
 
+RECORD = T.StructType([T.StructField("unl_id", T.StringType()), T.StructField("x", T.StringType())])
+
+
+def land_pages(folder, links, records=2):
+    for i, (asked, following) in enumerate(links):
+        page = {"asked": asked, "value": [{"unl_id": f"{asked}{r}", "x": "-"} for r in range(records)], "@odata.nextLink": following}
+        write(folder / f"{i}.json", json.dumps(page))
+
+
+def test_pages_are_followed_in_the_order_of_the_links(spark, tmp_path):
+    names = [f"p{(i * 7) % 23}" for i in range(23)]
+    land_pages(tmp_path, sorted(zip(names, [*names[1:], None])))
+    got = nested.read_json_pages(spark, str(tmp_path), RECORD, address="asked", place=True)
+    assert got.columns == ["page", "page_row", "unl_id"]
+    assert [r["unl_id"] for r in got.orderBy("page", "page_row").collect()] == [f"{n}{r}" for n in names for r in range(2)]
+    assert nested.read_json_pages(spark, str(tmp_path), RECORD, address="asked").count() == 46
+
+
+@pytest.mark.parametrize("links, wrong", [
+    ([("a", "b"), ("b", "c")], "c is missing"), ([("a", "b"), ("c", None)], "b is missing"),
+    ([("a", "b"), ("b", None), ("b", None)], "b is there twice"), ([("a", "b"), ("b", "a")], "cycle"),
+    ([("a", "b"), ("b", "a"), ("c", None)], "cycle"), ([("a", None), ("b", None)], "chains"), ([("a", "c"), ("b", "c"), ("c", None)], "chains"),
+    ([(None, None)], "no address")])
+def test_a_landing_that_lacks_or_repeats_a_page_raises(spark, tmp_path, links, wrong):
+    land_pages(tmp_path, links)
+    with pytest.raises(ValueError, match=wrong):
+        nested.read_json_pages(spark, str(tmp_path), RECORD, address="asked")
+
+
+def test_chains_of_one_page_and_none(spark, tmp_path):
+    land_pages(tmp_path, [("a", None)])
+    assert [tuple(r) for r in nested.read_json_pages(spark, str(tmp_path), RECORD, address="asked", place=True).collect()] == [(0, 0, "a0"), (0, 1, "a1")]
+    assert nested.chain_positions(spark.createDataFrame([], "node string, next string")).count() == 0
+    with pytest.raises(ValueError, match="no order"):
+        nested.read_json_pages(spark, str(tmp_path), RECORD, place=True)
+
+
 def test_stages_and_empty_tables(spark, tmp_path):
     place = stages.Stages(str(tmp_path))
     df = spark.range(3)

@@ -321,3 +321,43 @@ def test_pivots_raise_for_labels_that_are_not_listed(spark):
     kept = reshape.pivot_wide(df, ["id"], "label", "v", ["a", "b"], others="drop")
     assert sorted(map(tuple, kept.collect())) == [(1, 1, 2), (2, None, None)]
     assert reshape.pivot_wide(df, ["id"], "label", "v", ["a", "b", "c"]).count() == 2
+
+
+# contained names ----------------------------------------------------------------------------
+
+def test_contained_names_against_all_pairs(spark):
+    import random
+    dice = random.Random(5)
+    names = ["".join(dice.choice("abcé😀 ") for _ in range(dice.randrange(30))) for _ in range(200)] + [None, "", "a" * 3000]
+    needles = [n[i:i + dice.randrange(1, 14)] for n in names if n for i in [dice.randrange(len(n))]] + ["zz", "abcabcabcabc", "", None, "a" * 2000]
+    held = spark.createDataFrame([(n,) for n in names], "name string")
+    wanted = spark.createDataFrame([(n,) for n in needles], "needle string")
+    expected = sorted(n for n in needles if n and any(m and n in m for m in names))
+    assert sorted(r[0] for r in contains.keep_contained(wanted, "needle", held, "name").collect()) == expected
+    got = contains.replace_by_contained(held, "name", wanted, "needle", "out").collect()
+    assert len(got) == len(names)
+    for r in got:
+        found = [n for n in needles if n and r["name"] and n in r["name"]]
+        assert r["out"] == (min(found, key=lambda n: n.encode()) if found else r["name"])
+
+
+def test_names_are_spread_to_lengths_that_occur_only(spark):
+    names = spark.createDataFrame([(f"programme number {i}",) for i in range(20)], "name string")
+    long = spark.createDataFrame([("number 1",), ("programme number 7",)], "needle string")
+    wanted = contains._needles(long, "needle")
+    spread = contains.spread_names(names, "name", wanted)
+    assert {r[0] for r in spread.select("__size").distinct().collect()} == {8}
+    assert spread.count() <= sum(len(f"programme number {i}") - 7 for i in range(20))
+    # the run that few names have stands for the long needle
+    anchors = {r["__piece"]: r["__run"] for r in contains._anchors(wanted, spread).collect()}
+    assert anchors == {"number 1": "number 1", "programme number 7": "number 7"}
+    assert contains.spread_names(names, "name", contains._needles(long.limit(0), "needle")).count() == 0
+
+
+def test_a_needle_of_one_letter_is_known_without_pairs(spark, plan_of):
+    names = spark.createDataFrame([(f"e{i}",) for i in range(50)], "name string")
+    needles = spark.createDataFrame([("e",), ("x",)], "needle string")
+    wanted = contains._needles(needles, "needle")
+    spread = contains.spread_names(names, "name", wanted)
+    assert contains._pairs(spread, contains._anchors(wanted, spread).filter("__run <> __piece")).count() == 0
+    assert [r[0] for r in contains.keep_contained(needles, "needle", names, "name").collect()] == ["e"]
