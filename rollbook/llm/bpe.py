@@ -4,18 +4,21 @@ For every prefix of a word the last token of its encoding is unique: among the v
 by a suffix automaton) it is the one that BPE never merges with the last token of the prefix before it. Back-pointers
 from the whole word give the exact ids. Two tokens are tested for that by undoing their merges from the last to the first.
 
-Missing and empty texts give no ids; repeated rows are encoded each; other columns are not read. A task keeps the
-encodings of at most `CACHED_WORDS` words and `CACHED_RUNS` runs of words, then starts anew: that bounds memory and changes no result.
+Missing and empty texts give no ids; repeated rows are encoded each; other columns are not read. A task keeps what it
+encoded, by runs and words, up to about `CACHED_BYTES`, then starts anew: that bounds memory and changes no result.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Sequence
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,8 +26,9 @@ from .common import keyed_text, per_text
 from .suffix_automaton import SuffixAutomaton
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 200_000
-CACHED_RUNS = 400_000
+LONGEST_CACHED_WORD = 64
+CACHED_BYTES = 128 << 20
+RUN_BYTES = 150  # about what a run takes besides its characters and ids
 CACHED_PAIRS = 500_000
 LAST = 0x1000  # added to the last character of a word, which stands for the character with the end mark
 
@@ -124,7 +128,7 @@ class Encoder:
 class Bounded(dict):
     """Computes missing entries; starts anew after so many, which bounds memory."""
 
-    def __init__(self, compute, most: int = CACHED_WORDS):
+    def __init__(self, compute, most: int):
         super().__init__()
         self.compute, self.most = compute, most
 
@@ -147,40 +151,108 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.encoder = Encoder(model["vocab"], merges)
+        self.text = self.encoder.text | {i: t for t, i in self.special.items()}
+        self.bytes = {i: t.encode() for i, t in self.text.items()}
         self.letters = byte_letters()
-        self.words = Bounded(self.word)
-        self.runs = Bounded(self.run, CACHED_RUNS)
 
     def word(self, word: str) -> list[int]:
-        letters = word.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+        # printable ASCII stands for its own bytes
+        letters = word if word.isascii() and word.isprintable() else word.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
         return self.encoder.word(with_end(letters))
 
-    def run(self, run: str) -> tuple[list[int], str]:
-        """Ids of a run without white space, and what they decode to."""
-        ids = list(chain.from_iterable(map(self.words.__getitem__, PIECES.findall(run))))
-        return ids, self.decode(ids)
+    def pieces(self, run: str) -> list[str]:
+        return [run] if run.isascii() and run.isalpha() else PIECES.findall(run)
+
+    def run(self, run: str | tuple[str]) -> list[int]:
+        """Ids of a run without white space, or of a special token."""
+        if isinstance(run, tuple):
+            return [self.special[run[0]]]
+        return list(chain.from_iterable(map(self.word, self.pieces(run))))
 
     def forget(self) -> None:
-        self.words.clear()
-        self.runs.clear()
         self.encoder.pairs.clear()
 
     def decode(self, ids: Sequence[int]) -> str:
-        return " ".join(map(self.encoder.text.__getitem__, ids))
+        return " ".join(map(self.text.__getitem__, ids))
+
+    def runs(self, text: str) -> list[str | tuple[str]]:
+        """The runs of a text in order; special tokens come as a tuple."""
+        if self.parts is None or not any(s in text for s in self.special):
+            return self.plain_runs(text)
+        found: list[str | tuple[str]] = []
+        for part in self.parts.split(text):
+            found += [(part,)] if part in self.special else self.plain_runs(part)
+        return found
+
+    @staticmethod
+    def plain_runs(text: str) -> list[str]:
+        # lower-casing goes letter by letter, so a final sigma is no special case
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # str.split() also cuts at the four control characters below, which the pieces' pattern does not
+        return SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def encode(self, text: str) -> tuple[list[int], str]:
-        found: list[tuple[list[int], str]] = []
-        split = self.parts is not None and any(s in text for s in self.special)
-        for part in self.parts.split(text) if split else [text]:
-            if split and part in self.special:
-                found.append(([self.special[part]], part))
-                continue
-            # lower-casing goes letter by letter, so a final sigma is no special case
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            # str.split() also cuts at the four control characters below, which the pieces' pattern does not
-            runs = SPACE.split(part) if any(c in part for c in "\x1c\x1d\x1e\x1f") else part.split()
-            found += map(self.runs.__getitem__, runs)
-        return list(chain.from_iterable([f[0] for f in found])), " ".join([f[1] for f in found if f[0]])
+        ids = list(chain.from_iterable(map(self.run, self.runs(text))))
+        return ids, self.decode(ids)
+
+
+class RunCache:
+    """Runs that a task has met, each with its number; their ids and decoded texts lie one after the other, so that a batch
+    is put together from run numbers by Arrow, without a Python object for each token."""
+
+    def __init__(self, codec: Codec, most: int = CACHED_BYTES):
+        self.codec, self.most = codec, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str | tuple[str], int] = {}
+        self.ids, self.id_ends = array("i"), array("q", [0])
+        self.texts, self.text_ends = bytearray(), array("q", [0])
+        self.size = 0
+
+    def add(self, run: str | tuple[str]) -> int:
+        """A number for a run; of several words each has a number of its own, if it is short."""
+        codec, known = self.codec, self.number
+        pieces = codec.pieces(run) if isinstance(run, str) else []
+        if len(pieces) < 2:
+            ids = codec.word(run) if pieces == [run] else codec.run(run)
+        else:
+            ids = []
+            for piece in pieces:
+                if len(piece) > LONGEST_CACHED_WORD:
+                    ids += codec.word(piece)
+                else:
+                    at = known.get(piece)
+                    at = self.add(piece) if at is None else at
+                    ids += self.ids[self.id_ends[at]:self.id_ends[at + 1]]
+        self.ids.extend(ids)
+        self.id_ends.append(len(self.ids))
+        self.texts += b" ".join(map(codec.bytes.__getitem__, ids))
+        self.text_ends.append(len(self.texts))
+        self.size += RUN_BYTES + 4 * len(run) + 12 * len(ids)
+        known[run] = found = len(known)
+        return found
+
+    def encode(self, texts: Sequence[str]) -> tuple[pa.Array, pa.Array]:
+        """(token ids, decoded text) of every text."""
+        if self.size > self.most:
+            self.clear()
+        known, add, numbers, ends = self.number.get, self.add, array("q"), array("q", [0])
+        for text in texts:
+            numbers.extend([n if (n := known(run)) is not None else add(run) for run in self.codec.runs(text)])
+            ends.append(len(numbers))
+        runs, ends = np.array(numbers, np.int64), np.array(ends, np.int64)
+        id_ends = np.array(self.id_ends, np.int64)
+        lengths = np.diff(id_ends)[runs]
+        held = pa.ListArray.from_arrays(pa.array(id_ends, pa.int32()), pa.array(np.array(self.ids, np.int32)))
+        each = np.append(0, np.cumsum(lengths))
+        ids = pa.ListArray.from_arrays(pa.array(each[ends], pa.int32()), held.take(pa.array(runs)).flatten())
+        # runs without ids give no text, so they must not give a blank either
+        some = lengths > 0
+        places = np.append(0, np.cumsum(some))[ends]
+        held = pa.Array.from_buffers(pa.large_binary(), len(self.number), [None, pa.py_buffer(np.array(self.text_ends, np.int64)), pa.py_buffer(bytes(self.texts))])
+        parts = pa.ListArray.from_arrays(pa.array(places, pa.int32()), held.take(pa.array(runs[some])))
+        return ids, pc.binary_join(parts, pa.scalar(b" ", pa.large_binary())).cast(pa.string())
 
 
 _codecs: dict[str, Codec] = {}
@@ -202,10 +274,10 @@ def encode(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
 
     def make():
         used = codec(path)
+        cache = RunCache(used)
 
         def work(ids, texts):
-            found = [used.encode(t) for t in texts]
-            return ids, [f[0] for f in found], [f[1] for f in found]
+            return ids, *cache.encode(texts)
 
         work.done = used.forget
         return work

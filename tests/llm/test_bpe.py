@@ -42,10 +42,25 @@ def test_every_token_alone(library, codec):
 
 def test_caches_that_overflow_change_nothing(library, codec, monkeypatch):
     small = bpe.Codec(bpe.vocabulary_path())
-    small.words.most = small.runs.most = 3
     monkeypatch.setattr(bpe, "CACHED_PAIRS", 5)
-    for text in ("the quick brown fox jumps over the lazy dog the quick fox", "tokenization internationalization tokenization"):
+    cache = bpe.RunCache(small, 1000)
+    texts = ["the quick brown fox jumps over the lazy dog the quick fox", "tokenization internationalization tokenization", "", "the\x1c<|endoftext|>\x1cfox"] * 3
+    for text in texts:
         same(library, small, text)
+        ids, decoded = cache.encode([text, text])
+        assert ids.to_pylist() == [small.encode(text)[0]] * 2 and decoded.to_pylist() == [small.encode(text)[1]] * 2
+
+
+def test_long_unbroken_runs_are_bounded(library, codec):
+    """Base64 and texts without blanks: a run as long as its text, which no cache keeps beyond its bytes."""
+    dice = random.Random(4)
+    texts = ["".join(dice.choice("ABCDabcd0123+/") for _ in range(20_000)) for _ in range(6)] + ["日本語" * 5000, "a" * 20_000]
+    cache = bpe.RunCache(codec, 400_000)
+    for text in texts:
+        ids, decoded = cache.encode([text])
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids.to_pylist() == [expected] and decoded.to_pylist() == [library.decode(expected, skip_special_tokens=False)]
+        assert cache.size < 400_000 + 16 * len(text.encode()) + bpe.RUN_BYTES
 
 
 def test_rows(spark, library):
