@@ -2,14 +2,14 @@
 
 The base patterns mark spans of three kinds. From their values, written as character classes after the first letters, a prefix tree is built for
 each kind and its statistically compatible states are merged (ALERGIA: two states are compatible if all their relative
-frequencies, and those of the states that follow, agree within the Hoeffding bound). Every candidate (a run of at least
-`MIN_CANDIDATE` credential characters, letters and digits among them, outside the base spans) is scored by its log-likelihood per character under each
+frequencies, and those of the states that follow, agree within the Hoeffding bound). Every candidate (a run of credential
+characters outside the base spans, from the shortest learned value's length on) is scored by its log-likelihood per character under each
 automaton; one that is as typical as the kind's own credentials (its likelihood lies between their lower
 and upper `QUANTILE`: a run of one digit may be too likely) is a span `format-<kind>`. Base spans always stay.
 
-A task scans each text once; base spans and candidates are written to a table in the shared folder, as the automata are
-learned from it and applied to it. Learning takes at most `MAX_LEARNED` distinct values of a kind, those with the smallest
-hashes; scoring covers all candidates of whole texts. Missing and empty texts have no spans; repeated rows are scanned
+Texts are read twice, to learn and to score; the values of the base spans are written to a table in the shared folder between. Learning
+takes at most `MAX_LEARNED` distinct values of a kind, those with the smallest hashes; scoring covers all candidates of whole texts.
+What was scored is kept for at most `KEPT_RUNS` short runs in a task. Missing and empty texts have no spans; repeated rows are scanned
 each; other columns are not read. Offsets are code points, ends exclusive.
 """
 
@@ -19,16 +19,17 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import checkpointed, keyed_text, per_text
 
-MIN_CANDIDATE = 16
 MAX_LEARNED = 1000
+KEPT_RUNS = 200_000
+LONGEST_KEPT = 100
 ALPHA = 0.05
 QUANTILE = 0.01
 KINDS = ("assign", "access", "hex")
@@ -40,8 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # a quick test that every text with a match passes: lower-casing maps A-Z to a-z, whatever else it does
 KEYWORD = re.compile(r"passw|secret|token|api_?key")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CANDIDATE)
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -55,11 +55,25 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, base: Iterable[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs with a digit and a letter (digits alone are a number) that no base span touches, as (start, end, value)."""
-    taken = [(s[1], s[2]) for s in base]
-    found = [(*m.span(), m[0]) for m in CANDIDATE.finditer(text) if DIGIT.search(m[0]) and LETTER.search(m[0])]
-    return [c for c in found if not any(c[0] < end and start < c[1] for start, end in taken)] if taken else found
+def candidates(text: str, base: Iterable[tuple[str, int, int, str]], least: int) -> list[tuple[int, int]]:
+    """(start, end) of the runs, and of the parts of runs outside base spans, that are long enough."""
+    taken = sorted((start, end) for _, start, end, _ in base)
+    found = []
+    for run in CANDIDATE.finditer(text):
+        start, stop = run.span()
+        if stop - start < least:
+            continue
+        while taken and taken[0][1] <= start:
+            taken.pop(0)
+        for first, last in taken:
+            if first >= stop:
+                break
+            if first - start >= least:
+                found.append((start, first))
+            start = max(start, last)
+        if stop - start >= least:
+            found.append((start, stop))
+    return found
 
 
 LITERAL = 4  # formats begin with fixed letters; so many stand for themselves, the rest for their class
@@ -145,14 +159,18 @@ class Automaton:
             else:
                 settled.append(child)
 
-    def likelihood(self, value: str) -> float:
-        """Mean logarithm of the probability of each symbol and of the end; unseen ones have a small probability."""
-        state, total = 0, 0.0
-        known = True
-        for symbol in symbols(value):
+    def likelihood(self, value: str, least: float = -math.inf) -> float:
+        """Mean logarithm of the probability of each symbol and of the end; unseen ones have a small probability. As
+        soon as it can only be below `least`, -infinity."""
+        state, total, known = 0, 0.0, True
+        bound = least * (len(value) + 1)
+        for place, letter in enumerate(value[:LITERAL] + value[LITERAL:].translate(CLASSES)):
+            symbol = letter if place < LITERAL else letter + letter
             n = self.passed(state) if known else 0
             seen = self.counts[state][symbol] if known else 0
             total += math.log((seen + 0.01) / (n + 1))
+            if total < bound:
+                return -math.inf
             known = known and symbol in self.next[state]
             if known:
                 state = self.next[state][symbol]
@@ -161,21 +179,22 @@ class Automaton:
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-RUN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-SCANNED = pa.schema([("id", pa.int64()), ("base", pa.list_(SPAN)), ("runs", pa.list_(RUN))])
+SCANNED = pa.schema([("id", pa.int64()), ("spans", pa.list_(SPAN))])
 SPANS_DDL = "array<struct<kind:string,start:long,end:long,value:string>>"
 
 
-def _scan(ids, texts):
-    base = [base_spans(t) for t in texts]
-    runs = [candidates(t, b) for t, b in zip(texts, base)]
-    return (ids, [[dict(zip(("kind", "start", "end", "value"), s)) for s in b] for b in base],
-            [[dict(zip(("start", "end", "value"), r)) for r in rs] for rs in runs])
+@dataclass
+class Model:
+    """An automaton, the likelihoods that values of its kind lie between, and the shortest one's length."""
+
+    automaton: Automaton
+    low: float
+    high: float
+    least: int
 
 
-def learn(scanned: DataFrame, most: int = MAX_LEARNED) -> dict[str, tuple[Automaton, float, float]]:
-    """An automaton for each kind that occurs, and the likelihoods that values of the kind lie between."""
-    values = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.value").distinct()
+def learn(values: DataFrame, most: int = MAX_LEARNED) -> dict[str, Model]:
+    """A model for each kind that occurs among (kind, value)."""
     models = {}
     for kind in KINDS:
         of_kind = values.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(most)
@@ -183,38 +202,55 @@ def learn(scanned: DataFrame, most: int = MAX_LEARNED) -> dict[str, tuple[Automa
         if sample:
             automaton = Automaton(sample)
             low, high = np.quantile([automaton.likelihood(v) for v in sample], [QUANTILE, 1 - QUANTILE])
-            models[kind] = automaton, float(low), float(high)
+            models[kind] = Model(automaton, float(low), float(high), min(map(len, sample)))
     return models
 
 
+def best_kind(models: dict[str, Model], value: str) -> str | None:
+    """The kind whose automaton likes a value most, among those for which it is typical."""
+    scored = [(likely, k) for k, m in models.items() if len(value) >= m.least
+              and m.low <= (likely := m.automaton.likelihood(value, m.low)) <= m.high]
+    return max(scored)[1] if scored else None
+
+
+def _listed(spans: list[tuple[str, int, int, str]]) -> list[dict]:
+    return [dict(zip(("kind", "start", "end", "value"), s)) for s in spans]
+
+
+def _base(ids, texts):
+    return ids, [_listed(base_spans(t)) for t in texts]
+
+
+def _scan(models: dict[str, Model]):
+    def make():
+        known: dict[str, str | None] = {}
+        least = min((m.least for m in models.values()), default=0)
+
+        def kind_of(value: str) -> str | None:
+            if value in known:
+                return known[value]
+            kind = best_kind(models, value)
+            if len(value) <= LONGEST_KEPT:
+                if len(known) >= KEPT_RUNS:
+                    known.clear()
+                known[value] = kind
+            return kind
+
+        def spans(text: str) -> list[dict]:
+            base = base_spans(text)
+            more = [(f"format-{kind}", start, end, text[start:end]) for start, end in (candidates(text, base, least) if models else [])
+                    if (kind := kind_of(text[start:end]))]
+            return _listed(sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]) if s[0] in KINDS else len(KINDS), s[0], s[2])))
+
+        return lambda ids, texts: (ids, [spans(t) for t in texts])
+
+    return make
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each text: `spans`, an array of (kind, start, end, value) by start and then by kind."""
     keyed = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    scanned = checkpointed(per_text(keyed, lambda: _scan, SCANNED,
-                                    f"id long, base {SPANS_DDL}, runs array<struct<start:long,end:long,value:string>>"))
-    models = learn(scanned)
-    kinds = [k for k in KINDS if k in models]
-
-    @F.pandas_udf(SPANS_DDL)
-    def found(runs: pd.Series) -> pd.Series:
-        return runs.map(lambda rs: [{"kind": f"format-{best}", "start": r["start"], "end": r["end"], "value": r["value"]}
-                                    for r in rs if (best := best_kind(models, kinds, r["value"]))])
-
-    # most texts have no candidates left; those need no Python
-    more = scanned.filter(F.size("runs") > 0).withColumn("more", found("runs")) if kinds else None
-    without = scanned.filter(F.size("runs") == 0) if kinds else scanned
-    spans = without.select("id", F.col("base").alias("spans"))
-    if more is not None:
-        spans = spans.unionByName(more.select("id", F.concat("base", "more").alias("spans")))
-    order = F.array_sort(F.transform("spans", lambda s: F.struct(
-        s["start"].alias("start"), F.coalesce(F.nullif(F.array_position(F.lit(list(KINDS)), s["kind"]), F.lit(0)), F.lit(len(KINDS) + 1)).alias("place"),
-        s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))))
-    return spans.select(F.col("id").alias(id_col),
-                        F.transform(order, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
-                                                              s["end"].alias("end"), s["value"].alias("value"))).alias("spans"))
-
-
-def best_kind(models: dict[str, tuple[Automaton, float, float]], kinds: list[str], value: str) -> str | None:
-    """The kind whose automaton likes a value most, among those for which it is typical."""
-    scored = [(likely, k) for k in kinds if models[k][1] <= (likely := models[k][0].likelihood(value)) <= models[k][2]]
-    return max(scored)[1] if scored else None
+    ddl = f"id long, spans {SPANS_DDL}"
+    labelled = per_text(keyed, lambda: _base, SCANNED, ddl).select(F.explode("spans").alias("s")).select("s.kind", "s.value")
+    models = learn(checkpointed(labelled.distinct()))
+    return per_text(keyed, _scan(models), SCANNED, ddl).withColumnRenamed("id", id_col)

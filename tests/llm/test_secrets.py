@@ -51,6 +51,54 @@ def test_more_of_a_format_is_found(spark):
     assert all([s["kind"] for s in spans[i]] == ["access"] for i in range(300))
 
 
+def recall(spark, make, others):
+    """Share of planted values that are found where no pattern finds them, with 300 labelled ones, and false finds among other words."""
+    rows = [(i, f"the token = {make()} of {others[i % len(others)]}") for i in range(300)]
+    planted = {1000 + i: make() for i in range(200)}
+    rows += [(i, f"{others[i % len(others)]} see {v}, {others[i % 7]}") for i, v in planted.items()]
+    found = {r["doc_id"]: [s["value"] for s in r["spans"] if s["kind"].startswith("format-")] for r in sec.scan(documents(spark, rows)).collect()}
+    assert all(v in planted.values() for spans in found.values() for v in spans)
+    return sum(v in found[i] for i, v in planted.items()) / len(planted)
+
+
+def test_recall_of_planted_formats(spark):
+    """Short values, values of letters alone, of digits alone, and long ones: no length and no mixture is asked for."""
+    dice = random.Random(6)
+    words = ["internationalisation", "licence", "Programmes", "university", "1234", "reading", "tokens", "2021-2022", "of_the"]
+    for head, letters, n in (("tk", "bcdfghjklmnpqrstvwxz", 6), ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 20), ("77", "0123456789", 6), ("sk_", "abcdefghijklmnopqrstuvwxyz0123456789", 30)):
+        assert recall(spark, lambda: head + "".join(dice.choice(letters) for _ in range(n)), words) >= 0.9, head
+
+
+def test_candidates_against_a_plain_loop():
+    dice = random.Random(7)
+    parts = ["abc", "0123456789abcdef" * 2, "token=", " ", "é", "x_y-z", "AKIA" + "A" * 16, ".", "word", "=="]
+    for _ in range(2000):
+        text = "".join(dice.choice(parts) for _ in range(dice.randint(1, 10)))
+        spans = sec.base_spans(text)
+        inside = [any(s[1] <= i < s[2] for s in spans) or not re.match(r"[A-Za-z0-9+/_=-]", c) for i, c in enumerate(text)] + [True]
+        starts = [i for i in range(len(text)) if not inside[i] and (i == 0 or inside[i - 1])]
+        runs = [(i, inside.index(True, i)) for i in starts]
+        assert sec.candidates(text, spans, 4) == [r for r in runs if r[1] - r[0] >= 4], text
+
+
+def test_the_rest_of_a_run_with_a_base_span_is_scored(spark):
+    dice = random.Random(8)
+    key = lambda: "".join(dice.choice("0123456789abcdef") for _ in range(24))
+    rows = [(i, key()) for i in range(200)] + [(500, "_".join([key(), "QXQXQXQX" + "Z" * 30]))]
+    spans = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in sec.scan(documents(spark, rows)).collect()}
+    assert spans[500][0] == "hex" and "hex" in spans[0]
+
+
+def test_likelihood_stops_early_without_change():
+    dice = random.Random(9)
+    values = ["".join(dice.choice("abc123") for _ in range(8)) for _ in range(100)]
+    automaton = sec.Automaton(values)
+    for value in values + ["zzzzzzzz", "a" * 50, "", "abc"]:
+        plain = automaton.likelihood(value)
+        bounded = automaton.likelihood(value, -2.0)
+        assert bounded == plain if plain >= -2.0 else bounded < -2.0
+
+
 def test_rows_and_query(spark):
     rows = AWKWARD + [(20, 'password = "hunter22" and token: abc123def'), (21, "0" * 24), (22, "x AKIA" + "A" * 16)]
     got = sec.scan(documents(spark, rows)).collect()
