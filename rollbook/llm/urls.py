@@ -67,13 +67,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Column
 
 
 def _characters(urls: DataFrame, order: int) -> DataFrame:
-    """A row for every character of every URL, with the `order` characters before it."""
-    padded = F.concat(F.lit(START * order), F.col("url"))
-    places = F.when(F.length("url") > 0, F.sequence(F.lit(1), F.length("url")))
-    spread = urls.withColumn("padded", padded).withColumn("place", F.explode(places))
+    """A row for every character (UTF-16 unit) of every URL, with the `order` characters before it, as bytes: units have a
+    fixed width, so that cutting one does not depend on its place and a long URL costs as much a character as a short one."""
+    data = F.encode(F.concat(F.lit(START * order), F.col("url")), "UTF-16BE")
+    places = F.when(F.length("url") > 0, F.sequence(F.lit(1), F.length("data") - 2 * order, F.lit(2)))
+    spread = urls.withColumn("data", data).withColumn("place", F.explode(places))
     return spread.select(*[c for c in urls.columns if c != "url"],
-                         F.substring("padded", F.col("place"), F.lit(order)).alias("before"),
-                         F.substring("padded", F.col("place") + order, F.lit(1)).alias("letter"))
+                         F.substring("data", F.col("place"), F.lit(2 * order)).alias("before"),
+                         F.substring("data", F.col("place") + 2 * order, F.lit(2)).alias("letter"))
 
 
 def _gains(characters: DataFrame, order: int) -> DataFrame:
@@ -83,7 +84,7 @@ def _gains(characters: DataFrame, order: int) -> DataFrame:
     every string of at most `order` + 1 characters that occurs, which is little beside the input."""
     counts = [checkpointed(characters.groupBy(F.col("before").alias("context"), "letter").agg(
         F.count_if(F.col("allow") & F.col("count_it")).alias("yes_n"), F.count_if(~F.col("allow") & F.col("count_it")).alias("no_n")))]
-    shorter = F.substring("context", F.lit(2), F.lit(order))
+    shorter = F.substring("context", F.lit(3), F.lit(2 * order))
     for _ in range(order):
         counts.append(counts[-1].groupBy(shorter.alias("context"), "letter").agg(F.sum("yes_n").alias("yes_n"), F.sum("no_n").alias("no_n")))
     below = None
@@ -107,11 +108,13 @@ def judge(df: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER, id_c
     ruled = urls.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     # equal URLs are counted and judged once, with their number as weight of the calibration
     distinct = ruled.groupBy("url").agg(F.first("rule.allow").alias("allow"), F.count(F.lit(1)).alias("copies"))
-    distinct = checkpointed(distinct.withColumn("count_it", F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) != 0))
-    letters = _characters(distinct.withColumn("name", F.col("url")), order)
+    distinct = distinct.withColumn("count_it", F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) != 0)
+    # a number stands for the URL beside its characters; the checkpoint keeps it
+    distinct = checkpointed(distinct.withColumn("number", F.monotonically_increasing_id()))
+    letters = _characters(distinct, order)
     gains = _gains(letters, order)
     scored = checkpointed(letters.filter(F.col("allow").isNull() | ~F.col("count_it")).join(gains, ["before", "letter"])
-              .groupBy(F.col("name").alias("url")).agg(F.avg("gain").alias("difference"), F.first("allow").alias("allow"),
+              .groupBy("number").agg(F.avg("gain").alias("difference"), F.first("allow").alias("allow"),
                                                        F.first("copies").alias("copies")))
 
     def mean(allowed: bool) -> Column:
@@ -119,7 +122,7 @@ def judge(df: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER, id_c
         return F.try_divide(F.sum(F.when(mine, F.col("difference") * F.col("copies"))), F.sum(F.when(mine, F.col("copies"))))
 
     middle = scored.agg(((mean(True) + mean(False)) / 2).alias("middle"))  # one row
-    differences = scored.filter(F.col("allow").isNull()).select("url", "difference")
+    differences = scored.filter(F.col("allow").isNull()).select("number", "difference").join(distinct.select("number", "url"), "number").drop("number")
     judged = ruled.join(differences, "url", "left")
     score = F.coalesce(F.col("difference"), F.lit(0.0)) - F.coalesce(middle.scalar(), F.lit(0.0))
     only = distinct.agg(F.when(F.min("allow") == F.max("allow"), F.min("allow"))).scalar()

@@ -85,3 +85,14 @@ def test_scores_equal_brute_force(spark):
 def test_no_python_in_the_plan(spark, plan_of):
     plan = plan_of(queries.QUERIES["op10_url_filter"](spark, SF))
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_long_url_costs_as_much_a_character_as_a_short_one(spark):
+    """A data URI of a megabyte, judged beside short ones in bounded time."""
+    import time
+    rows = [(i, f"https://host{i % 50}.com/page/{i}") for i in range(400)] + [(i + 400, f"https://host{i % 50}.net/es/{i}") for i in range(400)]
+    rows += [(9999, "https://example.org/" + "abcdefgh/" * 120_000)]
+    start = time.perf_counter()
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(got) == 801 and got[9999] in ("allow", "block")
+    assert time.perf_counter() - start < 120
