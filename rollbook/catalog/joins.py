@@ -112,14 +112,15 @@ def join_two_roles(spark, sf_dir):
     return ended.select("o_orderkey", "start_date", "end_date")
 
 
-@query("""WITH words(w) AS (SELECT DISTINCT split_part(p_name, ' ', 2) FROM part WHERE p_size <= 10 AND p_name NOT LIKE '%gear')
-          SELECT p_partkey, coalesce(min(w), p_name) AS canonical FROM part LEFT JOIN words ON contains(p_name, w)
-          GROUP BY p_partkey, p_name""")
+@query("""WITH words(w) AS (SELECT DISTINCT split_part(p_name, ' ', 2) FROM part),
+          named AS (SELECT p_partkey, CASE WHEN p_size % 5 > 0 THEN p_name END AS name FROM part)
+          SELECT p_partkey, coalesce(min(w), name) AS canonical FROM named LEFT JOIN words ON contains(name, w)
+          GROUP BY p_partkey, name""")
 def join_contains_canonicalise(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    words = parts.filter((col("p_size") <= 10) & ~col("p_name").endswith("gear")).select(
-        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("w"))
-    return contains.replace_by_contained(parts, "p_name", words, "w", "canonical").select("p_partkey", "canonical")
+    """Some names are missing, and those stay so."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.when(col("p_size") % 5 > 0, col("p_name")).alias("name"))
+    words = parts.select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("w"))
+    return contains.replace_by_contained(parts, "name", words, "w", "canonical").select("p_partkey", "canonical")
 
 
 @query("""WITH ours AS (SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 0) AS total FROM orders GROUP BY 1),
