@@ -10,12 +10,14 @@ the two meet in the region of one of the first floor(r n) + 1 shingles of each,
 to which a document is replicated. The order puts rare shingles first, by counts of all documents in hash buckets, so
 passages that many documents share make no regions but in documents that hold little else.
 
-Inside a region the least node is the next pivot. Its exact distances make a Voronoi cell (the nodes that link to it) and the
-rest, which has the next pivot; where all nodes left are in cells but not all connected, the least of them is next. A pivot
-is compared with those nodes of its region that the triangle inequality leaves: x can link to y only if their distances to
-every earlier pivot differ by at most r. Nodes already known to be connected need no comparison. So each region is joined
-recursively until no pair is left that could change a component; after `PIVOT_ROUNDS` pivots the pairs that are left in a region are compared all at once. That last step is
-not linear: in large groups whose members are near the bound it makes many pairs.
+Inside a region the node that shares most of its shingles with others is the first pivot: near copies are mostly copies of
+one text, which links to nearly all of them. Its exact distances make a Voronoi cell, the nodes that it links to, and the
+rest. A pivot's cell grows to all that are connected to it; the next pivots come from outside all cells, or, where all nodes are
+in cells but not all connected, from these. A pivot is compared with those nodes of its region that the triangle inequality
+leaves: x can link to y only if their distances to the first pivot differ by at most r. Nodes already known to be connected
+need no comparison. Each round takes `PIVOT_GROWTH` times as many pivots a region as the one before, and a region is
+joined recursively until all that is left of it is connected, so every region ends, one of k unconnected nodes after about log k
+rounds. Groups whose members are nearly all just below the bound have no pivot that settles them; only the filters spare pairs there.
 
 Shingles and sets are 64-bit hashes. Rows are dealt by region; regions whose bucket count says that they may be
 huge are dealt in slices. Missing and empty texts have no shingles and link with nothing; repeated rows of an id are one
@@ -30,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import split_skewed_joins
 from .bpe import Bounded
@@ -41,7 +43,7 @@ WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
 SLICE_ROWS = 1_000_000
-PIVOT_ROUNDS = 3
+PIVOT_GROWTH = 4
 CACHED_WORDS = 300_000
 
 
@@ -225,6 +227,15 @@ def _pairs(p: Column, q: Column) -> list[Column]:
     return [F.least(p, q).alias("a"), F.greatest(p, q).alias("b")]
 
 
+def weighed(found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Adds `weight`: how many nodes share a node's region shingles, as the mean logarithm over its whole prefix. A node amid
+    its near copies, whose shingles all of them have, weighs more than one with shingles of its own."""
+    sizes = found.groupBy("shingle").agg(F.log(F.count(F.lit(1))).alias("size"))
+    by_node = found.select("shingle", "node", "n").join(sizes, "shingle").groupBy("node").agg(F.sum("size").alias("size"), F.first("n").alias("n"))
+    lacking = F.floor(F.col("n") * ((100 - percent) / 100)) + 1
+    return found.join(by_node.select("node", (F.col("size") / lacking).cast("float").alias("weight")), "node")
+
+
 def _unsettled(rows: DataFrame) -> DataFrame:
     """The rows of regions in which several components are left."""
     several = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
@@ -232,23 +243,20 @@ def _unsettled(rows: DataFrame) -> DataFrame:
 
 
 def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all nodes that link to another, from regions (shingle, node, n, place) and texts by node."""
+    """(node, component) of all nodes that link to another, from regions (shingle, node, n, place, weight) and texts by node."""
     r = (100 - percent) / 100 + 1e-9
-    rows = found.withColumns({"component": F.col("node"), "in_cell": F.lit(False)})
+    rows = found.select("shingle", "node", "n", "place", "weight", F.col("node").alias("component"), F.lit(False).alias("in_cell"),
+                        F.array().cast("array<double>").alias("near"))  # distances to first pivots; null where there was no need to know
     measured = joined = None
-    known_links = 0
-    for turn in range(PIVOT_ROUNDS + 1):
-        near = [f"d{i}" for i in range(turn)]  # distances to earlier pivots; null where there was no need to know
-        last = turn == PIVOT_ROUNDS
-        other = rows.select("shingle", F.struct("node", "n", "place", "component", *near).alias("other"))
-        if not last:
-            # the next pivot of a region: the least node outside all cells, or of all that are left where every one is in a cell
-            other = rows.select("shingle", "in_cell", F.struct("node", "n", "place", "component", *near).alias("other"))
-            other = other.groupBy("shingle").agg(F.min_by("other", F.struct("in_cell", "other.node")).alias("other"))
+    known_links, pivots = 0, 1
+    while True:
+        # the next pivots of a region: the weightiest nodes outside all cells, then of those in cells
+        order = Window.partitionBy("shingle").orderBy("in_cell", F.desc("weight"), "node")
+        chosen = checkpointed(rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots))
+        other = chosen.select("shingle", F.struct("node", "n", "place", "component", "near").alias("other"))
         met = rows.join(other, "shingle").filter(F.col("component") != F.col("other.component"))
         met = met.filter(compatible(F.col("n"), F.col("place"), F.col("other.n"), F.col("other.place"), percent))
-        for d in near:
-            met = met.filter(F.coalesce(F.abs(F.col(d) - F.col("other")[d]) <= r, F.lit(True)))
+        met = met.filter(F.forall(F.zip_with("near", "other.near", lambda x, y: F.coalesce(F.abs(x - y) <= r, F.lit(True))), lambda fits: fits))
         pairs = met.select(*_pairs(F.col("node"), F.col("other.node"))).distinct()
         if measured is not None:
             pairs = pairs.join(measured, ["a", "b"], "left_anti")
@@ -258,17 +266,21 @@ def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], perc
         links = measured.filter("linked").count()
         if joined is None or links > known_links:  # else the components stay as they are
             joined, known_links = components(measured.filter("linked")), links
-        if last:
-            break
-        # a pivot has met all that it could link to, and leaves its region
-        rows = rows.join(other, "shingle").filter(F.col("node") != F.col("other.node"))
-        rows = rows.withColumns(dict(zip(("a", "b"), _pairs(F.col("node"), F.col("other.node"))))).join(measured, ["a", "b"], "left")
-        rows = rows.select("shingle", "node", "n", "place", F.col("in_cell") | F.coalesce("linked", F.lit(False)), *near, F.col("distance").alias(f"d{turn}"))
-        rows = rows.toDF("shingle", "node", "n", "place", "in_cell", *near, f"d{turn}").join(joined, "node", "left")
-        rows = checkpointed(_unsettled(rows.withColumn("component", F.coalesce("component", "node"))))
+        # pivots have met all that they could link to, and leave their region
+        rows = rows.join(chosen.select("shingle", "node"), ["shingle", "node"], "left_anti")
+        if pivots == 1:
+            first = chosen.select("shingle", F.col("node").alias("pivot"))
+            rows = rows.join(first, "shingle").withColumns(dict(zip(("a", "b"), _pairs(F.col("node"), F.col("pivot"))))).join(measured, ["a", "b"], "left")
+            rows = rows.withColumn("near", F.concat("near", F.array("distance"))).drop("a", "b", "pivot", "distance", "linked")
+        rows = rows.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        cells = chosen.select("shingle", "node").join(joined, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"))
+        cells = cells.distinct().withColumn("has_pivot", F.lit(True))
+        rows = rows.join(cells, ["shingle", "component"], "left").withColumn("in_cell", F.col("in_cell") | F.coalesce("has_pivot", F.lit(False)))
+        rows = rows.select("shingle", "node", "n", "place", "weight", "component", "in_cell", "near")
+        rows = checkpointed(_unsettled(rows))
         if rows.isEmpty():
-            break
-    return joined
+            return joined
+        pivots *= PIVOT_GROWTH
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -277,7 +289,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     counts = bucket_counts(texts)
     prefixed = written(prefixes(texts, counts, percent), "jaccard-prefixes")
-    found = written(regions(prefixed, counts, slice_rows), "jaccard-regions")
+    found = written(weighed(written(regions(prefixed, counts, slice_rows), "jaccard-regions"), percent), "jaccard-weights")
     joined = checkpointed(connected(found, lambda nodes: node_texts(texts, prefixed, nodes), percent))
     facts = prefixed.select("id", "n", "node").join(joined, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = facts.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))

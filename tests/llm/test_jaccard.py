@@ -55,7 +55,7 @@ def test_near_copies_at_the_bound(spark, seed):
 
 def test_regions_beyond_the_pivot_rounds(spark, monkeypatch):
     """Families with many pairs below the bound: no pivot may end the search early."""
-    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 1)
+    monkeypatch.setattr(jaccard, "PIVOT_GROWTH", 2)
     check(spark, variants(7, 2, 40, 4, 45))
 
 
