@@ -45,3 +45,42 @@ def test_awkward_rows(spark):
     none = quality.learn(documents(spark), labels.filter("quality > 5"))
     assert {r["score"] for r in quality.score(documents(spark), none).collect()} == {0.5}
     assert quality.score(empty(spark), model).count() == 0
+
+
+def all_pairs(matrix, labels):
+    """Weights of the pairwise loss, every pair made."""
+    scaled = np.clip((matrix - matrix.mean(axis=0)) / (matrix.std(axis=0) + 1e-9), -4, 4)
+    better = (scaled[labels == 1][:, None] - scaled[labels == 0][None]).reshape(-1, matrix.shape[1])
+    weights = np.zeros(matrix.shape[1])
+    for _ in range(40):
+        wrong = 1 / (1 + np.exp(np.clip(better @ weights, -500, 500)))
+        slope = -(better * wrong[:, None]).mean(axis=0) + quality.PENALTY * weights
+        bend = (better * (wrong * (1 - wrong))[:, None]).T @ better / len(better) + quality.PENALTY * np.eye(len(weights))
+        weights -= np.linalg.solve(bend, slope)
+    return scaled, weights
+
+
+def test_fit_uses_all_pairs():
+    dice = np.random.default_rng(2)
+    matrix = dice.normal(size=(300, len(quality.NAMES)))
+    labels = (matrix @ np.linspace(-1, 1, len(quality.NAMES)) + dice.normal(size=300) > .5).astype(int)
+    model = quality.fit(matrix, labels)
+    scaled, weights = all_pairs(matrix, labels)
+    assert np.abs(np.array(model.weights) - weights).max() < 1e-4
+    assert abs(model.cut - np.quantile(scaled @ weights, (labels == 0).mean())) < 1e-3
+
+
+def test_learning_uses_every_labelled_row(spark, monkeypatch):
+    """More labelled rows than any bound there was: the model is that of all rows, and ranges are narrowed more than once."""
+    monkeypatch.setattr(quality, "FEW", 50)
+    monkeypatch.setattr(quality, "BINS", 16)
+    words = ["one", "Two", "three.", "FOUR", "5", "||", "six six"]
+    dice = np.random.default_rng(3)
+    rows = [(i, " ".join(dice.choice(words, dice.integers(2, 9))), int(dice.integers(2))) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.learn(df.select("doc_id", "text"), df.select("doc_id", "quality"))
+    used = [(quality.features(t), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    assert len(used) > 8192
+    expected = quality.fit(np.array([f for f, _ in used]), np.array([y for _, y in used]))
+    assert np.allclose(model.mean, expected.mean) and np.allclose(model.scale, expected.scale)
+    assert np.allclose(model.weights, expected.weights, atol=1e-6) and abs(model.cut - expected.cut) < 1e-6
