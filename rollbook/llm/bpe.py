@@ -27,7 +27,8 @@ from .suffix_automaton import SuffixAutomaton
 
 VOCABULARY = "word_bpe_49k.json"
 LONGEST_CACHED_WORD = 64
-CACHED_BYTES = 128 << 20
+CACHED_BYTES = 64 << 20
+BATCH_BYTES = 2 << 20  # of text; its tokens take many times that while they are put together
 RUN_BYTES = 150  # about what a run takes besides its characters and ids
 CACHED_PAIRS = 500_000
 LAST = 0x1000  # added to the last character of a word, which stands for the character with the end mark
@@ -241,16 +242,16 @@ class RunCache:
         for text in texts:
             numbers.extend([n if (n := known(run)) is not None else add(run) for run in self.codec.runs(text)])
             ends.append(len(numbers))
-        runs, ends = np.array(numbers, np.int64), np.array(ends, np.int64)
-        id_ends = np.array(self.id_ends, np.int64)
-        lengths = np.diff(id_ends)[runs]
-        held = pa.ListArray.from_arrays(pa.array(id_ends, pa.int32()), pa.array(np.array(self.ids, np.int32)))
+        # views of the cache, not copies; they end with this call, so the cache can grow again
+        runs, ends, id_ends = np.asarray(numbers), np.asarray(ends), np.asarray(self.id_ends)
+        lengths = id_ends[runs + 1] - id_ends[runs]
+        held = pa.ListArray.from_arrays(pa.array(id_ends, pa.int32()), pa.array(np.asarray(self.ids)))
         each = np.append(0, np.cumsum(lengths))
         ids = pa.ListArray.from_arrays(pa.array(each[ends], pa.int32()), held.take(pa.array(runs)).flatten())
         # runs without ids give no text, so they must not give a blank either
         some = lengths > 0
         places = np.append(0, np.cumsum(some))[ends]
-        held = pa.Array.from_buffers(pa.large_binary(), len(self.number), [None, pa.py_buffer(np.array(self.text_ends, np.int64)), pa.py_buffer(bytes(self.texts))])
+        held = pa.Array.from_buffers(pa.large_binary(), len(self.number), [None, pa.py_buffer(self.text_ends), pa.py_buffer(self.texts)])
         parts = pa.ListArray.from_arrays(pa.array(places, pa.int32()), held.take(pa.array(runs[some])))
         return ids, pc.binary_join(parts, pa.scalar(b" ", pa.large_binary())).cast(pa.string())
 
@@ -283,4 +284,4 @@ def encode(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
         return work
 
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    return per_text(texts, make, FIELDS, "id long, token_ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return per_text(texts, make, FIELDS, "id long, token_ids array<int>, decoded string", BATCH_BYTES).withColumnRenamed("id", id_col)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 from helpers import AWKWARD, documents, empty
@@ -82,3 +83,15 @@ def test_query_equals_the_library(spark, library):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_a_batch_does_not_copy_the_cache(codec):
+    cache = bpe.RunCache(codec)
+    cache.encode([" ".join(f"word{i}" for i in range(20_000))])
+    tracemalloc.start()
+    cache.encode(["the word1 fox"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(cache.number)
+    ids, decoded = cache.encode(["a new run after the views ended"])
+    assert (ids.to_pylist()[0], decoded.to_pylist()[0]) == codec.encode("a new run after the views ended")
