@@ -10,6 +10,7 @@ the two meet in the region of one of the first floor(r n) + 1 shingles of each,
 to which a document is replicated. The order puts rare shingles first, by counts of all documents in hash buckets, so
 passages that many documents share make no regions but in documents that hold little else.
 
+Regions that hold the same nodes are one: of those, only the first in the common order can be where a pair first meets.
 Inside a region the node that shares most of its shingles with others is the first pivot: near copies are mostly copies of
 one text, which links to nearly all of them. Its exact distances make a Voronoi cell, the nodes that it links to, and the
 rest. A pivot's cell grows to all that are connected to it; the next pivots come from outside all cells, or, where all nodes are
@@ -26,25 +27,24 @@ document each with the same component; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import split_skewed_joins
-from .bpe import Bounded
-from .common import checkpointed, keyed_text, only_maybe, per_text, written
+from .common import checkpointed, keyed_text, only_maybe, per_text, small_batches, written
 from .components import components
 
 WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
 SLICE_ROWS = 1_000_000
-PIVOT_GROWTH = 4
-CACHED_WORDS = 300_000
+PIVOT_GROWTH = 8
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -54,27 +54,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Distinct shingle hashes of a text, sorted. Keeps hashes of at most `CACHED_WORDS` words."""
-
-    def __init__(self):
-        self.hashes = Bounded(xxhash.xxh3_64_intdigest, CACHED_WORDS)
+    """Distinct shingle hashes of a text, sorted."""
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").lower().split()
         if not words:
             return np.empty(0, dtype=np.uint64)
-        one = np.fromiter(map(self.hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+        # hashing a word takes less time than finding it among many
+        one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
         if len(words) < WORDS:
             # a short sequence is told from every full shingle by its length
             code = np.full(1, len(words), dtype=np.uint64)
             for word in one:
-                code = _mixed(code * np.uint64(0x9E3779B97F4A7C15) + word)
+                code = _mixed(code * FACTOR + word)
             return code
         places = len(words) - WORDS + 1
-        code = np.zeros(places, dtype=np.uint64)
-        for i in range(WORDS):
-            code = _mixed(code * np.uint64(0x9E3779B97F4A7C15) + one[i:i + places])
-        return np.unique(code)
+        code = one[:places].copy()
+        for i in range(1, WORDS):
+            code *= FACTOR
+            code += one[i:i + places]
+        code = np.sort(_mixed(code))
+        return code[np.concatenate([[True], code[1:] != code[:-1]])]
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -92,7 +92,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     """How many documents' shingles fall in each hash bucket: a table of fixed size, whatever the corpus."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, total = Shingler(), np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             # text by text: a whole batch of Python strings would need a multiple of its memory
             found = [shingler(t.as_py()) for t in batch.column(1)]
             if found:
@@ -106,29 +106,30 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
-PREFIX = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+PREFIX = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("digest", pa.string()), ("prefix", pa.list_(pa.int64()))])
 
 
 def prefixes(texts: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """For each document: size of its set, its node, and the shingles by whose regions it is replicated."""
+    """For each document: size of its set, its node, the digest of its text, and the shingles by whose regions it is replicated."""
     def make():
         shingler = Shingler()
 
         def work(ids, contents):
-            sizes, nodes, first = [], [], []
+            sizes, nodes, digests, first = [], [], [], []
             for text in contents:
                 shingles = shingler(text)
                 n = len(shingles)
                 sizes.append(n)
                 nodes.append(set_key(shingles))
+                digests.append(hashlib.md5(text.encode("utf-8", "replace"), usedforsecurity=False).hexdigest())
                 seen = counts[(shingles & np.uint64(BUCKETS - 1)).astype(np.int64)]
                 first.append(shingles[np.lexsort((shingles, seen))[:prefix_size(n, percent)]].view(np.int64) if n else shingles.view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(first)))
-            return ids, sizes, nodes, lists
+            return ids, sizes, nodes, digests, lists
         return work
 
-    return per_text(texts, make, PREFIX, "id long, n int, node long, prefix array<long>")
+    return per_text(texts, make, PREFIX, "id long, n int, node long, digest string, prefix array<long>")
 
 
 def shared_regions(rows: DataFrame) -> DataFrame:
@@ -179,11 +180,9 @@ def compatible(n: Column, i: Column, m: Column, j: Column, percent: int = PERCEN
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (n - i >= shared) & (m - j >= shared)
 
 
-def distances(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes. `texts_of` gives (node, text)
-    of a table of nodes; only the texts that the pairs need are fetched."""
+def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Adds `shared` and `total`, the sizes of intersection and union, to pairs (a, b) of nodes, from (node, text)."""
     pairs = checkpointed(pairs.select("a", "b"))
-    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     one = only_maybe(texts, "node", pairs, "a").withColumnsRenamed({"node": "a", "text": "text_a"})
     two = only_maybe(texts, "node", pairs, "b").withColumnsRenamed({"node": "b", "text": "text_b"})
     both = pairs.join(two, "b").join(one, "a")
@@ -207,43 +206,47 @@ def distances(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> D
     return both.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a long, b long, shared int, total int")
 
 
-def _nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The node of each text."""
-    shingler = Shingler()
-    for texts in batches:
-        yield pd.Series([set_key(shingler(t)) for t in texts], dtype="int64")
-
-
 def node_texts(texts: DataFrame, prefixed: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of one document of each of the nodes, written once."""
-    first = checkpointed(prefixed.groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node"))
-    found = only_maybe(texts, "id", first, "id").join(first, "id")
-    # rows of one id may differ in text; the one with the node's own set is wanted
-    mine = found.withColumn("own", F.pandas_udf(_nodes, "long")("text")).filter(F.col("own") == F.col("node")).select("node", "text")
-    return written(mine.dropDuplicates(["node"]), "jaccard-texts")
+    # rows of one id may differ in text, so the digest tells which is wanted
+    first = prefixed.groupBy("node").agg(F.min(F.struct("id", "digest")).alias("first")).join(nodes, "node", "left_semi")
+    first = checkpointed(first.select("node", "first.id", "first.digest"))
+    found = only_maybe(texts, "id", first, "id").withColumn("digest", F.md5(F.col("text").cast("binary"))).join(first, ["id", "digest"])
+    return written(found.dropDuplicates(["id", "digest", "node"]).select("node", "text"), "jaccard-texts")  # dealt as joined
 
 
 def _pairs(p: Column, q: Column) -> list[Column]:
     return [F.least(p, q).alias("a"), F.greatest(p, q).alias("b")]
 
 
-def weighed(found: DataFrame, percent: int = PERCENT) -> DataFrame:
+def merged_regions(found: DataFrame) -> DataFrame:
+    """One region of all that hold the same nodes, the first in the common order, with `size`, its nodes, and `copies`, the regions it
+    stands for. No pair is lost: a pair needs the region of its first common shingle alone, and where that is left out, an earlier one with
+    the same nodes would hold the pair too. Places grow along the common order for each node alike, so the least sum of places tells the first."""
+    sets = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("one"),
+                                        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two"), F.sum("place").alias("places"))
+    first = sets.groupBy("size", "one", "two").agg(F.min_by("shingle", F.struct("places", "shingle")).alias("shingle"), F.count(F.lit(1)).alias("copies"))
+    return found.join(first.select("shingle", "size", "copies"), "shingle")
+
+
+def with_partners(merged: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The regions without those of two nodes that can not link there."""
+    region = Window.partitionBy("shingle")
+    rows = merged.withColumns({"other_n": F.sum("n").over(region) - F.col("n"), "other_place": F.sum("place").over(region) - F.col("place")})
+    rows = rows.filter((F.col("size") > 2) | compatible(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent))
+    return rows.drop("other_n", "other_place")
+
+
+def weighed(merged: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Adds `weight`: how many nodes share a node's region shingles, as the mean logarithm over its whole prefix. A node amid
     its near copies, whose shingles all of them have, weighs more than one with shingles of its own."""
-    sizes = found.groupBy("shingle").agg(F.log(F.count(F.lit(1))).alias("size"))
-    by_node = found.select("shingle", "node", "n").join(sizes, "shingle").groupBy("node").agg(F.sum("size").alias("size"), F.first("n").alias("n"))
     lacking = F.floor(F.col("n") * ((100 - percent) / 100)) + 1
-    return found.join(by_node.select("node", (F.col("size") / lacking).cast("float").alias("weight")), "node")
-
+    total = F.sum(F.log("size") * F.col("copies")).over(Window.partitionBy("node"))  # a node's rows are at most its prefix
+    return merged.select("shingle", "node", "n", "place", (total / lacking).cast("float").alias("weight"))
 
-def _unsettled(rows: DataFrame) -> DataFrame:
-    """The rows of regions in which several components are left."""
-    several = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
-    return rows.join(several.select("shingle"), "shingle", "left_semi")
 
-
-def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all nodes that link to another, from regions (shingle, node, n, place, weight) and texts by node."""
+def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of all nodes that link to another, from regions (shingle, node, n, place, weight) and (node, text)."""
     r = (100 - percent) / 100 + 1e-9
     rows = found.select("shingle", "node", "n", "place", "weight", F.col("node").alias("component"), F.lit(False).alias("in_cell"),
                         F.array().cast("array<double>").alias("near"))  # distances to first pivots; null where there was no need to know
@@ -260,24 +263,26 @@ def connected(found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], perc
         pairs = met.select(*_pairs(F.col("node"), F.col("other.node"))).distinct()
         if measured is not None:
             pairs = pairs.join(measured, ["a", "b"], "left_anti")
-        new = distances(pairs, texts_of).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
+        new = distances(pairs, texts).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
                                              (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
         measured = checkpointed(new if measured is None else measured.unionByName(new))
         links = measured.filter("linked").count()
         if joined is None or links > known_links:  # else the components stay as they are
             joined, known_links = components(measured.filter("linked")), links
-        # pivots have met all that they could link to, and leave their region
-        rows = rows.join(chosen.select("shingle", "node"), ["shingle", "node"], "left_anti")
+        rows = rows.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if pivots == 1:
             first = chosen.select("shingle", F.col("node").alias("pivot"))
             rows = rows.join(first, "shingle").withColumns(dict(zip(("a", "b"), _pairs(F.col("node"), F.col("pivot"))))).join(measured, ["a", "b"], "left")
             rows = rows.withColumn("near", F.concat("near", F.array("distance"))).drop("a", "b", "pivot", "distance", "linked")
-        rows = rows.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        cells = chosen.select("shingle", "node").join(joined, "node", "left").select("shingle", F.coalesce("component", "node").alias("component"))
-        cells = cells.distinct().withColumn("has_pivot", F.lit(True))
-        rows = rows.join(cells, ["shingle", "component"], "left").withColumn("in_cell", F.col("in_cell") | F.coalesce("has_pivot", F.lit(False)))
-        rows = rows.select("shingle", "node", "n", "place", "weight", "component", "in_cell", "near")
-        rows = checkpointed(_unsettled(rows))
+        # pivots have met all that they could link to, and leave their region; what they are connected to is in cells. A region's pivots are a bounded list
+        cells = chosen.select("shingle", "node").join(joined, "node", "left").groupBy("shingle").agg(
+            F.collect_list("node").alias("pivots"), F.collect_set(F.coalesce("component", "node")).alias("cells"))
+        rows = rows.join(cells, "shingle").filter(~F.array_contains("pivots", F.col("node")))
+        rows = rows.withColumn("in_cell", F.col("in_cell") | F.array_contains("cells", F.col("component")))
+        # regions in which several components are left
+        region = Window.partitionBy("shingle")
+        rows = rows.withColumns({"least": F.min("component").over(region), "most": F.max("component").over(region)}).filter("least < most")
+        rows = checkpointed(rows.select("shingle", "node", "n", "place", "weight", "component", "in_cell", "near"))
         if rows.isEmpty():
             return joined
         pivots *= PIVOT_GROWTH
@@ -289,8 +294,9 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     counts = bucket_counts(texts)
     prefixed = written(prefixes(texts, counts, percent), "jaccard-prefixes")
-    found = written(weighed(written(regions(prefixed, counts, slice_rows), "jaccard-regions"), percent), "jaccard-weights")
-    joined = checkpointed(connected(found, lambda nodes: node_texts(texts, prefixed, nodes), percent))
+    found = with_partners(merged_regions(written(regions(prefixed, counts, slice_rows), "jaccard-regions")), percent)
+    found = written(weighed(found, percent), "jaccard-weights")
+    joined = checkpointed(connected(found, node_texts(texts, prefixed, found.select("node")), percent))
     facts = prefixed.select("id", "n", "node").join(joined, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = facts.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))
     # the few columns of all documents are dealt by group; a hot group's rows can be split, as its other side is one row

@@ -131,6 +131,38 @@ def test_regions_do_not_depend_on_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+def test_regions_of_the_same_nodes_are_one(spark):
+    """Copies of a text share a region for every shingle of their prefixes; the first stands for all of them, and no pair is lost."""
+    rows = variants(5, 3, 6, 2)
+    texts = jaccard.keyed_text(documents(spark, rows))
+    counts = jaccard.bucket_counts(texts)
+    found = jaccard.regions(jaccard.prefixes(texts, counts), counts).cache()
+    merged = jaccard.merged_regions(found).cache()
+
+    def sets(df):
+        held = {}
+        for r in df.collect():
+            held.setdefault(r["shingle"], {})[r["node"]] = r["place"]
+        return held
+
+    every, kept = sets(found), sets(merged)
+    by_nodes = {}
+    for s, places in every.items():
+        by_nodes.setdefault(frozenset(places), []).append(s)
+    assert len(kept) == len(by_nodes) < len(every) / 2
+    assert {frozenset(p) for p in kept.values()} == set(by_nodes)
+    for s, places in kept.items():
+        assert all(places[n] == min(every[x][n] for x in by_nodes[frozenset(places)]) for n in places)
+    copies = {(r["shingle"], r["size"], r["copies"]) for r in merged.collect()}
+    assert copies == {(s, len(p), len(by_nodes[frozenset(p)])) for s, p in kept.items()}
+
+
+def test_regions_of_two_that_can_not_link_go(spark):
+    rows = [(1, 1, 10, 0, 2), (1, 2, 10, 0, 2), (2, 1, 10, 1, 2), (2, 3, 20, 0, 2), (3, 4, 10, 0, 2), (3, 5, 10, 2, 2), (4, 1, 10, 0, 3), (4, 6, 90, 0, 3), (4, 7, 50, 0, 3)]
+    df = spark.createDataFrame(rows, "shingle long, node long, n int, place int, size long")
+    assert {r["shingle"] for r in jaccard.with_partners(df).collect()} == {1, 4}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.sets(st.integers(0, 40), min_size=1), st.sets(st.integers(0, 40), min_size=1))
 def test_linked_sets_share_a_region(a, b):
