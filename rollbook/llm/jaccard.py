@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import split_skewed_joins
-from .common import checkpointed, keyed_text, only_maybe, per_text, small_batches, written
+from .common import checkpointed, files_go, keyed_text, let_go, only_maybe, per_text, reading, small_batches, written
 from .components import components
 
 WORDS = 5
@@ -100,7 +100,8 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["bucket", "n"])
 
-    rows = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    with files_go(texts.sparkSession):
+        rows = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS, dtype=np.int64)
     counts[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return counts
@@ -203,7 +204,7 @@ def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(shared, pa.int32()), pa.array(total, pa.int32())],
                                   names=["a", "b", "shared", "total"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a long, b long, shared int, total int")
+    return reading(both.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a long, b long, shared int, total int"), pairs)
 
 
 def node_texts(texts: DataFrame, prefixed: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -212,7 +213,9 @@ def node_texts(texts: DataFrame, prefixed: DataFrame, nodes: DataFrame) -> DataF
     first = prefixed.groupBy("node").agg(F.min(F.struct("id", "digest")).alias("first")).join(nodes, "node", "left_semi")
     first = checkpointed(first.select("node", "first.id", "first.digest"))
     found = only_maybe(texts, "id", first, "id").withColumn("digest", F.md5(F.col("text").cast("binary"))).join(first, ["id", "digest"])
-    return written(found.dropDuplicates(["id", "digest", "node"]).select("node", "text"), "jaccard-texts")  # dealt as joined
+    made = written(found.dropDuplicates(["id", "digest", "node"]).select("node", "text"), "jaccard-texts")  # dealt as joined
+    let_go(first)
+    return made
 
 
 def _pairs(p: Column, q: Column) -> list[Column]:
@@ -250,7 +253,7 @@ def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     r = (100 - percent) / 100 + 1e-9
     rows = found.select("shingle", "node", "n", "place", "weight", F.col("node").alias("component"), F.lit(False).alias("in_cell"),
                         F.array().cast("array<double>").alias("near"))  # distances to first pivots; null where there was no need to know
-    measured = joined = None
+    measured = joined = table = None
     known_links, pivots = 0, 1
     while True:
         # the next pivots of a region: the weightiest nodes outside all cells, then of those in cells
@@ -263,11 +266,15 @@ def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
         pairs = met.select(*_pairs(F.col("node"), F.col("other.node"))).distinct()
         if measured is not None:
             pairs = pairs.join(measured, ["a", "b"], "left_anti")
-        new = distances(pairs, texts).select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
-                                             (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
-        measured = checkpointed(new if measured is None else measured.unionByName(new))
-        links = measured.filter("linked").count()
+        found_out = distances(pairs, texts)
+        new = found_out.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("distance"),
+                               (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
+        before, measured = measured, checkpointed(new if measured is None else measured.unionByName(new))
+        let_go(found_out, before)
+        with files_go(measured.sparkSession):
+            links = measured.filter("linked").count()
         if joined is None or links > known_links:  # else the components stay as they are
+            let_go(joined)
             joined, known_links = components(measured.filter("linked")), links
         rows = rows.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if pivots == 1:
@@ -282,8 +289,11 @@ def connected(found: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
         # regions in which several components are left
         region = Window.partitionBy("shingle")
         rows = rows.withColumns({"least": F.min("component").over(region), "most": F.max("component").over(region)}).filter("least < most")
-        rows = checkpointed(rows.select("shingle", "node", "n", "place", "weight", "component", "in_cell", "near"))
+        before, table = table, checkpointed(rows.select("shingle", "node", "n", "place", "weight", "component", "in_cell", "near"))
+        let_go(chosen, before)
+        rows = table
         if rows.isEmpty():
+            let_go(rows, measured)
             return joined
         pivots *= PIVOT_GROWTH
 
@@ -294,15 +304,21 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
     texts = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     counts = bucket_counts(texts)
     prefixed = written(prefixes(texts, counts, percent), "jaccard-prefixes")
-    found = with_partners(merged_regions(written(regions(prefixed, counts, slice_rows), "jaccard-regions")), percent)
-    found = written(weighed(found, percent), "jaccard-weights")
-    joined = checkpointed(connected(found, node_texts(texts, prefixed, found.select("node")), percent))
+    whole = written(regions(prefixed, counts, slice_rows), "jaccard-regions")
+    found = written(weighed(with_partners(merged_regions(whole), percent), percent), "jaccard-weights")
+    let_go(whole)
+    of_nodes = node_texts(texts, prefixed, found.select("node"))
+    joined = connected(found, of_nodes, percent)
+    let_go(found, of_nodes)
     facts = prefixed.select("id", "n", "node").join(joined, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = facts.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))
     # the few columns of all documents are dealt by group; a hot group's rows can be split, as its other side is one row
     named = facts.join(least, "group", "left")
-    return named.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
+    # a few bytes a document, for which prefixes, the largest table, can go
+    made = written(named.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+                                F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")), "jaccard-components")
+    let_go(prefixed, joined)
+    return made
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
